@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,3 +35,10 @@ def event_time(text: Column | str) -> Column:
 
 def event_date(text: Column | str) -> Column:
     return F.to_date(text)
+
+
+def as_utc(instant: datetime) -> datetime:
+    """A zoned instant; without a zone the value is taken as UTC, never as the machine's zone."""
+    if instant.tzinfo is None:
+        return instant.replace(tzinfo=timezone.utc)
+    return instant.astimezone(timezone.utc)

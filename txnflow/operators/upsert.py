@@ -23,23 +23,28 @@ ORDER = (RUN, BATCH)
 _BATCH_FOLDER = re.compile(rf"/{RUN}=(\d+)/{BATCH}=(\d+)/")
 
 
-def _pick_row(rows: DataFrame, keys: Sequence[str], order: Sequence[str], chooser) -> DataFrame:
-    # One struct comparison per key: the order columns decide, and the remaining columns
-    # break ties by content, so the surviving row never depends on task timing. The partial
-    # aggregate leaves one row per key and task before the shuffle, however hot the key.
+def _pick_columns(rows: DataFrame, keys: Sequence[str], order: Sequence[str], chooser) -> DataFrame:
+    # One aggregate per column rather than one over a whole-row struct: the optimizer drops
+    # those a query does not use, so counting or testing one attribute shuffles no other.
+    # The partial aggregate leaves one row per key and task, however hot the key.
+    by = F.struct(*order)
     values = [c for c in rows.columns if c not in keys and c not in order]
-    chosen = chooser(F.struct(*order, *values)).alias("_row")
-    return rows.groupBy(*keys).agg(chosen).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in values))
+    if not values:
+        return keys_of(rows, keys)
+    return rows.groupBy(*keys).agg(*(chooser(c, by).alias(c) for c in values))
 
 
 def first_write(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
-    """Create-only upsert: the earliest row of each key stays."""
-    return _pick_row(log, keys, order, F.min)
+    """Create-only upsert: the earliest row of each key stays.
+
+    A batch holds one row per key, as the writers see to; so ``order`` never ties.
+    """
+    return _pick_columns(log, keys, order, F.min_by)
 
 
 def last_write(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
-    """Overwriting upsert: the latest row of each key stays."""
-    return _pick_row(log, keys, order, F.max)
+    """Overwriting upsert: the latest row of each key stays, under the same condition."""
+    return _pick_columns(log, keys, order, F.max_by)
 
 
 def last_write_partial(
@@ -59,10 +64,14 @@ def keys_of(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedup(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by ``order``, ties broken by the other columns in turn."""
-    chosen = _pick_row(rows.select(*rows.columns, *(F.col(c).alias(f"_by_{i}") for i, c in enumerate(order))),
-                       keys, [f"_by_{i}" for i in range(len(order))], F.min)
-    return chosen.select(*rows.columns)
+    """One row per key: the smallest by ``order``, ties broken by the other columns in turn.
+
+    The whole row is compared, so the survivor never depends on which task ran first.
+    """
+    values = [c for c in rows.columns if c not in keys and c not in order]
+    smallest = F.min(F.struct(*order, *values)).alias("_row")
+    kept = rows.groupBy(*keys).agg(smallest)
+    return kept.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in rows.columns))
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.functions.timetext import ISO_MICROS_OFFSET
+from txnflow.functions.timetext import ISO_MICROS_OFFSET, as_utc
 from txnflow.operators import graph as G
 from txnflow.session import require_utc
 from txnflow.sources.topics import as_envelope
@@ -126,6 +126,7 @@ def arrivals(spark: SparkSession, sf_dir: str, count: int = ARRIVALS) -> list[tu
         .agg(F.min("ts").cast("timestamp_ntz"), F.max("ts").cast("timestamp_ntz"))
         .first()
     )
+    low, high = as_utc(low), as_utc(high)
     step = (high - low) / count
     edges = [low + i * step for i in range(count)] + [high + timedelta(microseconds=1)]
     return list(zip(edges[:-1], edges[1:], strict=True))

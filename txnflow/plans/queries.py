@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow import schemas as S
 from txnflow.functions.messages import encode_messages, json_object, parse_transactions
-from txnflow.functions.timetext import iso_micros, iso_millis
+from txnflow.functions.timetext import as_utc, iso_micros, iso_millis
 from txnflow.operators import graph as G
 from txnflow.operators import monitor, quality
 from txnflow.operators.enrich import enrich_merchant
@@ -367,10 +368,13 @@ def _graph(spark, sf_dir) -> G.Graph:
 
 @query
 def top_categories_last_hour(spark, sf_dir):
-    """The report with a longer look-back, as of the newest window."""
-    stats = _hour_stats(spark, sf_dir)
-    newest = stats.agg(F.max("window_start")).first()[0]
-    return top_categories(stats, F.lit(newest), "7 DAYS")
+    """The report with a longer look-back, as of the newest window of a stored table."""
+    store = GraphStore(spark, work_folder(spark, "top_categories"))
+    stats = _hour_stats(spark, sf_dir).withColumn("updated_at", F.current_timestamp())
+    store.stats.write(stats.sortWithinPartitions("window_start"), 0, 0)
+    newest = as_utc(store.stats.read().agg(F.max("window_start").cast("timestamp_ntz")).first()[0])
+    recent = store.category_stats(since=newest - timedelta(days=7))
+    return top_categories(recent, F.lit(newest), "7 DAYS")
 
 
 @query
@@ -412,7 +416,7 @@ def topic_high_water(spark, sf_dir):
 def consumer_lag(spark, sf_dir):
     """A consumer that stopped a day before the newest message and never read one partition."""
     envelope = inputs.envelope(spark, sf_dir)
-    newest = envelope.agg(F.max("timestamp")).first()[0]
+    newest = as_utc(envelope.agg(F.max("timestamp").cast("timestamp_ntz")).first()[0])
     read = envelope.where(
         (F.col("timestamp") < F.lit(newest) - F.expr("INTERVAL 1 DAY")) & (F.col("partition") < 2)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow import schemas as S
+from txnflow.functions.timetext import as_utc
 from txnflow.operators import graph as G
 from txnflow.operators.upsert import BatchLog, RunRegistry, merge_base
 
@@ -118,6 +119,7 @@ class GraphStore:
         """
         view, tail_rows = STATS_VIEWS["CategoryStats"], self.stats.read
         base = self._base("category_stats", "CategoryStats")
+        since = as_utc(since) if since is not None else None
         in_range = F.lit(True) if since is None else F.col("window_start") >= F.lit(since)
         if base is None:
             return view.resolve(tail_rows().where(in_range))
