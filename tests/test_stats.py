@@ -1,0 +1,115 @@
+from decimal import Decimal
+
+import pytest
+from helpers import envelope, merchants, rows, txn
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from txnflow.functions.totals import money_parts, money_total
+from txnflow.operators.enrich import enrich_merchant
+from txnflow.operators.filters import parse_approved
+from txnflow.operators.sizes import broadcast_if_small, is_small, measured_bytes
+from txnflow.operators.stats import category_stats, category_stats_of, stats_payload, top_categories
+
+COLUMNS = ("category", "transaction_country", "window_start_iso", "total_amount", "txn_count")
+
+
+def payload(stats):
+    return rows(stats_payload(stats), *COLUMNS)
+
+
+@pytest.fixture(scope="module")
+def approved(spark):
+    return parse_approved(envelope(spark, [
+        txn(1, "10:00:10", 10.10), txn(2, "10:00:50", 0.20), txn(3, "10:01:00", 5.0),
+        txn(4, "10:00:20", "abc"), txn(5, "10:00:30", 7.0, merchant=99),
+        txn(6, "10:00:30", 1.0, merchant=2, country=None), txn(7, "10:00:30", 2.0, merchant=2, country=None),
+        txn(8, "junk", 100.0), txn(9, "10:00:30", 3.0, merchant=3),
+        txn(10, "10:00:30", 8.0, merchant=None), txn(11, "10:00:40", 50.0, status="declined"),
+    ]))
+
+
+EXPECTED = [
+    ("health", None, "2024-05-01T10:00:00.000Z", 3.0, 2),
+    ("travel", "Spain", "2024-05-01T10:00:00.000Z", 10.3, 3),
+    ("travel", "Spain", "2024-05-01T10:01:00.000Z", 5.0, 1),
+]
+
+
+def dimension(spark):
+    return merchants(spark, [(1, "travel"), (2, "health"), (3, None)])
+
+
+def test_window_totals(spark, approved):
+    assert payload(category_stats(enrich_merchant(approved, dimension(spark)))) == EXPECTED
+
+
+@pytest.mark.parametrize("limit", [0, 10_000_000])
+def test_totals_for_any_dimension_size(spark, approved, limit):
+    assert payload(category_stats_of(approved, dimension(spark), limit_bytes=limit)) == EXPECTED
+
+
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "shuffle", "salted"])
+def test_join_strategies_agree(spark, approved, strategy):
+    joined = enrich_merchant(approved, dimension(spark), strategy=strategy, salts=3)
+    found = rows(joined, "transaction_id", "merchant_id", "category")
+    assert len(found) == 10
+    assert (5, 99, None) in found and (10, None, None) in found and (2, 1, "travel") in found
+
+
+def test_unknown_strategy(spark, approved):
+    with pytest.raises(ValueError, match="strategy"):
+        enrich_merchant(approved, dimension(spark), strategy="magic")
+
+
+def test_only_null_amounts_give_null_total(spark):
+    rows_ = parse_approved(envelope(spark, [txn(1, "10:00:00", None)]))
+    assert payload(category_stats_of(rows_, dimension(spark)))[0][3:] == (None, 1)
+
+
+def test_totals_with_other_amounts(spark):
+    frame = spark.createDataFrame(
+        [(1, 0.125), (1, 0.10), (2, 1e15), (2, 1.0), (3, float("nan")), (3, 1.0), (4, -2.30), (4, 1.10)],
+        "k INT, amount DOUBLE",
+    )
+    found = dict(rows(frame.groupBy("k").agg(*money_parts("amount", "_a")).select("k", money_total("_a"))))
+    assert found[1] == 0.225 and found[2] == 1e15 + 1 and found[3] != found[3] and found[4] == -1.2
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-5_000_000, 5_000_000), min_size=1, max_size=200))
+def test_money_total_is_the_exact_sum(spark, cents):
+    frame = spark.createDataFrame([(c / 100,) for c in cents], "amount DOUBLE").repartition(5)
+    found = frame.agg(*money_parts("amount", "_a")).select(money_total("_a")).first()[0]
+    assert found == float(sum(Decimal(c) for c in cents) / 100)
+
+
+def test_windows_align_to_the_epoch_in_utc(spark):
+    approved = parse_approved(envelope(spark, [txn(1, "23:30:00", 1.0)]))
+    row = stats_payload(category_stats_of(approved, dimension(spark), "1 day")).first()
+    assert (row["window_start_iso"], row["window_end_iso"]) == ("2024-05-01T00:00:00.000Z", "2024-05-02T00:00:00.000Z")
+
+
+def test_top_categories(spark):
+    stats = spark.sql("""
+        select * from values
+          ('a', 'X', timestamp'2024-05-01 10:00:00', 5.0D, 1L), ('a', 'X', timestamp'2024-05-01 10:30:00', 6.0D, 2L),
+          ('b', null, timestamp'2024-05-01 10:00:00', 11.0D, 1L), ('c', 'X', timestamp'2024-05-01 08:00:00', 99.0D, 1L),
+          ('d', 'X', timestamp'2024-05-01 10:10:00', 1.0D, 1L)
+        as t(category, country, window_start, total_amount, txn_count)""")
+    as_of = F.lit("2024-05-01 11:00:00").cast("timestamp")
+    found = [tuple(r) for r in top_categories(stats, as_of, n=2).collect()]
+    assert found == [("a", "X", 11.0, 3), ("b", None, 11.0, 1)]
+    assert top_categories(stats).count() == 0
+
+
+def test_size_check(spark):
+    small = merchants(spark)
+    assert is_small(small) and not is_small(small, 10)
+    assert measured_bytes(small) > 2 * 8
+    wide = spark.createDataFrame([(1, ["a" * 1000])], "k INT, v ARRAY<STRING>")
+    assert measured_bytes(wide) > 1000
+    assert measured_bytes(small.limit(0)) == 0
+    assert "hint" in broadcast_if_small(small)._jdf.queryExecution().logical().toString().lower()
+    assert "hint" not in broadcast_if_small(small, 1)._jdf.queryExecution().logical().toString().lower()
