@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Callable
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,30 +83,58 @@ def stats_nodes(stats_log: DataFrame) -> DataFrame:
     return last_write(stats_log, STATS_KEY)
 
 
-@dataclass(frozen=True)
-class Graph:
-    """Current nodes and edges."""
+Maker = Callable[[], DataFrame]
 
-    customers: DataFrame
-    merchants: DataFrame
-    transactions: DataFrame
-    made: DataFrame
-    at: DataFrame
-    category_stats: DataFrame
+
+class Graph:
+    """Current nodes and edges; each table is planned when a query first asks for it."""
+
+    def __init__(
+        self, *, customers: Maker, merchants: Maker, transactions: Maker, made: Maker, at: Maker,
+        category_stats: Maker,
+    ):
+        self._makers = {
+            "customers": customers, "merchants": merchants, "transactions": transactions,
+            "made": made, "at": at, "category_stats": category_stats,
+        }
 
     @classmethod
     def from_logs(
         cls, raw_log: DataFrame, customer_seed: DataFrame, merchant_seed: DataFrame, stats_log: DataFrame
     ) -> Graph:
         return cls(
-            customers=customer_nodes(customer_seed, raw_log),
-            merchants=merchant_nodes(merchant_seed, raw_log),
-            transactions=transaction_nodes(raw_log),
-            made=made_edges(raw_log),
-            at=at_edges(raw_log),
-            category_stats=stats_nodes(stats_log),
+            customers=lambda: customer_nodes(customer_seed, raw_log),
+            merchants=lambda: merchant_nodes(merchant_seed, raw_log),
+            transactions=lambda: transaction_nodes(raw_log),
+            made=lambda: made_edges(raw_log),
+            at=lambda: at_edges(raw_log),
+            category_stats=lambda: stats_nodes(stats_log),
         )
 
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._makers["customers"]()
+
+    @cached_property
+    def merchants(self) -> DataFrame:
+        return self._makers["merchants"]()
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._makers["transactions"]()
+
+    @cached_property
+    def made(self) -> DataFrame:
+        return self._makers["made"]()
+
+    @cached_property
+    def at(self) -> DataFrame:
+        return self._makers["at"]()
+
+    @cached_property
+    def category_stats(self) -> DataFrame:
+        return self._makers["category_stats"]()
+
     def labels(self) -> dict[str, DataFrame]:
         return {
             "Customer": self.customers,

@@ -28,11 +28,14 @@ def consumer_lag(envelope: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def latest_messages(envelope: DataFrame, n: int = 15, schema: str = WIDE_TRANSACTION) -> DataFrame:
-    """The ``n`` newest messages; only those are parsed."""
+    """The ``n`` newest messages; only those are parsed.
+
+    The generator stays above the limit, where a projection would be moved below it and
+    parse every message.
+    """
     newest = envelope.orderBy(F.desc("timestamp"), F.desc("partition"), F.desc("offset")).limit(n)
-    return newest.select("timestamp", "partition", "offset", json_object(F.col("value"), schema).alias("t")).select(
-        "timestamp", "partition", "offset", "t.*"
-    )
+    body = json_object(F.col("value"), schema)
+    return newest.select("timestamp", "partition", "offset", F.inline(F.array(body)))
 
 
 def latest_commits(commits: DataFrame, n: int = 12, by: str = "batch") -> DataFrame:

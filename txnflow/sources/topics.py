@@ -76,7 +76,7 @@ def file_stream(
     folder: str,
     *,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """The envelope read as a stream from a folder of Parquet files."""
     reader = spark.readStream.schema(ENVELOPE)

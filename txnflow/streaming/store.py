@@ -97,19 +97,20 @@ class GraphStore:
 
     # --- reading ---
     def graph(self) -> G.Graph:
-        customers = self._current("raw_graph", self.raw, RAW_VIEWS, "Customer")
-        merchants = self._current("raw_graph", self.raw, RAW_VIEWS, "Merchant")
+        def raw(name: str) -> DataFrame:
+            return self._current("raw_graph", self.raw, RAW_VIEWS, name)
+
         return G.Graph(
-            customers=G.seeded_and_stubs(
-                G.customer_seed_nodes(self.customer_seed.read()), customers, "customer_id"
+            customers=lambda: G.seeded_and_stubs(
+                G.customer_seed_nodes(self.customer_seed.read()), raw("Customer"), "customer_id"
             ),
-            merchants=G.seeded_and_stubs(
-                G.merchant_seed_nodes(self.merchant_seed.read()), merchants, "merchant_id"
+            merchants=lambda: G.seeded_and_stubs(
+                G.merchant_seed_nodes(self.merchant_seed.read()), raw("Merchant"), "merchant_id"
             ),
-            transactions=self._current("raw_graph", self.raw, RAW_VIEWS, "Transaction"),
-            made=self._current("raw_graph", self.raw, RAW_VIEWS, "MADE"),
-            at=self._current("raw_graph", self.raw, RAW_VIEWS, "AT"),
-            category_stats=self.category_stats(),
+            transactions=lambda: raw("Transaction"),
+            made=lambda: raw("MADE"),
+            at=lambda: raw("AT"),
+            category_stats=self.category_stats,
         )
 
     def category_stats(self, since: datetime | None = None) -> DataFrame:
