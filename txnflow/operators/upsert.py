@@ -176,6 +176,7 @@ class RunRegistry:
         return known.get(metadata["id"], following)
 
     def record(self, query_id: str, run_seq: int) -> None:
+        """Remember the number. A start that fails before this takes the same number again."""
         if query_id not in self._known():
             row = self.spark.createDataFrame([(query_id, run_seq)], "query_id STRING, run_seq INT")
             row.coalesce(1).write.mode("append").parquet(self.folder)

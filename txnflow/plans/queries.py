@@ -51,6 +51,10 @@ def _approved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_approved(inputs.parsed(spark, sf_dir))
 
 
+def _topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.stored_text(inputs.envelope(spark, sf_dir))
+
+
 # --- messages ---
 @query
 def encode_messages_(spark, sf_dir):
@@ -73,13 +77,13 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def parse_transactions_(spark, sf_dir):
-    rows = parse_transactions(inputs.envelope(spark, sf_dir))
+    rows = parse_transactions(_topic(spark, sf_dir))
     return rows.select(*S.TRANSACTION_COLUMNS, iso_millis("transaction_date_ts").alias("transaction_date_iso"))
 
 
 @query
 def parse_event_time(spark, sf_dir):
-    rows = parse_transactions(inputs.envelope(spark, sf_dir))
+    rows = parse_transactions(_topic(spark, sf_dir))
     return rows.select("transaction_id", F.unix_micros("transaction_date_ts").alias("event_micros"))
 
 
@@ -94,7 +98,7 @@ def format_iso(spark, sf_dir):
 
 @query
 def filter_approved_(spark, sf_dir):
-    return parse_approved(inputs.envelope(spark, sf_dir)).select(*S.TRANSACTION_COLUMNS)
+    return parse_approved(_topic(spark, sf_dir)).select(*S.TRANSACTION_COLUMNS)
 
 
 @query
@@ -136,7 +140,7 @@ def enrich_merchant_salted(spark, sf_dir):
 
 
 def _stats_from_messages(spark, sf_dir, window):
-    approved = parse_approved(inputs.envelope(spark, sf_dir))
+    approved = parse_approved(_topic(spark, sf_dir))
     return _stats_columns(category_stats_of(approved, inputs.merchants(spark, sf_dir), window))
 
 
@@ -164,13 +168,13 @@ def category_stats_large_dim(spark, sf_dir):
 
 
 # --- streams ---
-def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", messages=None, by="timestamp"):
+def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", late_text=None):
     work, session = work_folder(spark, name), streaming_session(spark, state_store)
     store = GraphStore(session, f"{work}/store")
     config = pipeline.PipelineConfig(checkpoint_root=f"{work}/checkpoints", window="1 hour")
     merchants = inputs.merchants(session, sf_dir)
     finished = inputs.run_arrivals(
-        inputs.land_in_order(spark, sf_dir, f"{work}/topic", messages, by),
+        inputs.land_in_order(spark, sf_dir, f"{work}/topic", late_text),
         lambda: pipeline.start_category_stats(
             file_stream(session, f"{work}/topic"), merchants, store, config, _ONCE
         ),
@@ -202,16 +206,7 @@ def category_stats_compacted(spark, sf_dir):
 @query
 def late_data_trace(spark, sf_dir):
     """EUR transactions arrive one span late; those whose window has closed are dropped."""
-    bounds = inputs.arrivals(spark, sf_dir)
-    messages = inputs.envelope(spark, sf_dir)
-    late = F.contains(F.col("value").cast("string"), F.lit('"currency":"EUR"'))
-    step = bounds[0][1] - bounds[0][0]
-    shifted = F.col("timestamp") + F.lit(step)
-    # The last span's own late rows arrive with it, there being no later one.
-    arrival = F.when(late & (F.col("timestamp") < F.lit(bounds[-1][0])), shifted).otherwise(F.col("timestamp"))
-    store, _ = _run_stats_stream(
-        spark, sf_dir, "late_data_trace", messages=messages.withColumn("_arrival", arrival), by="_arrival"
-    )
+    store, _ = _run_stats_stream(spark, sf_dir, "late_data_trace", late_text='"currency":"EUR"')
     return _stats_columns(store.category_stats())
 
 
