@@ -94,13 +94,12 @@ def test_compaction_of_one_unfinished_batch_does_nothing(spark):
 
 
 def test_bucketed_bases_join_without_a_shuffle(spark, store):
-    store.compact_raw(buckets=4, prefix="bucketed")
+    store.compact_raw(upto=(0, 2), buckets=4, prefix="bucketed")
     graph = store.graph()
     check_graph(graph)
-    t, made, at = (spark.table(f"bucketed_{n}_v0") for n in ("transaction", "made", "at"))
-    joined = made.join(t, "transaction_id").join(at, "transaction_id").hint("merge")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        joined = graph.made.join(graph.transactions, "transaction_id").join(graph.at, "transaction_id")
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -11,12 +11,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.operators.sizes import broadcast_if_small
+from txnflow.session import path_exists
 
 RUN, BATCH = "run_seq", "batch_id"
 ORDER = (RUN, BATCH)
@@ -74,37 +75,27 @@ def dedup(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return kept.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in rows.columns))
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"_k_{key}"])
-    return condition
-
-
-def without_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``rows`` whose key is not in ``other``; NULL key parts compare equal."""
-    named = other.select(*(F.col(k).alias(f"_k_{k}") for k in keys))
-    return rows.join(named, _same_key(rows, named, keys), "left_anti")
-
-
-def with_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _match_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str, nullable: bool) -> DataFrame:
     named = other.select(*(F.col(k).alias(f"_k_{k}") for k in keys))
-    return rows.join(named, _same_key(rows, named, keys), "left_semi")
+    pairs = [rows[k].eqNullSafe(named[f"_k_{k}"]) if nullable else rows[k] == named[f"_k_{k}"] for k in keys]
+    return rows.join(named, reduce(Column.__and__, pairs), how)
 
 
-def merge_base(base: DataFrame, tail: DataFrame, keys: Sequence[str], policy: str) -> DataFrame:
+def merge_base(
+    base: DataFrame, tail: DataFrame, keys: Sequence[str], policy: str, *, nullable: bool = True
+) -> DataFrame:
     """Current rows from a base (one row per key) and the resolved rows of later batches.
 
     Only the tail's keys travel when they measure small; the base is then scanned in place
-    and not shuffled.
+    and not shuffled. ``nullable`` makes NULL key parts compare equal.
     """
     tail = tail.select(*base.columns)
     tail_keys = broadcast_if_small(tail.select(*keys))
     if policy == "first":
-        known = with_keys(base.select(*keys), tail_keys, keys)
-        return base.unionByName(without_keys(tail, known, keys))
+        known = _match_keys(base.select(*keys), tail_keys, keys, "left_semi", nullable)
+        return base.unionByName(_match_keys(tail, known, keys, "left_anti", nullable))
     if policy == "last":
-        return without_keys(base, tail_keys, keys).unionByName(tail)
+        return _match_keys(base, tail_keys, keys, "left_anti", nullable).unionByName(tail)
     raise ValueError(f"unknown policy {policy!r}")
 
 
@@ -126,12 +117,9 @@ class BatchLog:
     def read(self, after: tuple[int, int] | None = None) -> DataFrame:
         """All batches, or those after ``(run_seq, batch_id)``; earlier folders are pruned."""
         schema = f"{self.schema}, {RUN} INT, {BATCH} BIGINT"
-        try:
-            rows = self.spark.read.schema(schema).parquet(self.folder)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self.folder):
             return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(self.folder)
         if after is None:
             return rows
         run, batch = after
@@ -155,24 +143,18 @@ class RunRegistry:
         return f"{self.root}/runs"
 
     def _known(self) -> dict[str, int]:
-        try:
-            rows = self.spark.read.schema("query_id STRING, run_seq INT").parquet(self.folder)
-            return {row["query_id"]: row["run_seq"] for row in rows.collect()}
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self.folder):
             return {}
+        rows = self.spark.read.schema("query_id STRING, run_seq INT").parquet(self.folder)
+        return {row["query_id"]: row["run_seq"] for row in rows.collect()}
 
     def run_for(self, checkpoint: str) -> int:
         """The number of this checkpoint: its own if it has one, else the next free one."""
         known = self._known()
         following = max(known.values(), default=-1) + 1
-        try:
-            metadata = self.spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{checkpoint}/metadata"):
             return following
+        metadata = self.spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()
         return known.get(metadata["id"], following)
 
     def record(self, query_id: str, run_seq: int) -> None:

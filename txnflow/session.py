@@ -81,3 +81,9 @@ def work_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="txnflow-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file exists on whatever file system the path names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

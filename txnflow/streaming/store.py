@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from txnflow import schemas as S
 from txnflow.functions.timetext import as_utc
 from txnflow.operators import graph as G
 from txnflow.operators.upsert import BatchLog, RunRegistry, merge_base
+from txnflow.session import path_exists
 
 Position = tuple[int, int]
 
@@ -25,6 +25,15 @@ class View:
     resolve: Callable[[DataFrame], DataFrame]
     keys: tuple[str, ...]
     policy: str
+    nullable: bool = False
+
+
+@dataclass(frozen=True)
+class Base:
+    """A compacted table and the last batch folded into it."""
+
+    rows: DataFrame
+    position: Position
 
 
 RAW_VIEWS = {
@@ -34,7 +43,7 @@ RAW_VIEWS = {
     "MADE": View(G.made_edges, G.MADE_KEY, "first"),
     "AT": View(G.at_edges, G.AT_KEY, "first"),
 }
-STATS_VIEWS = {"CategoryStats": View(G.stats_nodes, G.STATS_KEY, "last")}
+STATS_VIEWS = {"CategoryStats": View(G.stats_nodes, G.STATS_KEY, "last", nullable=True)}
 
 # Bases that join on the transaction are laid out by it, so those joins need no shuffle.
 _BUCKET_KEYS = {
@@ -124,12 +133,14 @@ class GraphStore:
         in_range = F.lit(True) if since is None else F.col("window_start") >= F.lit(since)
         if base is None:
             return view.resolve(tail_rows().where(in_range))
-        rows, position = base
+        rows = base.rows
         if since is not None:
             rows = rows.where(F.col("window_date") >= F.lit(since.date()))
         rows = rows.drop("window_date").where(in_range)
-        tail = view.resolve(tail_rows(after=position).where(in_range))
-        return merge_base(rows, tail, view.keys, view.policy)
+        if not self._has_later(self.stats, base):
+            return rows
+        tail = view.resolve(tail_rows(after=base.position).where(in_range))
+        return merge_base(rows, tail, view.keys, view.policy, nullable=view.nullable)
 
     def merchant_dimension(self) -> DataFrame:
         """Seeded merchants as the enrichment join needs them."""
@@ -140,37 +151,41 @@ class GraphStore:
         base = self._base(sink, name)
         if base is None:
             return view.resolve(log.read())
-        rows, position = base
-        return merge_base(rows, view.resolve(log.read(after=position)), view.keys, view.policy)
+        if not self._has_later(log, base):
+            # Without a union a bucketed base keeps its partitioning, and joins need no shuffle.
+            return base.rows
+        tail = view.resolve(log.read(after=base.position))
+        return merge_base(base.rows, tail, view.keys, view.policy, nullable=view.nullable)
+
+    @staticmethod
+    def _has_later(log: BatchLog, base: Base) -> bool:
+        return any(position > base.position for position in log.batches())
 
     # --- compaction ---
     def _manifest(self, sink: str) -> str:
         return f"{self.root}/{sink}/bases"
 
     def _bases(self, sink: str) -> list:
-        try:
-            return self.spark.read.schema(_BASE_SCHEMA).parquet(self._manifest(sink)).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self._manifest(sink)):
             return []
+        return self.spark.read.schema(_BASE_SCHEMA).parquet(self._manifest(sink)).collect()
 
-    def _base(self, sink: str, name: str) -> tuple[DataFrame, Position] | None:
+    def _base(self, sink: str, name: str) -> Base | None:
         rows = [row for row in self._bases(sink) if row["location"].rsplit("/", 1)[-1] == name]
         if not rows:
             return None
         newest = max(rows, key=lambda row: row["version"])
+        position = (newest["run_seq"], newest["batch_id"])
         if newest["table_name"] and self.spark.catalog.tableExists(newest["table_name"]):
-            frame = self.spark.table(newest["table_name"])
-        else:
-            frame = self.spark.read.parquet(newest["location"])
-        return frame, (newest["run_seq"], newest["batch_id"])
+            return Base(self.spark.table(newest["table_name"]), position)
+        return Base(self.spark.read.parquet(newest["location"]), position)
 
     def compact_raw(self, upto: Position | None = None, buckets: int | None = None, prefix: str = "graph") -> None:
         """Fold batches up to ``upto`` into bases of one row per key.
 
         With ``buckets`` the bases become catalog tables, bucketed and sorted so that the
-        joins along a transaction read them without a shuffle.
+        joins along a transaction read them without a shuffle, as long as no later batch has
+        to be merged in. Pass the last batch as ``upto`` once the stream has stopped.
         """
         self._compact("raw_graph", self.raw, RAW_VIEWS, upto, buckets, prefix)
 
@@ -192,12 +207,14 @@ class GraphStore:
         manifest = []
         for name, view in views.items():
             previous = self._base(sink, name)
-            finished_rows = log.read(after=previous[1] if previous else None).where(
+            finished_rows = log.read(after=previous.position if previous else None).where(
                 (F.col("run_seq") < run) | ((F.col("run_seq") == run) & (F.col("batch_id") <= batch))
             )
             rows = view.resolve(finished_rows)
             if previous is not None:
-                rows = merge_base(previous[0].drop("window_date"), rows, view.keys, view.policy)
+                rows = merge_base(
+                    previous.rows.drop("window_date"), rows, view.keys, view.policy, nullable=view.nullable
+                )
             location = f"{self.root}/{sink}/base/version={version}/{name}"
             table = ""
             if name == "CategoryStats":
