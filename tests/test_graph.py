@@ -6,7 +6,7 @@ from txnflow.operators import graph as G
 from txnflow.operators.quality import duplicate_keys, transactions_with_two_makers
 from txnflow.schemas import RAW_LOG, STATS_LOG
 from txnflow.session import work_folder
-from txnflow.streaming.store import GraphStore
+from txnflow.streaming.store import _BASE_SCHEMA, GraphStore
 
 RAW = f"{RAW_LOG}, run_seq INT, batch_id BIGINT"
 
@@ -46,7 +46,7 @@ def brute_paths():
     return sorted((c, t, m) for c, t in made for t2, m in at if t == t2)
 
 
-def check_graph(graph):
+def check_tables(graph):
     assert rows(graph.transactions, "transaction_id", "amount", "status") == [
         (1, 5.0, "approved"), (2, 6.0, "approved"), (3, 7.0, "declined"), (4, 8.0, "approved"),
         (5, 9.0, "approved"), (6, 1.0, "approved"),
@@ -54,6 +54,13 @@ def check_graph(graph):
     assert rows(graph.customers, "customer_id", "customer_name") == [
         (1, "n1"), (2, "n2"), (3, "n3"), (4, "n4"), (9, None)]
     assert rows(graph.merchants, "merchant_id", "category") == [(1, "travel"), (2, "travel"), (3, "travel"), (9, None)]
+    log = FIRST + SECOND
+    assert rows(graph.made, "customer_id", "transaction_id") == sorted({(c, t) for t, c, *_ in log})
+    assert rows(graph.at) == sorted({(t, m) for t, _, m, *_ in log})
+
+
+def check_graph(graph):
+    check_tables(graph)
     assert [tuple(r) for r in G.transaction_paths(graph).collect()] == brute_paths()
     assert [tuple(r) for r in G.transaction_paths(graph, 2).collect()] == brute_paths()[:2]
     assert rows(G.all_paths(graph)) == brute_paths()
@@ -75,15 +82,30 @@ def test_graph_from_logs(store):
 def test_graph_after_compaction(store):
     store.compact_raw()
     assert store._bases("raw_graph")[0]["batch_id"] == 1
-    check_graph(store.graph())
+    check_tables(store.graph())
 
 
 def test_graph_with_base_and_later_batches(store):
     store.compact_raw(upto=(0, 0))
     check_graph(store.graph())
+    before = set(store.spark.read.parquet(f"{store.root}/raw_graph/base/Transaction").inputFiles())
     store.compact_raw(upto=(0, 1))
-    check_graph(store.graph())
-    assert {r["version"] for r in store._bases("raw_graph")} == {0, 1}
+    check_tables(store.graph())
+    assert before < set(store.spark.read.parquet(f"{store.root}/raw_graph/base/Transaction").inputFiles())
+    assert {r["batch_id"] for r in store._bases("raw_graph")} == {0, 1}
+
+
+def test_compaction_repeated_before_the_position_moved_on_adds_nothing(store):
+    store.compact_raw(upto=(0, 0))
+    before = rows(store.graph().transactions)
+    first = store._bases("raw_graph")
+    store.compact_raw(upto=(0, 1))
+    # As after a failure between the appends and the manifest: only the first position is known.
+    store.spark.createDataFrame(first, _BASE_SCHEMA).coalesce(1).write.parquet(f"{store.root}/again/bases")
+    stale = GraphStore(store.spark, store.root)
+    object.__setattr__(stale, "_manifest", lambda sink: f"{store.root}/again/bases")
+    assert len(rows(stale.graph().transactions)) == len(before) == 6
+    check_tables(stale.graph())
 
 
 def test_compaction_of_one_unfinished_batch_does_nothing(spark):
@@ -94,9 +116,10 @@ def test_compaction_of_one_unfinished_batch_does_nothing(spark):
 
 
 def test_bucketed_bases_join_without_a_shuffle(spark, store):
+    store.compact_raw(upto=(0, 0), buckets=4, prefix="bucketed")
     store.compact_raw(upto=(0, 2), buckets=4, prefix="bucketed")
     graph = store.graph()
-    check_graph(graph)
+    check_tables(graph)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = graph.made.join(graph.transactions, "transaction_id").join(graph.at, "transaction_id")

@@ -81,20 +81,26 @@ def _match_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str
     return rows.join(named, reduce(Column.__and__, pairs), how)
 
 
-def merge_base(
-    base: DataFrame, tail: DataFrame, keys: Sequence[str], policy: str, *, nullable: bool = True
-) -> DataFrame:
-    """Current rows from a base (one row per key) and the resolved rows of later batches.
+def only_new(tail: DataFrame, base: DataFrame, keys: Sequence[str], *, nullable: bool = True) -> DataFrame:
+    """Rows of the tail whose key the base does not have.
 
     Only the tail's keys travel when they measure small; the base is then scanned in place
-    and not shuffled. ``nullable`` makes NULL key parts compare equal.
+    for its keys and not shuffled. ``nullable`` makes NULL key parts compare equal.
     """
-    tail = tail.select(*base.columns)
     tail_keys = broadcast_if_small(tail.select(*keys))
+    known = _match_keys(base.select(*keys), tail_keys, keys, "left_semi", nullable)
+    return _match_keys(tail, known, keys, "left_anti", nullable)
+
+
+def merge_base(
+    base: DataFrame, tail: DataFrame, keys: Sequence[str], policy: str, *, nullable: bool = True
+) -> DataFrame:
+    """Current rows from a base (one row per key) and the resolved rows of later batches."""
+    tail = tail.select(*base.columns)
     if policy == "first":
-        known = _match_keys(base.select(*keys), tail_keys, keys, "left_semi", nullable)
-        return base.unionByName(_match_keys(tail, known, keys, "left_anti", nullable))
+        return base.unionByName(only_new(tail, base, keys, nullable=nullable))
     if policy == "last":
+        tail_keys = broadcast_if_small(tail.select(*keys))
         return _match_keys(base, tail_keys, keys, "left_anti", nullable).unionByName(tail)
     raise ValueError(f"unknown policy {policy!r}")
 

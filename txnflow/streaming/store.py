@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from txnflow import schemas as S
 from txnflow.functions.timetext import as_utc
 from txnflow.operators import graph as G
-from txnflow.operators.upsert import BatchLog, RunRegistry, merge_base
+from txnflow.operators.upsert import BatchLog, RunRegistry, merge_base, only_new
 from txnflow.session import path_exists
 
 Position = tuple[int, int]
@@ -50,7 +50,8 @@ _BUCKET_KEYS = {
     "Customer": "customer_id", "Merchant": "merchant_id",
     "Transaction": "transaction_id", "MADE": "transaction_id", "AT": "transaction_id",
 }
-_BASE_SCHEMA = "table_name STRING, location STRING, version INT, run_seq INT, batch_id BIGINT"
+_BASE_SCHEMA = "name STRING, table_name STRING, location STRING, run_seq INT, batch_id BIGINT"
+_DAY_PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -171,10 +172,10 @@ class GraphStore:
         return self.spark.read.schema(_BASE_SCHEMA).parquet(self._manifest(sink)).collect()
 
     def _base(self, sink: str, name: str) -> Base | None:
-        rows = [row for row in self._bases(sink) if row["location"].rsplit("/", 1)[-1] == name]
+        rows = [row for row in self._bases(sink) if row["name"] == name]
         if not rows:
             return None
-        newest = max(rows, key=lambda row: row["version"])
+        newest = max(rows, key=lambda row: (row["run_seq"], row["batch_id"]))
         position = (newest["run_seq"], newest["batch_id"])
         if newest["table_name"] and self.spark.catalog.tableExists(newest["table_name"]):
             return Base(self.spark.table(newest["table_name"]), position)
@@ -183,56 +184,67 @@ class GraphStore:
     def compact_raw(self, upto: Position | None = None, buckets: int | None = None, prefix: str = "graph") -> None:
         """Fold batches up to ``upto`` into bases of one row per key.
 
+        The first write of a key stands for good, so a compaction only appends the rows with
+        new keys and never rewrites a base. A reader or a repeated compaction that meets rows
+        appended before the position moved on finds their keys in the base and adds nothing.
+
         With ``buckets`` the bases become catalog tables, bucketed and sorted so that the
         joins along a transaction read them without a shuffle, as long as no later batch has
         to be merged in. Pass the last batch as ``upto`` once the stream has stopped.
         """
-        self._compact("raw_graph", self.raw, RAW_VIEWS, upto, buckets, prefix)
-
-    def compact_stats(self, upto: Position | None = None) -> None:
-        self._compact("category_stats", self.stats, STATS_VIEWS, upto, None, "")
-
-    def _compact(
-        self, sink: str, log: BatchLog, views: dict[str, View], upto: Position | None,
-        buckets: int | None, prefix: str,
-    ) -> None:
+        upto = upto or self._last_finished(self.raw)
         if upto is None:
-            # The newest batch may still be replayed, so it stays in the tail.
-            finished = log.batches()[:-1]
-            if not finished:
-                return
-            upto = finished[-1]
-        run, batch = upto
-        version = max((row["version"] for row in self._bases(sink)), default=-1) + 1
+            return
         manifest = []
-        for name, view in views.items():
-            previous = self._base(sink, name)
-            finished_rows = log.read(after=previous.position if previous else None).where(
-                (F.col("run_seq") < run) | ((F.col("run_seq") == run) & (F.col("batch_id") <= batch))
-            )
-            rows = view.resolve(finished_rows)
-            if previous is not None:
-                rows = merge_base(
-                    previous.rows.drop("window_date"), rows, view.keys, view.policy, nullable=view.nullable
-                )
-            location = f"{self.root}/{sink}/base/version={version}/{name}"
-            table = ""
-            if name == "CategoryStats":
-                # Spread by day and then by hash: a day's rows are not one task's work.
-                day = F.to_date("window_start").alias("window_date")
-                parts = F.pmod(F.xxhash64("category", "country", "window_start"), F.lit(8))
-                (rows.withColumn("window_date", day).withColumn("_part", parts)
-                    .repartition("window_date", "_part").drop("_part").sortWithinPartitions("window_start")
-                    .write.mode("overwrite").partitionBy("window_date").parquet(location))
-            elif buckets:
-                key = _BUCKET_KEYS[name]
-                table = f"{prefix}_{name.lower()}_v{version}"
-                (rows.repartition(buckets, key).write.mode("overwrite").option("path", location)
+        for name, view in RAW_VIEWS.items():
+            base = self._base("raw_graph", name)
+            rows = view.resolve(_between(self.raw, base, upto))
+            if base is not None:
+                rows = only_new(rows, base.rows, view.keys, nullable=view.nullable)
+            location, table = f"{self.root}/raw_graph/base/{name}", ""
+            if buckets:
+                key, table = _BUCKET_KEYS[name], f"{prefix}_{name.lower()}"
+                (rows.repartition(buckets, key).write.mode("append").option("path", location)
                     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
             else:
-                rows.sortWithinPartitions(*view.keys).write.mode("overwrite").parquet(location)
-            manifest.append((table, location, version, run, batch))
-        # One file for all tables of the version: readers see the old bases or the new ones.
-        self.spark.createDataFrame(manifest, _BASE_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self._manifest(sink)
-        )
+                rows.sortWithinPartitions(*view.keys).write.mode("append").parquet(location)
+            manifest.append((name, table, location, *upto))
+        self._record_bases("raw_graph", manifest)
+
+    def compact_stats(self, upto: Position | None = None) -> None:
+        """Fold batches up to ``upto`` into a new base, laid out by the day of the window.
+
+        Totals change until their window closes, so this base is rewritten; it holds one row
+        per window and group, not per transaction.
+        """
+        upto = upto or self._last_finished(self.stats)
+        if upto is None:
+            return
+        view, base = STATS_VIEWS["CategoryStats"], self._base("category_stats", "CategoryStats")
+        rows = view.resolve(_between(self.stats, base, upto))
+        if base is not None:
+            rows = merge_base(base.rows.drop("window_date"), rows, view.keys, view.policy, nullable=view.nullable)
+        location = f"{self.root}/category_stats/base/upto={upto[0]}-{upto[1]}/CategoryStats"
+        # Spread by day and then by hash: a day's rows are not one task's work.
+        spread = F.pmod(F.xxhash64("category", "country", "window_start"), F.lit(_DAY_PARTS))
+        (rows.withColumn("window_date", F.to_date("window_start")).withColumn("_part", spread)
+            .repartition("window_date", "_part").drop("_part").sortWithinPartitions("window_start")
+            .write.mode("overwrite").partitionBy("window_date").parquet(location))
+        self._record_bases("category_stats", [("CategoryStats", "", location, *upto)])
+
+    @staticmethod
+    def _last_finished(log: BatchLog) -> Position | None:
+        """The newest batch but one: the newest may still be replayed and stays in the log."""
+        finished = log.batches()[:-1]
+        return finished[-1] if finished else None
+
+    def _record_bases(self, sink: str, entries: list[tuple]) -> None:
+        # One file for all tables of a compaction: their positions move on together.
+        rows = self.spark.createDataFrame(entries, _BASE_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(self._manifest(sink))
+
+
+def _between(log: BatchLog, base: Base | None, upto: Position) -> DataFrame:
+    run, batch = upto
+    rows = log.read(after=base.position if base else None)
+    return rows.where((F.col("run_seq") < run) | ((F.col("run_seq") == run) & (F.col("batch_id") <= batch)))
