@@ -14,11 +14,14 @@ def spark(tmp_path_factory):
     session = build_session(
         "txnflow-tests",
         master="local[8]",
-        shuffle_partitions=4,
+        shuffle_partitions=2,
         extra={
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.default.parallelism": "2",
+            # Tiny inputs: compiling a fused stage takes longer than running it.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

@@ -62,7 +62,7 @@ def test_session(spark):
         session_options(state_store="other")
     sibling = streaming_session(spark)
     sibling.conf.set("spark.sql.shuffle.partitions", "3")
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
 
 
 def test_work_folder_comes_from_the_session(spark):

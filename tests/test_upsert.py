@@ -104,11 +104,10 @@ def test_run_numbers(spark):
         spark.createDataFrame([(query_id,)], "id STRING").coalesce(1).write.json(f"{folder}/{name}/metadata")
         return f"{folder}/{name}"
 
-    assert registry.run_for(f"{folder}/none") == 0
+    assert registry.run_for(f"{folder}/none") == (0, False)
     first = checkpoint("a", "q-a")
-    assert registry.run_for(first) == 0
+    assert registry.run_for(first) == (0, False)
     registry.record("q-a", 0)
-    registry.record("q-a", 0)
-    assert registry.run_for(first) == 0
-    assert registry.run_for(checkpoint("b", "q-b")) == 1
-    assert registry.run_for(f"{folder}/none") == 1
+    assert registry.run_for(first) == (0, True)
+    assert registry.run_for(checkpoint("b", "q-b")) == (1, False)
+    assert registry.run_for(f"{folder}/none") == (1, False)

@@ -10,6 +10,13 @@ from txnflow.operators.sizes import DEFAULT_LIMIT_BYTES, is_small
 DEFAULT_SALTS = 16
 
 
+def measured_strategy(merchants: DataFrame, streaming: bool, limit_bytes: int = DEFAULT_LIMIT_BYTES) -> str:
+    """The join strategy for a dimension of this measured size."""
+    if is_small(merchants.select("merchant_id", "category"), limit_bytes):
+        return "broadcast"
+    return "salted" if streaming else "shuffle"
+
+
 def enrich_merchant(
     transactions: DataFrame,
     merchants: DataFrame,
@@ -29,10 +36,7 @@ def enrich_merchant(
     """
     dimension = merchants.select("merchant_id", "category")
     if strategy == "auto":
-        if is_small(dimension, limit_bytes):
-            strategy = "broadcast"
-        else:
-            strategy = "salted" if transactions.isStreaming else "shuffle"
+        strategy = measured_strategy(dimension, transactions.isStreaming, limit_bytes)
     if strategy == "broadcast":
         return transactions.join(F.broadcast(dimension), "merchant_id", "left")
     if strategy == "shuffle":

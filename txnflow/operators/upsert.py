@@ -154,17 +154,19 @@ class RunRegistry:
         rows = self.spark.read.schema("query_id STRING, run_seq INT").parquet(self.folder)
         return {row["query_id"]: row["run_seq"] for row in rows.collect()}
 
-    def run_for(self, checkpoint: str) -> int:
-        """The number of this checkpoint: its own if it has one, else the next free one."""
+    def run_for(self, checkpoint: str) -> tuple[int, bool]:
+        """The number of this checkpoint, and whether it is on record.
+
+        A checkpoint without a record takes the next free number.
+        """
         known = self._known()
         following = max(known.values(), default=-1) + 1
         if not path_exists(self.spark, f"{checkpoint}/metadata"):
-            return following
-        metadata = self.spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()
-        return known.get(metadata["id"], following)
+            return following, False
+        query_id = self.spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()["id"]
+        return known.get(query_id, following), query_id in known
 
     def record(self, query_id: str, run_seq: int) -> None:
         """Remember the number. A start that fails before this takes the same number again."""
-        if query_id not in self._known():
-            row = self.spark.createDataFrame([(query_id, run_seq)], "query_id STRING, run_seq INT")
-            row.coalesce(1).write.mode("append").parquet(self.folder)
+        row = self.spark.createDataFrame([(query_id, run_seq)], "query_id STRING, run_seq INT")
+        row.coalesce(1).write.mode("append").parquet(self.folder)

@@ -13,7 +13,7 @@ from txnflow.functions.messages import encode_messages, json_object, parse_trans
 from txnflow.functions.timetext import as_utc, iso_micros, iso_millis
 from txnflow.operators import graph as G
 from txnflow.operators import monitor, quality
-from txnflow.operators.enrich import enrich_merchant
+from txnflow.operators.enrich import enrich_merchant, measured_strategy
 from txnflow.operators.filters import filter_approved, parse_approved, project_transaction
 from txnflow.operators.stats import category_stats_of, stats_payload, top_categories
 from txnflow.operators.upsert import dedup
@@ -171,8 +171,12 @@ def category_stats_large_dim(spark, sf_dir):
 def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", late_text=None):
     work, session = work_folder(spark, name), streaming_session(spark, state_store)
     store = GraphStore(session, f"{work}/store")
-    config = pipeline.PipelineConfig(checkpoint_root=f"{work}/checkpoints", window="1 hour")
     merchants = inputs.merchants(session, sf_dir)
+    # The dimension does not change between the runs, so it is measured once for all of them.
+    config = pipeline.PipelineConfig(
+        checkpoint_root=f"{work}/checkpoints", window="1 hour",
+        join_strategy=measured_strategy(merchants, streaming=True),
+    )
     finished = inputs.run_arrivals(
         inputs.land_in_order(spark, sf_dir, f"{work}/topic", late_text),
         lambda: pipeline.start_category_stats(

@@ -77,7 +77,7 @@ def start_raw_graph(
 ) -> StreamingQuery:
     checkpoint = config.checkpoint("raw_graph")
     runs = store.runs("raw_graph")
-    run_seq = runs.run_for(checkpoint)
+    run_seq, recorded = runs.run_for(checkpoint)
     query = (
         approved_stream(raw, config)
         .writeStream.queryName("raw_graph_sink")
@@ -87,7 +87,8 @@ def start_raw_graph(
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
         .start()
     )
-    runs.record(query.id, run_seq)
+    if not recorded:
+        runs.record(query.id, run_seq)
     return query
 
 
@@ -97,7 +98,7 @@ def start_category_stats(
 ) -> StreamingQuery:
     checkpoint = config.checkpoint("category_stats")
     runs = store.runs("category_stats")
-    run_seq = runs.run_for(checkpoint)
+    run_seq, recorded = runs.run_for(checkpoint)
     query = (
         windowed_stats(approved_stream(raw, config), merchants, config)
         .writeStream.queryName("category_stats_sink")
@@ -107,7 +108,8 @@ def start_category_stats(
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
         .start()
     )
-    runs.record(query.id, run_seq)
+    if not recorded:
+        runs.record(query.id, run_seq)
     return query
 
 
