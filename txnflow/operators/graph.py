@@ -180,26 +180,30 @@ def top_customers(graph: Graph, status: str = APPROVED, n: int = 1) -> DataFrame
     )
 
 
-def all_paths(graph: Graph) -> DataFrame:
-    """Every Customer-MADE->Transaction-AT->Merchant path, as the ids along it."""
-    return (
+def transaction_paths(graph: Graph, n: int = 25) -> DataFrame:
+    """The first ``n`` Customer-MADE->Transaction-AT->Merchant paths by the ids along them.
+
+    A transaction id used again has several edges on both sides. The first ``n`` paths lie on
+    the first ``n`` MADE edges that lead anywhere, so those are found by semi joins, which
+    pair nothing, and only they are followed to their merchants.
+    """
+    reachable = graph.at.join(graph.merchants.select("merchant_id"), "merchant_id", "left_semi")
+    edges = (
         graph.made.select("customer_id", "transaction_id")
-        .join(graph.transactions.select("transaction_id"), "transaction_id")
-        .join(graph.at, "transaction_id")
-        .join(graph.customers.select("customer_id"), "customer_id")
-        .join(graph.merchants.select("merchant_id"), "merchant_id")
+        .join(graph.transactions.select("transaction_id"), "transaction_id", "left_semi")
+        .join(reachable.select("transaction_id").distinct(), "transaction_id", "left_semi")
+        .join(graph.customers.select("customer_id"), "customer_id", "left_semi")
+        .orderBy("customer_id", "transaction_id")
+        .limit(n)
+    )
+    return (
+        reachable.join(edges, "transaction_id")
         .select("customer_id", "transaction_id", "merchant_id")
+        .orderBy("customer_id", "transaction_id", "merchant_id")
+        .limit(n)
     )
 
 
-def transaction_paths(graph: Graph, n: int | None = 25, ordered: bool = True) -> DataFrame:
-    """The first ``n`` paths by their ids, or any ``n`` of them when not ``ordered``."""
-    paths = all_paths(graph)
-    if ordered and n is not None:
-        paths = paths.orderBy("customer_id", "transaction_id", "merchant_id")
-    return paths if n is None else paths.limit(n)
-
-
 def path_details(graph: Graph, paths: DataFrame) -> DataFrame:
     """Node and edge properties for a report of paths."""
     made = graph.made.select(
