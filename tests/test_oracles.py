@@ -4,10 +4,11 @@ import pytest
 from check import compare, connect
 
 import __spark_entry__ as entry_point
+from txnflow.plans import oracles, queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = queries.registered()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
