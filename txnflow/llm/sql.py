@@ -14,16 +14,16 @@ def _secret_spans(rule: SecretRule, rank: int) -> str:
 {rule.kind}_parts as (
     select doc_id,
            list_transform(regexp_split_to_array(text, '{pattern}'), lambda x: length(x)) as gap,
-           list_transform(regexp_extract_all(text, '{pattern}', 0), lambda x: length(x)) as size,
+           list_transform(regexp_extract_all(text, '{pattern}', 0), lambda x: length(x)) as sizes,
            list_transform(regexp_extract_all(text, '{pattern}', {rule.group}), lambda x: length(x)) as kept
     from d where regexp_matches(text, '{pattern}')
 ),
 {rule.kind}_spans as (
-    {kind}, at + gap[i] as "start", at + gap[i] + size[i] as "end"
+    {kind}, before + gap[i] as "start", before + gap[i] + sizes[i] as "end"
     from (
-        select doc_id, gap, size, kept, i,
-               coalesce(list_sum(gap[1:i-1]), 0) + coalesce(list_sum(size[1:i-1]), 0) as at
-        from {rule.kind}_parts, unnest(range(1, len(size) + 1)) as t(i)
+        select doc_id, gap, sizes, kept, i,
+               coalesce(list_sum(gap[1:i-1]), 0) + coalesce(list_sum(sizes[1:i-1]), 0) as before
+        from {rule.kind}_parts, unnest(range(1, len(sizes) + 1)) as t(i)
     ) where kept[i] >= {rule.least}
 )"""
 
