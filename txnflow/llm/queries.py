@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import quality_rules, secret_scans, url_filters
+from txnflow.llm import (
+    decontamination,
+    language_id,
+    lm_scoring,
+    quality_rules,
+    secret_scans,
+    sentencepiece_codec,
+    simhash_dedup,
+    substring_dedup,
+    toxicity,
+    url_filters,
+)
+from txnflow.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TABLES = {
-    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
-    "pages": "page_id BIGINT, url STRING, html STRING",
-    "benchmark": "item_id BIGINT, text STRING",
-    "labels": "doc_id BIGINT, quality BIGINT, toxic BIGINT",
-}
+#: The model whose pieces encode the documents.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 URL_RULES = (
     url_filters.UrlRule("net/", url_filters.BLOCK),
     url_filters.UrlRule("example.net/en/", url_filters.ALLOW),
@@ -37,11 +45,55 @@ def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return pages.join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("page_id", "bad")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+    return scored.withColumn("log_score", F.round("log_score", 4))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "evidence",
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    profiles = language_id.learn_profiles(documents.where(fold(F.col("doc_id"), 4) != 2))
+    found = language_id.predict_language(documents, profiles)
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filters.judge_urls(pages, page_outcomes(pages, table(spark, sf_dir, "labels")), URL_RULES)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_codec.load_pieces(PIECES)
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), pieces)
+
+
 def _count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
@@ -70,7 +122,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {
-        fn.__name__: fn
-        for fn in (op4_url_filters, op9_secret_scans, op10_quality_rules)
-    }
+    listed = (
+        op1_lm_scoring, op2_toxicity, op3_language_id, op4_url_filters, op5_decontamination,
+        op6_simhash_dedup, op7_substring_dedup, op8_sentencepiece, op9_secret_scans, op10_quality_rules,
+    )
+    return {fn.__name__: fn for fn in listed}
