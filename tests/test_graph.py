@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from txnflow.operators import graph as G
 from txnflow.operators.quality import duplicate_keys, transactions_with_two_makers
+from txnflow.operators.upsert import BatchLog
 from txnflow.schemas import RAW_LOG, STATS_LOG
-from txnflow.session import work_folder
-from txnflow.streaming.store import _BASE_SCHEMA, GraphStore
+from txnflow.session import delete_folder, matching_paths, work_folder
+from txnflow.streaming.store import GraphStore
 
 RAW = f"{RAW_LOG}, run_seq INT, batch_id BIGINT"
 
@@ -90,31 +91,109 @@ def test_paths_of_a_transaction_with_many_edges_on_both_sides(spark):
 
 def test_graph_after_compaction(store):
     store.compact_raw()
-    assert store._bases("raw_graph")[0]["batch_id"] == 1
+    assert store._base("raw_graph", "Transaction").marks == {0: 1}
     check_tables(store.graph())
 
 
 def test_graph_with_base_and_later_batches(store):
     store.compact_raw(upto=(0, 0))
     check_graph(store.graph())
-    before = set(store.spark.read.parquet(f"{store.root}/raw_graph/base/Transaction").inputFiles())
+    before = store._base("raw_graph", "Transaction").parts
+    store.compact_raw(upto=(0, 1))
+    check_tables(store.graph())
+    after = store._base("raw_graph", "Transaction")
+    assert after.parts[:-1] == before and after.marks == {0: 1}
+
+
+@pytest.mark.parametrize("done", [0, 1])
+@pytest.mark.parametrize("failing", [1, 4])
+def test_compaction_that_fails_between_its_tables(store, failing, done):
+    """The first or second compaction dies after some of its tables, and is repeated."""
+    if done:
+        store.compact_raw(upto=(0, 0))
+    attempts = []
+
+    def die(base, rows, view):
+        attempts.append(view)
+        if len(attempts) > failing:
+            raise RuntimeError("lost")
+        return False
+
+    broken = GraphStore(store.spark, store.root)
+    object.__setattr__(broken, "_has_earlier", die)
+    if done:
+        with pytest.raises(RuntimeError, match="lost"):
+            broken.compact_raw(upto=(0, 1))
+    else:
+        object.__setattr__(broken, "_record_bases", lambda *_: None)
+        broken.compact_raw(upto=(0, 1))
     store.compact_raw(upto=(0, 1))
     check_tables(store.graph())
-    assert before < set(store.spark.read.parquet(f"{store.root}/raw_graph/base/Transaction").inputFiles())
-    assert {r["batch_id"] for r in store._bases("raw_graph")} == {0, 1}
 
 
-def test_compaction_repeated_before_the_position_moved_on_adds_nothing(store):
+def test_an_older_run_goes_on_after_compaction(spark):
+    store = GraphStore(spark, work_folder(spark, "graph"))
+    store.raw.write(raw(spark, [(1, 10, 20, 1.0, "approved")]), 0, 0)
+    store.raw.write(raw(spark, [(2, 10, 20, 2.0, "approved"), (3, 10, 20, 30.0, "approved")]), 1, 0)
+    store.raw.write(raw(spark, [(4, 10, 20, 4.0, "approved")]), 1, 1)
+    for upto in (None, (9, 9)):
+        store.compact_raw(upto)
+        # A new key, and the first write of a known one.
+        store.raw.write(raw(spark, [(77, 10, 20, 7.0, "approved"), (3, 10, 20, 3.0, "approved")]), 0, 1)
+        want = [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0), (77, 7.0)]
+        assert rows(store.graph().transactions, "transaction_id", "amount") == want
+    store.compact_raw((9, 9))
+    assert rows(store.graph().transactions, "transaction_id", "amount") == want
+    assert store._base("raw_graph", "Transaction").marks == {0: 1, 1: 1}
+
+
+def test_layout_changes_between_compactions(spark, store):
     store.compact_raw(upto=(0, 0))
-    before = rows(store.graph().transactions)
-    first = store._bases("raw_graph")
-    store.compact_raw(upto=(0, 1))
-    # As after a failure between the appends and the manifest: only the first position is known.
-    store.spark.createDataFrame(first, _BASE_SCHEMA).coalesce(1).write.parquet(f"{store.root}/again/bases")
-    stale = GraphStore(store.spark, store.root)
-    object.__setattr__(stale, "_manifest", lambda sink: f"{store.root}/again/bases")
-    assert len(rows(stale.graph().transactions)) == len(before) == 6
-    check_tables(stale.graph())
+    for i, buckets in enumerate((4, None, 2)):
+        store.raw.write(raw(spark, [(100 + i, 1, 1, 1.0, "approved")]), 0, 10 + i)
+        store.compact_raw(upto=(0, 10 + i), buckets=buckets, prefix="layout")
+        assert store.graph().transactions.count() == 7 + i
+
+
+def test_expiry_leaves_base_and_tail(spark, store):
+    expected = rows(store.graph().transactions)
+    for step in (0, 1):
+        store.compact_raw(upto=(0, step))
+    store.compact_raw(upto=(0, 1), buckets=2, prefix="expiring")
+    store.expire("raw_graph")
+    assert rows(store.graph().transactions) == expected
+    assert (0, 0) not in store.raw.batches()
+    listed = set(store._base("raw_graph", "Transaction").parts)
+    on_disk = matching_paths(spark, f"{store.root}/raw_graph/base/Transaction/*")
+    assert {p.split("/")[-1] for p in listed} <= {p.split("/")[-1] for p in on_disk}
+
+
+def test_a_batch_being_written_is_not_read(spark, store):
+    expected = rows(store.graph().transactions)
+    folder = f"{store.raw.folder}/run_seq=5/batch_id=0"
+    spark.createDataFrame([(99,)], "transaction_id long").write.parquet(folder)
+    delete_folder(spark, f"{folder}/_SUCCESS")
+    assert rows(store.graph().transactions) == expected
+
+
+def test_seeding_takes_one_row_of_a_repeated_key(spark):
+    store = GraphStore(spark, work_folder(spark, "graph"))
+    seeds = [(1, "Zed", "travel", "Brazil", "Puebla"), (1, "Abe", "health", "Spain", "Madrid"), (1, "Mid", "zoo", "Canada", "Aaa")]
+    store.seed_merchants(spark.createDataFrame(
+        seeds, "merchant_id long, merchant_name string, category string, merchant_country string, merchant_city string"))
+    assert rows(store.graph().merchants, "merchant_name", "category", "merchant_country", "merchant_city") == [
+        ("Abe", "health", "Spain", "Madrid")]
+
+
+def test_seeding_sends_bad_dates_to_the_rejects(spark):
+    store = GraphStore(spark, work_folder(spark, "graph"))
+    seeds = [(1, "2024-02-29"), (2, "2024-02-30"), (3, None), (4, "soon")]
+    store.seed_customers(spark.createDataFrame(seeds, "customer_id long, registration_date string"), ("registration_date",))
+    assert [(r[0], str(r[1])) for r in rows(store.graph().customers, "customer_id", "registration_date")] == [
+        (1, "2024-02-29"), (3, "None")]
+    refused = BatchLog(spark, f"{store.customer_seed.root}_rejects", "row STRING").read().collect()
+    assert sorted(r["row"] for r in refused) == [
+        '{"customer_id":2,"registration_date":"2024-02-30"}', '{"customer_id":4,"registration_date":"soon"}']
 
 
 def test_compaction_of_one_unfinished_batch_does_nothing(spark):

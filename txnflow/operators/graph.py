@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.operators.filters import APPROVED
-from txnflow.operators.upsert import first_write, keys_of, last_write, last_write_partial
+from txnflow.operators.upsert import ORDER, first_write, keys_of, last_write, last_write_partial
 from txnflow.schemas import CUSTOMER_COLUMNS, MERCHANT_COLUMNS
 
 TRANSACTION_KEY = ("transaction_id",)
@@ -23,25 +23,31 @@ def customer_stubs(raw_log: DataFrame) -> DataFrame:
     return keys_of(raw_log, ["customer_id"])
 
 
+def merchant_rows(raw_log: DataFrame) -> DataFrame:
+    return raw_log.select("merchant_id", F.col("merchant_category").alias("category"), *ORDER)
+
+
 def merchant_stubs(raw_log: DataFrame) -> DataFrame:
     """Merchants by first sight; the category is whatever the first row carried."""
-    rows = raw_log.select("merchant_id", F.col("merchant_category").alias("category"), "run_seq", "batch_id")
-    return first_write(rows, ["merchant_id"])
+    return first_write(merchant_rows(raw_log), ["merchant_id"])
+
+
+def transaction_rows(raw_log: DataFrame) -> DataFrame:
+    return raw_log.select("transaction_id", "amount", "currency", "status", "transaction_date", *ORDER)
 
 
 def transaction_nodes(raw_log: DataFrame) -> DataFrame:
-    rows = raw_log.select(
-        "transaction_id", "amount", "currency", "status", "transaction_date", "run_seq", "batch_id"
+    return first_write(transaction_rows(raw_log), TRANSACTION_KEY)
+
+
+def made_rows(raw_log: DataFrame) -> DataFrame:
+    return raw_log.select(
+        "customer_id", "transaction_id", "amount", "currency", F.col("transaction_date").alias("timestamp"), *ORDER
     )
-    return first_write(rows, TRANSACTION_KEY)
 
 
 def made_edges(raw_log: DataFrame) -> DataFrame:
-    rows = raw_log.select(
-        "customer_id", "transaction_id", "amount", "currency",
-        F.col("transaction_date").alias("timestamp"), "run_seq", "batch_id",
-    )
-    return first_write(rows, MADE_KEY)
+    return first_write(made_rows(raw_log), MADE_KEY)
 
 
 def at_edges(raw_log: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Each micro-batch overwrites its own folder ``run_seq=<k>/batch_id=<n>``, so a replayed batch
 replaces itself and nothing is ever updated in place. Reading picks the first or the last
-row per key by ``(run_seq, batch_id)``. ``compact`` folds the finished batches into a base
-with one row per key; readers then resolve only the batches after it.
+row per key by ``(run_seq, batch_id)``. Compaction folds finished batches into a base with one
+row per key, which keeps where each row came from: a batch that arrives later from an older
+run can then still come before it.
 """
 
 from __future__ import annotations
@@ -16,36 +17,43 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.operators.sizes import broadcast_if_small
-from txnflow.session import path_exists
+from txnflow.session import create_file, matching_paths, path_exists
 
 RUN, BATCH = "run_seq", "batch_id"
 ORDER = (RUN, BATCH)
 _BATCH_FOLDER = re.compile(rf"/{RUN}=(\d+)/{BATCH}=(\d+)/")
 
 
-def _pick_columns(rows: DataFrame, keys: Sequence[str], order: Sequence[str], chooser) -> DataFrame:
+def _pick_columns(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], chooser, extreme, keep_order: bool
+) -> DataFrame:
     # One aggregate per column rather than one over a whole-row struct: the optimizer drops
     # those a query does not use, so counting or testing one attribute shuffles no other.
     # The partial aggregate leaves one row per key and task, however hot the key.
     by = F.struct(*order)
     values = [c for c in rows.columns if c not in keys and c not in order]
-    if not values:
+    if not values and not keep_order:
         return keys_of(rows, keys)
-    return rows.groupBy(*keys).agg(*(chooser(c, by).alias(c) for c in values))
+    places = [extreme(by)[c].alias(c) for c in order] if keep_order else []
+    return rows.groupBy(*keys).agg(*(chooser(c, by).alias(c) for c in values), *places)
 
 
-def first_write(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+def first_write(
+    log: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER, *, keep_order: bool = False
+) -> DataFrame:
     """Create-only upsert: the earliest row of each key stays.
 
     A batch holds one row per key, as the writers see to; so ``order`` never ties.
+    ``keep_order`` adds the order columns of the row that stayed.
     """
-    return _pick_columns(log, keys, order, F.min_by)
+    return _pick_columns(log, keys, order, F.min_by, F.min, keep_order)
 
 
-def last_write(log: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+def last_write(
+    log: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER, *, keep_order: bool = False
+) -> DataFrame:
     """Overwriting upsert: the latest row of each key stays, under the same condition."""
-    return _pick_columns(log, keys, order, F.max_by)
+    return _pick_columns(log, keys, order, F.max_by, F.max, keep_order)
 
 
 def last_write_partial(
@@ -82,27 +90,31 @@ def _match_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str
 
 
 def only_new(tail: DataFrame, base: DataFrame, keys: Sequence[str], *, nullable: bool = True) -> DataFrame:
-    """Rows of the tail whose key the base does not have.
-
-    Only the tail's keys travel when they measure small; the base is then scanned in place
-    for its keys and not shuffled. ``nullable`` makes NULL key parts compare equal.
-    """
-    tail_keys = broadcast_if_small(tail.select(*keys))
-    known = _match_keys(base.select(*keys), tail_keys, keys, "left_semi", nullable)
-    return _match_keys(tail, known, keys, "left_anti", nullable)
+    """Rows of the tail whose key the base does not have. ``nullable`` makes NULL key parts compare equal."""
+    return _match_keys(tail, base, keys, "left_anti", nullable)
 
 
 def merge_base(
     base: DataFrame, tail: DataFrame, keys: Sequence[str], policy: str, *, nullable: bool = True
 ) -> DataFrame:
-    """Current rows from a base (one row per key) and the resolved rows of later batches."""
+    """One row per key from a base (one row per key) and resolved rows of other batches.
+
+    Both carry the order columns, which decide between two rows of a key whichever side they
+    are on; tables of bare keys carry none. Base rows whose key the tail lacks pass through.
+    """
+    if policy not in ("first", "last"):
+        raise ValueError(f"unknown policy {policy!r}")
     tail = tail.select(*base.columns)
-    if policy == "first":
+    if RUN not in base.columns:
         return base.unionByName(only_new(tail, base, keys, nullable=nullable))
-    if policy == "last":
-        tail_keys = broadcast_if_small(tail.select(*keys))
-        return _match_keys(base, tail_keys, keys, "left_anti", nullable).unionByName(tail)
-    raise ValueError(f"unknown policy {policy!r}")
+    pick = first_write if policy == "first" else last_write
+    touched = _match_keys(base, tail, keys, "left_semi", nullable)
+    untouched = _match_keys(base, tail, keys, "left_anti", nullable)
+    resolved = pick(touched.unionByName(tail), keys, keep_order=True)
+    return untouched.unionByName(resolved.select(*base.columns))
+
+
+Marks = dict[int, int]
 
 
 @dataclass(frozen=True)
@@ -117,24 +129,36 @@ class BatchLog:
     def folder(self) -> str:
         return f"{self.root}/log"
 
-    def write(self, rows: DataFrame, run_seq: int, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{RUN}={run_seq}/{BATCH}={batch_id}")
+    def write(self, rows: DataFrame, run_seq: int, batch_id: int, mode: str = "overwrite") -> None:
+        rows.write.mode(mode).parquet(f"{self.folder}/{RUN}={run_seq}/{BATCH}={batch_id}")
 
-    def read(self, after: tuple[int, int] | None = None) -> DataFrame:
-        """All batches, or those after ``(run_seq, batch_id)``; earlier folders are pruned."""
-        schema = f"{self.schema}, {RUN} INT, {BATCH} BIGINT"
-        if not path_exists(self.spark, self.folder):
-            return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).parquet(self.folder)
-        if after is None:
-            return rows
-        run, batch = after
-        return rows.where((F.col(RUN) > run) | ((F.col(RUN) == run) & (F.col(BATCH) > batch)))
+    def folders(self) -> dict[tuple[int, int], str]:
+        """The folders of finished batches, oldest first. A batch being written has no marker yet."""
+        found = {}
+        for path in matching_paths(self.spark, f"{self.folder}/{RUN}=*/{BATCH}=*/_SUCCESS"):
+            m = _BATCH_FOLDER.search(path)
+            found[int(m.group(1)), int(m.group(2))] = path.removesuffix("/_SUCCESS")
+        return dict(sorted(found.items()))
 
     def batches(self) -> list[tuple[int, int]]:
-        """The batches on disk, oldest first, from the file listing; no data is read."""
-        found = (_BATCH_FOLDER.search(path) for path in self.read().inputFiles())
-        return sorted({(int(m.group(1)), int(m.group(2))) for m in found if m})
+        """The finished batches, oldest first, from folder names only."""
+        return list(self.folders())
+
+    def read(self, after: Marks | None = None, upto: Marks | None = None) -> DataFrame:
+        """Finished batches: those above each run's mark in ``after`` and up to that in ``upto``.
+
+        Only their folders are listed. Runs without a mark in ``after`` are read in full, those
+        without one in ``upto`` not at all.
+        """
+        after = after or {}
+        chosen = [
+            path for (run, batch), path in self.folders().items()
+            if batch > after.get(run, -1) and (upto is None or batch <= upto.get(run, -1))
+        ]
+        schema = f"{self.schema}, {RUN} INT, {BATCH} BIGINT"
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.folder).parquet(*chosen)
 
 
 @dataclass(frozen=True)
@@ -157,16 +181,19 @@ class RunRegistry:
     def run_for(self, checkpoint: str) -> tuple[int, bool]:
         """The number of this checkpoint, and whether it is on record.
 
-        A checkpoint without a record takes the next free number.
+        A checkpoint without a record claims a free number, which no other start can get.
         """
         known = self._known()
-        following = max(known.values(), default=-1) + 1
-        if not path_exists(self.spark, f"{checkpoint}/metadata"):
-            return following, False
-        query_id = self.spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()["id"]
-        return known.get(query_id, following), query_id in known
+        if path_exists(self.spark, f"{checkpoint}/metadata"):
+            query_id = self.spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()["id"]
+            if query_id in known:
+                return known[query_id], True
+        number = max(known.values(), default=-1) + 1
+        while not create_file(self.spark, f"{self.root}/claims/{number}"):
+            number += 1
+        return number, False
 
     def record(self, query_id: str, run_seq: int) -> None:
-        """Remember the number. A start that fails before this takes the same number again."""
+        """Remember the number. A start that fails before this leaves its number unused."""
         row = self.spark.createDataFrame([(query_id, run_seq)], "query_id STRING, run_seq INT")
         row.coalesce(1).write.mode("append").parquet(self.folder)

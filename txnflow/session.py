@@ -85,5 +85,28 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file exists on whatever file system the path names."""
+    fs, path = _file_system(spark, path)
+    return fs.exists(path)
+
+
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, from folder names only."""
+    fs, path = _file_system(spark, pattern)
+    return [str(status.getPath().toString()) for status in fs.globStatus(path) or []]
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false when it is there already, whoever made it."""
+    fs, path = _file_system(spark, path)
+    fs.mkdirs(path.getParent())
+    return fs.createNewFile(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, path = _file_system(spark, path)
+    fs.delete(path, True)

@@ -2,56 +2,74 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow import schemas as S
 from txnflow.functions.timetext import as_utc
 from txnflow.operators import graph as G
-from txnflow.operators.upsert import BatchLog, RunRegistry, merge_base, only_new
-from txnflow.session import path_exists
+from txnflow.operators.upsert import (
+    ORDER, BatchLog, Marks, RunRegistry, dedup, first_write, keys_of, last_write, merge_base, only_new,
+)
+from txnflow.session import delete_folder, matching_paths, path_exists
 
 Position = tuple[int, int]
 
 
 @dataclass(frozen=True)
 class View:
-    """How one current table comes out of a log."""
+    """How one current table comes out of a log: its columns, its key and which write stays."""
 
-    resolve: Callable[[DataFrame], DataFrame]
+    columns: Callable[[DataFrame], DataFrame]
     keys: tuple[str, ...]
     policy: str
     nullable: bool = False
 
+    def resolve(self, log: DataFrame) -> DataFrame:
+        """One row per key, with its place in the log unless the table is bare keys."""
+        rows = self.columns(log)
+        if set(rows.columns) == set(self.keys):
+            return keys_of(rows, self.keys)
+        return (first_write if self.policy == "first" else last_write)(rows, self.keys, keep_order=True)
+
+    def merge(self, base: DataFrame, tail: DataFrame) -> DataFrame:
+        return merge_base(base, tail, self.keys, self.policy, nullable=self.nullable)
+
 
 @dataclass(frozen=True)
 class Base:
-    """A compacted table and the last batch folded into it."""
+    """A compacted table, what it is made of, and the last batch of each run folded into it."""
 
     rows: DataFrame
-    position: Position
+    parts: tuple[str, ...]
+    table_name: str
+    marks: Marks
 
 
 RAW_VIEWS = {
     "Customer": View(G.customer_stubs, ("customer_id",), "first"),
-    "Merchant": View(G.merchant_stubs, ("merchant_id",), "first"),
-    "Transaction": View(G.transaction_nodes, G.TRANSACTION_KEY, "first"),
-    "MADE": View(G.made_edges, G.MADE_KEY, "first"),
+    "Merchant": View(G.merchant_rows, ("merchant_id",), "first"),
+    "Transaction": View(G.transaction_rows, G.TRANSACTION_KEY, "first"),
+    "MADE": View(G.made_rows, G.MADE_KEY, "first"),
     "AT": View(G.at_edges, G.AT_KEY, "first"),
 }
-STATS_VIEWS = {"CategoryStats": View(G.stats_nodes, G.STATS_KEY, "last", nullable=True)}
+STATS_VIEWS = {"CategoryStats": View(lambda log: log, G.STATS_KEY, "last", nullable=True)}
 
 # Bases that join on the transaction are laid out by it, so those joins need no shuffle.
 _BUCKET_KEYS = {
     "Customer": "customer_id", "Merchant": "merchant_id",
     "Transaction": "transaction_id", "MADE": "transaction_id", "AT": "transaction_id",
 }
-_BASE_SCHEMA = "name STRING, table_name STRING, location STRING, run_seq INT, batch_id BIGINT"
-_DAY_PARTS = 8
+_BASE_SCHEMA = (
+    "number BIGINT, attempt STRING, name STRING, table_name STRING, buckets INT, "
+    "parts ARRAY<STRING>, marks MAP<INT, BIGINT>"
+)
 
 
 @dataclass(frozen=True)
@@ -98,12 +116,20 @@ class GraphStore:
         unknown = set(columns) - set(known)
         if unknown:
             raise ValueError(f"not columns of this table: {sorted(unknown)}")
-        done = log.batches()
         types = {f.name: f.dataType for f in log.read().schema.fields}
-        values = [(F.col(c) if c in columns else F.lit(None)).cast(types[c]).alias(c) for c in known]
+        values = [F.col(c).alias(c) if c in columns else F.lit(None).cast(types[c]).alias(c) for c in known]
         listed = F.array(*(F.lit(c) for c in columns)).cast("array<string>").alias("set_columns")
-        log.write(rows.select(F.col(key).cast("long").alias(key), *values, listed), 0,
-                  done[-1][1] + 1 if done else 0)
+        # A key that repeats stands once, as one of its rows in full.
+        rows = dedup(rows.select(F.col(key).cast("long").alias(key), *values), [key], ())
+        typed = {c: F.col(c).try_cast(types[c]) for c in known}
+        bad = reduce(Column.__or__, (F.col(c).isNotNull() & typed[c].isNull() for c in known))
+        done = log.batches()
+        batch = done[-1][1] + 1 if done else 0
+        good = rows.where(~bad).select(key, *(typed[c].alias(c) for c in known), listed)
+        log.write(good, 0, batch, mode="errorifexists")
+        refused = rows.where(bad).select(F.to_json(F.struct(*rows.columns)).alias("row"))
+        if not refused.isEmpty():
+            BatchLog(self.spark, f"{log.root}_rejects", "row STRING").write(refused, 0, batch)
 
     # --- reading ---
     def graph(self) -> G.Graph:
@@ -128,88 +154,108 @@ class GraphStore:
 
         The bound prunes day folders of the base and row groups of the later batches.
         """
-        view, tail_rows = STATS_VIEWS["CategoryStats"], self.stats.read
-        base = self._base("category_stats", "CategoryStats")
+        view, base = STATS_VIEWS["CategoryStats"], self._base("category_stats", "CategoryStats")
         since = as_utc(since) if since is not None else None
         in_range = F.lit(True) if since is None else F.col("window_start") >= F.lit(since)
+        tail = self.stats.read(after=base.marks if base else None).where(in_range)
         if base is None:
-            return view.resolve(tail_rows().where(in_range))
+            return view.resolve(tail).drop(*ORDER)
         rows = base.rows
         if since is not None:
             rows = rows.where(F.col("window_date") >= F.lit(since.date()))
         rows = rows.drop("window_date").where(in_range)
-        if not self._has_later(self.stats, base):
-            return rows
-        tail = view.resolve(tail_rows(after=base.position).where(in_range))
-        return merge_base(rows, tail, view.keys, view.policy, nullable=view.nullable)
+        if self._has_later(self.stats, base):
+            rows = view.merge(rows, view.resolve(tail))
+        return rows.drop(*ORDER)
 
     def merchant_dimension(self) -> DataFrame:
         """Seeded merchants as the enrichment join needs them."""
         return G.merchant_seed_nodes(self.merchant_seed.read()).select("merchant_id", "category")
 
     def _current(self, sink: str, log: BatchLog, views: dict[str, View], name: str) -> DataFrame:
-        view = views[name]
-        base = self._base(sink, name)
+        view, base = views[name], self._base(sink, name)
         if base is None:
-            return view.resolve(log.read())
+            return view.resolve(log.read()).drop(*ORDER)
         if not self._has_later(log, base):
             # Without a union a bucketed base keeps its partitioning, and joins need no shuffle.
-            return base.rows
-        tail = view.resolve(log.read(after=base.position))
-        return merge_base(base.rows, tail, view.keys, view.policy, nullable=view.nullable)
+            return base.rows.drop(*ORDER)
+        return view.merge(base.rows, view.resolve(log.read(after=base.marks))).drop(*ORDER)
 
     @staticmethod
     def _has_later(log: BatchLog, base: Base) -> bool:
-        return any(position > base.position for position in log.batches())
+        return any(batch > base.marks.get(run, -1) for run, batch in log.batches())
 
     # --- compaction ---
     def _manifest(self, sink: str) -> str:
         return f"{self.root}/{sink}/bases"
 
     def _bases(self, sink: str) -> list:
+        """What each finished compaction put in force, one row per table; nothing else is read."""
         if not path_exists(self.spark, self._manifest(sink)):
             return []
         return self.spark.read.schema(_BASE_SCHEMA).parquet(self._manifest(sink)).collect()
 
+    def _newest(self, sink: str) -> dict:
+        """The rows by table of the newest finished compaction."""
+        rows = self._bases(sink)
+        newest = max(((row["number"], row["attempt"]) for row in rows), default=None)
+        return {row["name"]: row for row in rows if (row["number"], row["attempt"]) == newest}
+
     def _base(self, sink: str, name: str) -> Base | None:
-        rows = [row for row in self._bases(sink) if row["name"] == name]
-        if not rows:
+        row = self._newest(sink).get(name)
+        if row is None:
             return None
-        newest = max(rows, key=lambda row: (row["run_seq"], row["batch_id"]))
-        position = (newest["run_seq"], newest["batch_id"])
-        if newest["table_name"] and self.spark.catalog.tableExists(newest["table_name"]):
-            return Base(self.spark.table(newest["table_name"]), position)
-        return Base(self.spark.read.parquet(newest["location"]), position)
+        if row["table_name"] and self.spark.catalog.tableExists(row["table_name"]):
+            rows = self.spark.table(row["table_name"])
+        else:
+            rows = self.spark.read.parquet(*row["parts"])
+        return Base(rows, tuple(row["parts"]), row["table_name"], dict(row["marks"]))
 
     def compact_raw(self, upto: Position | None = None, buckets: int | None = None, prefix: str = "graph") -> None:
         """Fold batches up to ``upto`` into bases of one row per key.
 
-        The first write of a key stands for good, so a compaction only appends the rows with
-        new keys and never rewrites a base. A reader or a repeated compaction that meets rows
-        appended before the position moved on finds their keys in the base and adds nothing.
+        The first write of a key stands for good, so a compaction only adds a part with the
+        rows whose keys are new. It writes the base anew when a batch of an older run brought
+        an earlier write of a known key, and when the layout is or becomes bucketed.
+
+        Each attempt writes to folders of its own, and readers open what the manifest lists;
+        so what a failed attempt left behind is never read.
 
         With ``buckets`` the bases become catalog tables, bucketed and sorted so that the
         joins along a transaction read them without a shuffle, as long as no later batch has
         to be merged in. Pass the last batch as ``upto`` once the stream has stopped.
         """
-        upto = upto or self._last_finished(self.raw)
-        if upto is None:
+        before = self._newest("raw_graph")
+        old = dict(next(iter(before.values()))["marks"]) if before else {}
+        marks = _new_marks(self.raw.batches(), old, upto)
+        if marks == old:
             return
-        manifest = []
+        log, attempt, entries = self.raw.read(after=old, upto=marks), uuid.uuid4().hex, []
         for name, view in RAW_VIEWS.items():
             base = self._base("raw_graph", name)
-            rows = view.resolve(_between(self.raw, base, upto))
-            if base is not None:
-                rows = only_new(rows, base.rows, view.keys, nullable=view.nullable)
-            location, table = f"{self.root}/raw_graph/base/{name}", ""
+            rows, parts, table = view.resolve(log), [], ""
+            location = f"{self.root}/raw_graph/base/{name}/{attempt}"
+            if base is not None and (buckets or base.table_name or self._has_earlier(base.rows, rows, view)):
+                rows = view.merge(base.rows, rows)
+            elif base is not None:
+                rows, parts = only_new(rows, base.rows, view.keys, nullable=view.nullable), list(base.parts)
             if buckets:
-                key, table = _BUCKET_KEYS[name], f"{prefix}_{name.lower()}"
-                (rows.repartition(buckets, key).write.mode("append").option("path", location)
+                key, table = _BUCKET_KEYS[name], f"{prefix}_{name.lower()}_{attempt}"
+                (rows.repartition(buckets, key).write.option("path", location)
                     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
             else:
-                rows.sortWithinPartitions(*view.keys).write.mode("append").parquet(location)
-            manifest.append((name, table, location, *upto))
-        self._record_bases("raw_graph", manifest)
+                rows.sortWithinPartitions(*view.keys).write.parquet(location)
+            entries.append((name, table, buckets or 0, [*parts, location]))
+        self._record_bases("raw_graph", before, attempt, marks, entries)
+
+    @staticmethod
+    def _has_earlier(base: DataFrame, rows: DataFrame, view: View) -> bool:
+        """Whether rows hold an earlier write of a key the base knows."""
+        if not set(ORDER) <= set(rows.columns):
+            return False
+        known = base.select(*view.keys, F.struct(*ORDER).alias("_known"))
+        joined = rows.select(*view.keys, F.struct(*ORDER).alias("_found")).join(known, list(view.keys))
+        return not joined.where(F.col("_found") < F.col("_known")).isEmpty()
 
     def compact_stats(self, upto: Position | None = None) -> None:
         """Fold batches up to ``upto`` into a new base, laid out by the day of the window.
@@ -217,34 +263,66 @@ class GraphStore:
         Totals change until their window closes, so this base is rewritten; it holds one row
         per window and group, not per transaction.
         """
-        upto = upto or self._last_finished(self.stats)
-        if upto is None:
+        before = self._newest("category_stats")
+        old = dict(next(iter(before.values()))["marks"]) if before else {}
+        marks = _new_marks(self.stats.batches(), old, upto)
+        if marks == old:
             return
         view, base = STATS_VIEWS["CategoryStats"], self._base("category_stats", "CategoryStats")
-        rows = view.resolve(_between(self.stats, base, upto))
+        rows, attempt = view.resolve(self.stats.read(after=old, upto=marks)), uuid.uuid4().hex
         if base is not None:
-            rows = merge_base(base.rows.drop("window_date"), rows, view.keys, view.policy, nullable=view.nullable)
-        location = f"{self.root}/category_stats/base/upto={upto[0]}-{upto[1]}/CategoryStats"
-        # Spread by day and then by hash: a day's rows are not one task's work.
-        spread = F.pmod(F.xxhash64("category", "country", "window_start"), F.lit(_DAY_PARTS))
-        (rows.withColumn("window_date", F.to_date("window_start")).withColumn("_part", spread)
-            .repartition("window_date", "_part").drop("_part").sortWithinPartitions("window_start")
-            .write.mode("overwrite").partitionBy("window_date").parquet(location))
-        self._record_bases("category_stats", [("CategoryStats", "", location, *upto)])
-
-    @staticmethod
-    def _last_finished(log: BatchLog) -> Position | None:
-        """The newest batch but one: the newest may still be replayed and stays in the log."""
-        finished = log.batches()[:-1]
-        return finished[-1] if finished else None
-
-    def _record_bases(self, sink: str, entries: list[tuple]) -> None:
-        # One file for all tables of a compaction: their positions move on together.
-        rows = self.spark.createDataFrame(entries, _BASE_SCHEMA)
-        rows.coalesce(1).write.mode("append").parquet(self._manifest(sink))
-
-
-def _between(log: BatchLog, base: Base | None, upto: Position) -> DataFrame:
-    run, batch = upto
-    rows = log.read(after=base.position if base else None)
-    return rows.where((F.col("run_seq") < run) | ((F.col("run_seq") == run) & (F.col("batch_id") <= batch)))
+            rows = view.merge(base.rows.drop("window_date"), rows)
+        location = f"{self.root}/category_stats/base/CategoryStats/{attempt}"
+        # A rebalance splits days with many rows and joins those with few.
+        (rows.withColumn("window_date", F.to_date("window_start")).hint("rebalance", "window_date")
+            .sortWithinPartitions("window_date", "window_start")
+            .write.partitionBy("window_date").parquet(location))
+        self._record_bases("category_stats", before, attempt, marks, [("CategoryStats", "", 0, [location])])
+
+    def expire(self, sink: str) -> None:
+        """Delete folded batches, and bases that neither of the two newest compactions lists.
+
+        Call it when no reader still runs on what was current before those.
+        """
+        log = self.raw if sink == "raw_graph" else self.stats
+        rows = self._bases(sink)
+        numbers = sorted({row["number"] for row in rows})[-2:]
+        if not numbers:
+            return
+        # What the older of the two has not folded yet, its readers still need.
+        kept = [row for row in rows if row["number"] in numbers]
+        marks = dict(min((row for row in kept), key=lambda row: row["number"])["marks"])
+        for (run, batch), folder in log.folders().items():
+            if batch <= marks.get(run, -1):
+                delete_folder(self.spark, folder)
+        listed = {_tail_of(part) for row in kept for part in row["parts"]}
+        for folder in matching_paths(self.spark, f"{self.root}/{sink}/base/*/*"):
+            if _tail_of(folder) not in listed and not any(
+                row["table_name"] and _tail_of(folder) in map(_tail_of, row["parts"]) for row in kept
+            ):
+                delete_folder(self.spark, folder)
+
+    def _record_bases(self, sink: str, before: dict, attempt: str, marks: Marks, entries: list[tuple]) -> None:
+        # One file for all tables of a compaction: they come into force together.
+        number = max((row["number"] for row in before.values()), default=-1) + 1
+        rows = [(number, attempt, name, table, buckets, parts, marks) for name, table, buckets, parts in entries]
+        self.spark.createDataFrame(rows, _BASE_SCHEMA).coalesce(1).write.mode("append").parquet(self._manifest(sink))
+
+
+def _tail_of(path: str) -> str:
+    """Table and attempt of a base folder, without the way to the store."""
+    return "/".join(path.rstrip("/").split("/")[-2:])
+
+
+def _new_marks(batches: list[Position], old: Marks, upto: Position | None) -> Marks:
+    """The last batch of each run to fold: up to ``upto``, or all but each run's newest.
+
+    The newest may still be replayed and stays in the log.
+    """
+    marks = dict(old)
+    for run in {run for run, _ in batches}:
+        own = [batch for r, batch in batches if r == run]
+        own = own[:-1] if upto is None else [batch for batch in own if (run, batch) <= tuple(upto)]
+        if own:
+            marks[run] = max(own[-1], marks.get(run, -1))
+    return marks
