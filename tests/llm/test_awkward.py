@@ -1,0 +1,149 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from txnflow.llm import decontamination as D
+from txnflow.llm import language_id as L
+from txnflow.llm import lm_scoring as M
+from txnflow.llm import quality_rules as Q
+from txnflow.llm import secret_scans as S
+from txnflow.llm import sentencepiece_codec as P
+from txnflow.llm import simhash_dedup as H
+from txnflow.llm import substring_dedup as R
+from txnflow.llm import toxicity as T
+from txnflow.llm import url_filters as U
+from txnflow.llm.queries import PIECES, URL_RULES
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, toxic long, text string")
+
+
+def run_all(spark, docs):
+    """Rows of each operator over one table of documents, by operator."""
+    labels = labels_of(spark, [(4, 1, "x"), (5, 0, "x"), (None, 1, "x"), (6, None, "x")])
+    benchmark = spark.createDataFrame([(1, None), (2, ""), (3, "same words here again and again")], "item_id long, text string")
+    pieces = P.load_pieces(PIECES)
+    frames = {
+        1: M.score_documents(docs),
+        2: T.score_toxicity(docs, labels),
+        3: L.predict_language(docs, L.learn_profiles(docs)),
+        6: H.simhash_components(docs),
+        7: R.remove_repeats(docs),
+        8: P.encode_documents(docs, pieces),
+        9: S.scan_secrets(docs),
+        10: Q.quality_ledger(docs),
+    }
+    return {n: frame.collect() for n, frame in frames.items()}, D.find_contamination(docs, benchmark).collect()
+
+
+def by_id(rows, name):
+    return sorted(((r["doc_id"] if r["doc_id"] is not None else 99), r[name]) for r in rows)
+
+
+def test_awkward_rows_each_get_a_row(spark, odd_columns):
+    found, leaks = run_all(spark, odd_columns)
+    ids = [1, 2, 3, 4, 4, 5, 6, 7, 99]
+    for n, rows in found.items():
+        assert sorted(r["doc_id"] if r["doc_id"] is not None else 99 for r in rows) == ids, n
+    assert [n for _, n in by_id(found[1], "n_words")] == [0, 0, 0, 6, 6, 6, 60_000, 5, 9]
+    assert [s for _, s in by_id(found[1], "log_score")][:3] == [0, 0, 0]
+    assert by_id(found[3], "lang_pred")[:3] == [(1, "und"), (2, "und"), (3, "und")]
+    assert by_id(found[6], "component_id")[:6] == [(1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 4)]
+    assert dict(by_id(found[7], "n_removed"))[5] == 0
+    assert all(r["round_trip"] for r in found[8])
+    assert all(r["spans"] == [] for r in found[9])
+    assert by_id(found[10], "n_words")[:4] == [(1, 0), (2, 0), (3, 0), (4, 6)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in leaks) == [(4, 3), (4, 3), (5, 3)]
+
+
+def test_empty_table(spark, documents):
+    found, leaks = run_all(spark, documents([]))
+    assert all(rows == [] for rows in found.values())
+    assert leaks == []
+
+
+def test_empty_labels_benchmark_and_training(spark, awkward):
+    scored = T.score_toxicity(awkward, labels_of(spark, [])).collect()
+    assert {r["score"] for r in scored} == {0.0}
+    nothing = spark.createDataFrame([], "item_id long, text string")
+    assert D.find_contamination(awkward, nothing).collect() == []
+    assert {r["lang_pred"] for r in L.predict_language(awkward, L.learn_profiles(awkward.limit(0))).collect()} == {"und"}
+
+
+def test_urls(spark):
+    urls = [
+        (1, None), (2, "no scheme"), (3, "http://A.Example.NET/en/x?q#f"), (4, "http://net/"), (5, "http://net"),
+        (6, "http://planet/"), (7, "http://x.example.com/de/1"), (7, "http://x.example.com/de/1"),
+        (8, "http://b.org/fr/"), (None, "http://h.test:80?x=http://net/"),
+    ]
+    pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("host", F.lit("x"))
+    outcomes = spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "page_id long, bad int")
+    found = sorted(
+        (r["page_id"] or 99, r["host"], r["path"], r["rule"], r["verdict"])
+        for r in U.judge_urls(pages, outcomes, URL_RULES).collect()
+    )
+    assert found == [
+        (1, "", "", None, "allow"), (2, "", "", None, "allow"),
+        (3, "a.example.net", "/en/x", "example.net/en/", "allow"), (4, "net", "/", "net/", "block"),
+        (5, "net", "", None, "allow"), (6, "planet", "/", None, "allow"),
+        (7, "x.example.com", "/de/1", "example.com/de/", "block"),
+        (7, "x.example.com", "/de/1", "example.com/de/", "block"),
+        (8, "b.org", "/fr/", "org/fr/", "allow"), (99, "h.test:80", "", None, "allow"),
+    ]
+    assert U.judge_urls(pages.limit(0), outcomes, URL_RULES).collect() == []
+
+
+def test_reputation_shrinks_to_the_parents(spark):
+    rows = [("bad.a.test", 50, 49), ("new.a.test", 0, 0), ("good.b.test", 50, 0), ("new.b.test", 0, 0), ("one.b.test", 1, 1)]
+    hosts = spark.createDataFrame(rows, "host string, n long, k long")
+    share = {r["host"]: (r["bad_share"], r["bad_bound"]) for r in U.host_reputation(hosts).collect()}
+    assert share["bad.a.test"][1] > 0.5 > share["new.b.test"][0]
+    assert share["new.a.test"][0] > share["new.b.test"][0]
+    assert share["one.b.test"][1] < 0.5
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ('token = "abcdefghijkl" x', "assign:0:22"),
+        ("token=secret:abcdefghijklmnop", ""),
+        ("TOKEN=secret=abcdefghijklmnop", "assign:0:29"),
+        ("é AKIAABCDEFGHIJKLMN AKIAABC", "access:2:20"),
+        ("0123456789abcdef0 0123456789abcde", "hex:0:17"),
+        ("password: 0123456789abcdef", "assign:0:26,hex:10:26"),
+        ("ghp_" + "a" * 36, "hosting:0:40,hex:4:40"),
+        ("-----BEGIN RSA PRIVATE KEY-----", "pem:0:31"),
+        ("a\npasswd='aaaaaaaaaaaa'", "assign:2:22"),
+    ],
+)
+def test_spans(spark, documents, text, want):
+    row = S.scan_secrets(documents([(1, text)])).select(S.spans_text(F.col("spans"))).first()
+    assert row[0] == want
+
+
+def test_redaction_keeps_the_rest(spark, documents):
+    docs = documents([(1, "é password: 0123456789abcdef end"), (2, "nothing"), (3, None)])
+    found = S.scan_secrets(docs).select(S.redact(F.col("text"), F.col("spans"))).collect()
+    assert sorted(r[0] for r in found) == ["", "nothing", "é [secret] end"]
+
+
+def test_trigram_queries():
+    asked = {rule.kind: S.trigram_query(rule.pattern) for rule in S.RULES}
+    assert asked["hex"] == []
+    assert asked["access"] == [frozenset({"aki", "kia"})]
+    assert frozenset({"tok", "oke", "ken"}) in asked["assign"]
+    assert S.trigram_query("a+bcd?") == []
+    assert S.trigram_query("xyzw|abc") == [frozenset({"abc"}), frozenset({"xyz", "yzw"})]
+
+
+def test_ablations(spark, documents):
+    docs = documents([(1, "few"), (2, "one two three four " * 30), (3, "a b " + "## " * 40), (4, " ".join(f"w{i}" for i in range(50)))])
+    ledger = Q.quality_ledger(docs)
+    found = {r["rule"]: (r["n_failed"], r["n_only"]) for r in Q.ablations(ledger, Q.CURRENT).collect()}
+    bits = [r["failed_bits"] for r in ledger.collect()]
+    for rule in Q.RULES:
+        assert found[rule.name] == (sum(b >> rule.bit & 1 for b in bits), sum(b == 1 << rule.bit for b in bits))
+    strict = Q.Policy("v1", ("few_words",))
+    assert ledger.where(Q.fails_policy(strict)).count() == 1

@@ -190,12 +190,17 @@ def match_spans(text: Column, rule: SecretRule) -> Column:
     return F.when(text.rlike(pattern), walked["spans"]).otherwise(empty)
 
 
-def scan_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """doc_id, text and ``spans`` (start, end, kind; by start, then rule order) of every row."""
+def scan_secrets(
+    docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, text and ``spans`` (start, end, kind; by start, then rule order) of every row.
+
+    Columns named in ``keep`` go along.
+    """
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     indexed = {kind: query for kind, query in queries.items() if query}
     trigrams = sorted({t for query in indexed.values() for wanted in query for t in wanted})
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *keep)
     if indexed:
         found = candidates(trigram_index(rows, trigrams), indexed).withColumnRenamed("doc_id", "found_id")
         rows = rows.join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
@@ -212,7 +217,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> Data
         lambda s: F.struct(s["start"], order[s["kind"]].alias("rank"), s["end"], s["kind"]),
     )
     return rows.select(
-        "doc_id", "text",
+        "doc_id", "text", *keep,
         F.transform(
             F.array_sort(ranked), lambda s: F.struct(s["start"], s["end"], s["kind"])
         ).alias("spans"),

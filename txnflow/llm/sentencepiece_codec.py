@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -195,17 +196,35 @@ class PieceTable:
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's number of ids."""
-        number: dict[str, int] = {}
+        return WordBook(self).encode_texts(texts)
+
+
+class WordBook:
+    """Words solved so far, so that a task solves a word once while the book has room."""
+
+    def __init__(self, table: PieceTable, room: int = 400_000) -> None:
+        self.table, self.room = table, room
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.spans = np.zeros(0, np.int32), np.zeros((2, 0), np.int64)
+
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.number) > self.room:
+            self._clear()
+        number, known = self.number, len(self.number)
         held, used = [], [0]
         for text in texts:
-            held.extend([number.setdefault(w, len(number)) for w in self.split(text)])
+            held.extend([number.setdefault(w, len(number)) for w in self.table.split(text)])
             used.append(len(held))
-        flat, (begin, size) = self.encode_words(list(number))
-        held_at = np.array(held, np.int64)
-        lengths = size[held_at]
-        stops = np.concatenate(([0], np.cumsum(lengths)))
-        index = np.arange(stops[-1]) + np.repeat(begin[held_at] - stops[:-1], lengths)
-        return flat[index], np.diff(stops[used])
+        flat, spans = self.table.encode_words(list(islice(number, known, None)))
+        spans[0] += len(self.flat)
+        self.flat, self.spans = np.concatenate((self.flat, flat)), np.concatenate((self.spans, spans), axis=1)
+        begin, size = self.spans[:, np.array(held, np.int64)]
+        stops = np.concatenate(([0], np.cumsum(size)))
+        index = np.arange(stops[-1]) + np.repeat(begin - stops[:-1], size)
+        return self.flat[index], np.diff(stops[used])
 
 
 def load_pieces(model_file: str) -> PieceTable:
@@ -233,12 +252,13 @@ def encode_documents(docs: DataFrame, table: PieceTable) -> DataFrame:
     is_byte[table.bytes_at] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = WordBook(table)
         for batch in batches:
             _, bounds = text_buffers(batch.column("text"))
             for first, last in document_runs(bounds, 4 << 20):
                 part = batch.slice(first, last - first)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                ids, counts = table.encode_texts(texts)
+                ids, counts = book.encode_texts(texts)
                 stops = np.concatenate(([0], np.cumsum(counts)))
                 byte_sums = np.concatenate(([0], np.cumsum(is_byte[ids])))[stops]
                 same = [

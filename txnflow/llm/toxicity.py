@@ -146,7 +146,7 @@ class BlockMaxIndex:
         self.weights = np.zeros((n_terms, width), np.float32)
         for i, (_, _, terms, values) in enumerate(examples):
             self.weights[terms, i] = values
-        self.highest = self.weights.reshape(n_terms, -1, block).max(axis=2)
+        self.highest = self.weights.reshape(n_terms, width // block, block).max(axis=2)
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k examples with the highest positive cosine."""
