@@ -249,10 +249,12 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams())
     docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"))
     keys = docs.select("doc", "text").mapInArrow(_emit_keys(params), _SEEN)
     shared = _by_document(keys, F.col("n") > 1, "shared")
+    # The same columns of the texts as below, so that the plan holds one exchange of them.
     suspects = docs.join(shared, F.col("doc") == F.col("of_doc"), "left").where(F.col("shared").isNotNull())
-    windows = suspects.select("doc", "text", "shared").mapInArrow(_emit_windows(params), _SEEN)
+    suspects = suspects.select("doc_id", "text", "doc", "shared")
+    windows = suspects.mapInArrow(_emit_windows(params), _SEEN)
     removed = _by_document(windows, F.col("least") < F.col("doc"), "removed")
     joined = docs.join(removed, F.col("doc") == F.col("of_doc"), "left")
-    return joined.select("doc_id", "text", "removed").mapInArrow(
+    return joined.select("doc_id", "text", "doc", "removed").mapInArrow(
         _apply(params), "doc_id long, n_words long, n_removed long, kept_sha256 string"
     )
