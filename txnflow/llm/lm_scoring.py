@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from txnflow.llm.text import Words, mix, runs_inside, text_buffers, window_hashes
 
 _SENT = "bucket long, part long, keys array<long>, counts array<int>"
-_ANSWERED = "part long, bucket long, totals array<long>"
+# Totals travel as ints; a bucket with larger ones answers in ``large`` instead.
+_ANSWERED = "part long, bucket long, totals array<int>, large array<long>"
 _SCORED = "doc_id long, n_words long, n_backoff long, log_score double"
 
 
@@ -41,7 +42,7 @@ class LanguageModelParams:
     order: int = 2
     backoff: float = 0.4
     min_count: int = 2
-    group_bytes: int = 6 << 20
+    group_bytes: int = 8 << 20
 
 
 def _words(column: pa.ChunkedArray | pa.Array) -> Words:
@@ -110,12 +111,13 @@ def _count(table: pa.Table) -> pa.Table:
     counts, _ = _flat(table.column("counts"))
     found, where = np.unique(keys, return_inverse=True)
     totals = np.bincount(where, counts, len(found)).astype(np.int64)[where]
+    edges, nothing = np.concatenate(([0], np.cumsum(sizes))), pa.nulls(table.num_rows, pa.list_(pa.int64()))
+    if len(totals) and totals.max() >= 1 << 31:
+        answers = [nothing.cast(pa.list_(pa.int32())), _lists(totals, edges, pa.int64())]
+    else:
+        answers = [_lists(totals.astype(np.int32), edges, pa.int32()), nothing]
     return pa.table(
-        [
-            table.column("part"), table.column("bucket"),
-            _lists(totals, np.concatenate(([0], np.cumsum(sizes))), pa.int64()),
-        ],
-        names=["part", "bucket", "totals"],
+        [table.column("part"), table.column("bucket"), *answers], names=["part", "bucket", "totals", "large"]
     )
 
 
@@ -124,8 +126,10 @@ def _score(n_words: int, params: LanguageModelParams):
         words = _words(docs.column("text"))
         keys, at = _group_keys(words, params.order)
         found, where = np.unique(keys, return_inverse=True)
-        answers = answers.sort_by("bucket")
-        totals, _ = _flat(answers.column("totals"))
+        # Of the two lists of a row one is null, so this keeps the order of the buckets.
+        order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
+        lists = pc.coalesce(answers.column("totals").cast(pa.list_(pa.int64())), answers.column("large"))
+        totals, _ = _flat(lists.take(pa.array(order)))
         if len(totals) != len(found):
             raise RuntimeError("the answers do not fit the group's n-grams")
         counted = totals[where].astype(np.float64)
