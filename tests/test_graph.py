@@ -279,4 +279,4 @@ def test_stats_compaction_and_range_reads(spark):
 
 def test_constraints_report_null_parts(spark):
     frame = spark.sql("select * from values ('a', null, 1), ('a', null, 1), ('b', 'X', 1) as t(category, country, window_start)")
-    assert rows(duplicate_keys({"CategoryStats": frame})) == [("CategoryStats", "a|NULL|1", 2)]
+    assert rows(duplicate_keys({"CategoryStats": frame})) == [("CategoryStats", '["a",null,"1"]', 2)]

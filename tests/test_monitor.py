@@ -1,3 +1,5 @@
+from datetime import datetime
+
 from helpers import envelope_row, rows, txn
 
 from txnflow.operators.monitor import (
@@ -27,8 +29,17 @@ def lines(spark, values=LINES):
 
 def test_batch_commits(spark):
     commits = batch_commits(lines(spark))
-    assert rows(commits) == [("category_stats", 3, 0), ("raw_graph", 7, 42)]
-    assert [tuple(r) for r in latest_commits(commits, 1).collect()] == [("raw_graph", 7, 42)]
+    assert rows(commits.drop("logged_at")) == [("category_stats", 3, 0), ("raw_graph", 7, 42)]
+    assert [tuple(r) for r in latest_commits(commits, 1).collect()] == [
+        ("category_stats", 3, 0, datetime(2024, 5, 1, 10))]
+
+
+def test_latest_commits_follow_the_clock(spark):
+    logged = [f"2024-05-01 10:00:{i:02d} | INFO | consumer | [raw_graph] batch={500 + i} rows=1" for i in range(20)]
+    logged += ["2024-05-01 11:00:00 | INFO | consumer | [category_stats] batch=3 rows=2", "[raw_graph] batch=9999 rows=1"]
+    newest = latest_commits(batch_commits(lines(spark, logged)), 12).collect()
+    assert [(r["sink"], r["batch"]) for r in newest[:2]] == [("category_stats", 3), ("raw_graph", 519)]
+    assert all(r["batch"] != 9999 for r in newest)
 
 
 def test_produced_count(spark):
@@ -50,6 +61,9 @@ def test_offsets(spark):
     assert rows(consumer_lag(topic(spark), committed)) == [(0, 3), (1, 3)]
     ahead = spark.createDataFrame([(0, 99), (1, 3)], "partition INT, end_offset BIGINT")
     assert rows(consumer_lag(topic(spark), ahead)) == [(0, 0), (1, 0)]
+    gone = spark.createDataFrame([(0, 4), (2, 7)], "partition INT, end_offset BIGINT")
+    assert rows(consumer_lag(topic(spark), gone)) == [(0, 0), (1, 3), (2, 0)]
+    assert rows(topic_high_water(topic(spark), gone)) == [(14,)]
 
 
 def test_latest_messages(spark):

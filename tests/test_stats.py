@@ -68,6 +68,16 @@ def test_only_null_amounts_give_null_total(spark):
     assert payload(category_stats_of(rows_, dimension(spark)))[0][3:] == (None, 1)
 
 
+def test_large_totals_do_not_overflow(spark):
+    """Cents of one window beyond 64 bits, in both plans."""
+    large = spark.range(1200).selectExpr(
+        "id transaction_id", "1L customer_id", "1L merchant_id", "8.9e13D amount", "'EUR' currency", "'approved' status",
+        "'MX' transaction_country", "timestamp'2024-05-01 10:00:00' transaction_date_ts")
+    for limit in (0, 10_000_000):
+        found = category_stats_of(large, dimension(spark), limit_bytes=limit).collect()
+        assert [r["total_amount"] for r in found] == [1200 * 8.9e13]
+
+
 def test_totals_with_other_amounts(spark):
     frame = spark.createDataFrame(
         [(1, 0.125), (1, 0.10), (2, 1e15), (2, 1.0), (3, float("nan")), (3, 1.0), (4, -2.30), (4, 1.10)],

@@ -21,15 +21,19 @@ UNIQUE_KEYS: dict[str, tuple[str, ...]] = {
 def duplicate_keys(
     tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] = UNIQUE_KEYS
 ) -> DataFrame:
-    """Keys that occur more than once, as text; empty when every constraint holds."""
+    """Keys that occur more than once, as text; empty when every constraint holds.
+
+    A key of several parts is a JSON list, in which a NULL differs from any text.
+    """
     checks = []
     for label, rows in tables.items():
-        parts = [F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys[label]]
+        parts = [F.col(k).cast("string") for k in keys[label]]
+        shown = parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
         checks.append(
             rows.groupBy(*keys[label])
             .agg(F.count(F.lit(1)).alias("cnt"))
             .where(F.col("cnt") > 1)
-            .select(F.lit(label).alias("label"), F.concat_ws("|", *parts).alias("key"), "cnt")
+            .select(F.lit(label).alias("label"), shown.alias("key"), "cnt")
         )
     return reduce(DataFrame.unionByName, checks)
 

@@ -53,19 +53,21 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "part")
-        .where(F.col("p_size") <= LARGEST_MERCHANT_SIZE)
-        .select(
-            F.col("p_partkey").alias("merchant_id"),
-            F.col("p_name").alias("merchant_name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("brand"),
-        )
+def all_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("merchant_id"),
+        F.col("p_name").alias("merchant_name"),
+        F.col("p_type").alias("category"),
+        F.col("p_brand").alias("brand"),
+        "p_size",
     )
 
 
+def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merchants a join finds; transactions of the others stay without a category."""
+    return all_merchants(spark, sf_dir).where(F.col("p_size") <= LARGEST_MERCHANT_SIZE).drop("p_size")
+
+
 def _nth(values: tuple[str, ...], key: str) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), (F.pmod(F.col(key), F.lit(len(values))) + 1).cast("int"))
 

@@ -22,6 +22,7 @@ merchants as (
     select p_partkey as merchant_id, p_name as merchant_name, p_type as category, p_brand as brand
     from part where p_size <= {inputs.LARGEST_MERCHANT_SIZE}
 )"""
+_ALL_MERCHANTS = _MERCHANTS.replace(f" where p_size <= {inputs.LARGEST_MERCHANT_SIZE}", "")
 _TX = f"""{_CUSTOMERS}, {_MERCHANTS},
 tx as (
     select event_id as transaction_id, user_id as customer_id,
@@ -173,7 +174,7 @@ kept as (
         "filter_approved": f"with {_TX} select {_PARSED_COLUMNS} from tx where status = 'approved'",
         "project_transaction": f"with {_TX} select {_PROJECTED}, cast(null as varchar) as merchant_category from tx",
         "dedup_transactions": f"with {_TX} select {_PROJECTED} from tx",
-        "merchant_dim": f"with {_MERCHANTS} select merchant_id, category from merchants",
+        "merchant_dim": f"with {_ALL_MERCHANTS} select merchant_id, category from merchants",
         "enrich_merchant": f"with {_TX} select transaction_id, merchant_id, category from tx left join merchants using (merchant_id)",
         "enrich_merchant_salted": f"with {_TX} select transaction_id, merchant_id, category from tx left join merchants using (merchant_id)",
         "category_stats": hour,
@@ -186,6 +187,7 @@ kept as (
         "late_data_trace": _stats_query("1 hour", "kept", late),
         "raw_graph_pipeline": transactions_now,
         "raw_graph_compacted": transactions_now,
+        "raw_graph_two_runs": f"with {_TX} select transaction_id, amount, currency, status, transaction_date_iso from tx",
         "upsert_customer_stub": f"with {_TX}, {_TWO_BATCHES} select distinct customer_id from log",
         "upsert_merchant_stub": f"with {_TX}, {_TWO_BATCHES} select distinct merchant_id, cast(null as varchar) as category from log",
         "upsert_transaction": f"""with {_TX}, {_TWO_BATCHES}
@@ -202,7 +204,7 @@ kept as (
                    cast(18 + customer_id % 63 as integer) as age,
                    strftime(date '2018-01-01' + cast(customer_id % 2191 as integer), '%Y-%m-%d') as registration_date_text
             from customers""",
-        "upsert_merchants": f"""with {_MERCHANTS}
+        "upsert_merchants": f"""with {_ALL_MERCHANTS}
             select merchant_id, merchant_name, case when brand = 'Brand#1' then 'RECLASSED' else category end as category,
                    brand as merchant_country
             from merchants""",
@@ -215,7 +217,8 @@ kept as (
             from (select customer_id from customers union all select customer_id from customers where segment = 'BUILDING')
             group by customer_id having count(*) > 1
             union all
-            select 'Merchant', cast(merchant_id as varchar), count(*) from merchants group by merchant_id having count(*) > 1""",
+            select 'Merchant', cast(merchant_id as varchar), count(*)
+            from (select p_partkey as merchant_id from part) group by merchant_id having count(*) > 1""",
         "two_maker_check": f"""with {_TX}, {_TWO_BATCHES}
             select 'MADE' as label, cast(transaction_id as varchar) as key, count(distinct customer_id) as cnt
             from log group by transaction_id having count(distinct customer_id) > 1""",
@@ -247,7 +250,8 @@ kept as (
                 select partition, max("offset") + 1 as end_offset from tx
                 where ts < (select max(ts) from tx) - interval '1 day' and partition < 2 group by partition)
             select cast(partition as integer) as partition, max("offset") + 1 - coalesce(any_value(end_offset), 0) as lag
-            from tx left join done using (partition) group by partition""",
+            from tx left join done using (partition) group by partition
+            union all select 3, 0""",
         "latest_messages": f"""with {_TX}
             select transaction_id, status, amount from tx order by ts desc, partition desc, "offset" desc limit 15""",
         "batch_commit_log": """
@@ -257,7 +261,8 @@ kept as (
         "latest_commits": """
             select case when event_type = 'purchase' then 'category_stats' else 'raw_graph' end as sink,
                    event_id as batch, cast(floor(value) as bigint) as rows
-            from events where cast(floor(value) as bigint) > 0 order by batch desc, sink limit 12""",
+            from events where cast(floor(value) as bigint) > 0 
+            order by date_trunc('second', ts) desc, sink, batch desc limit 12""",
         "produced_count": "select cast(max(event_id + 1) as bigint) as produced from events",
         "stream_progress": f"""with {_TX}, {_ARRIVAL_BOUNDS}
             select (select count(*) - 1 from edges where edge <= tx.ts) as arrival, count(*) as input_rows

@@ -51,6 +51,12 @@ def _approved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_approved(inputs.parsed(spark, sf_dir))
 
 
+def _stream_session(spark: SparkSession, state_store: str = "rocksdb") -> SparkSession:
+    """As many state partitions as cores, up to the session's: each of them costs per batch."""
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return streaming_session(spark, state_store, partitions)
+
+
 def _topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.stored_text(inputs.envelope(spark, sf_dir))
 
@@ -66,7 +72,7 @@ def encode_messages_(spark, sf_dir):
 @query
 def stream_ingest(spark, sf_dir):
     """File stream of the envelope to Parquet, one micro-batch per arrival."""
-    work, session = work_folder(spark, "stream_ingest"), streaming_session(spark)
+    work, session = work_folder(spark, "stream_ingest"), _stream_session(spark)
     source, target = f"{work}/topic", f"{work}/ingested"
     inputs.run_arrivals(
         inputs.land_in_order(spark, sf_dir, source),
@@ -120,7 +126,7 @@ def dedup_transactions(spark, sf_dir):
 # --- dimension and windows ---
 @query
 def merchant_dim(spark, sf_dir):
-    return merchant_dimension(inputs.merchants(spark, sf_dir))
+    return merchant_dimension(inputs.all_merchants(spark, sf_dir))
 
 
 @query
@@ -169,7 +175,7 @@ def category_stats_large_dim(spark, sf_dir):
 
 # --- streams ---
 def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", late_text=None):
-    work, session = work_folder(spark, name), streaming_session(spark, state_store)
+    work, session = work_folder(spark, name), _stream_session(spark, state_store)
     store = GraphStore(session, f"{work}/store")
     merchants = inputs.merchants(session, sf_dir)
     # The dimension does not change between the runs, so it is measured once for all of them.
@@ -226,7 +232,7 @@ def stream_progress(spark, sf_dir):
 
 
 def _run_raw_stream(spark, sf_dir, name):
-    work, session = work_folder(spark, name), streaming_session(spark)
+    work, session = work_folder(spark, name), _stream_session(spark)
     store = GraphStore(session, f"{work}/store")
     config = pipeline.PipelineConfig(checkpoint_root=f"{work}/checkpoints")
     inputs.run_arrivals(
@@ -257,6 +263,22 @@ def raw_graph_compacted(spark, sf_dir):
     return _transaction_columns(store.graph().transactions)
 
 
+@query
+def raw_graph_two_runs(spark, sf_dir):
+    """Two checkpoints: the younger run is compacted first, then the older one goes on.
+
+    The older run's second batch holds first writes of keys the base knows from the younger.
+    """
+    store = GraphStore(spark, work_folder(spark, "raw_graph_two_runs"))
+    approved, again = inputs.two_raw_batches(spark, sf_dir)
+    store.raw.write(approved, 0, 0)
+    store.raw.write(again, 1, 0)
+    store.raw.write(again, 1, 1)
+    store.compact_raw()
+    store.raw.write(inputs.raw_rows(spark, sf_dir), 0, 1)
+    return _transaction_columns(store.graph().transactions)
+
+
 # --- upserts ---
 def _two_batch_log(spark, sf_dir) -> DataFrame:
     """Both batches written to a log and read back."""
@@ -326,7 +348,7 @@ def upsert_customers(spark, sf_dir):
 def upsert_merchants(spark, sf_dir):
     """All merchants in full; then one brand again with only the category listed."""
     store = GraphStore(spark, work_folder(spark, "upsert_merchants"))
-    rows = inputs.merchants(spark, sf_dir)
+    rows = inputs.all_merchants(spark, sf_dir)
     store.seed_merchants(
         rows.withColumn("merchant_country", F.col("brand")), ("merchant_name", "category", "merchant_country")
     )
@@ -345,7 +367,7 @@ def duplicate_key_check(spark, sf_dir):
     return quality.duplicate_keys({
         "Transaction": tx.unionByName(filter_approved(tx)),
         "Customer": people.unionByName(people.where(F.col("segment") == "BUILDING")),
-        "Merchant": inputs.merchants(spark, sf_dir),
+        "Merchant": inputs.all_merchants(spark, sf_dir),
     })
 
 
@@ -413,13 +435,17 @@ def topic_high_water(spark, sf_dir):
 
 @query
 def consumer_lag(spark, sf_dir):
-    """A consumer that stopped a day before the newest message and never read one partition."""
+    """A consumer that stopped a day before the newest message and never read one partition.
+
+    Of another partition it had read all, and retention has removed its messages since.
+    """
     envelope = inputs.envelope(spark, sf_dir)
     newest = as_utc(envelope.agg(F.max("timestamp").cast("timestamp_ntz")).first()[0])
     read = envelope.where(
         (F.col("timestamp") < F.lit(newest) - F.expr("INTERVAL 1 DAY")) & (F.col("partition") < 2)
     )
-    return monitor.consumer_lag(envelope, monitor.end_offsets(read))
+    expired = read.groupBy().agg(F.lit(inputs.TOPIC_PARTITIONS).alias("partition"), F.count("*").alias("end_offset"))
+    return monitor.consumer_lag(envelope, monitor.end_offsets(read).unionByName(expired))
 
 
 @query
@@ -444,12 +470,12 @@ def _commit_lines(spark, sf_dir) -> DataFrame:
 
 @query
 def batch_commit_log(spark, sf_dir):
-    return _commit_lines(spark, sf_dir)
+    return _commit_lines(spark, sf_dir).drop("logged_at")
 
 
 @query
 def latest_commits(spark, sf_dir):
-    return monitor.latest_commits(_commit_lines(spark, sf_dir))
+    return monitor.latest_commits(_commit_lines(spark, sf_dir)).drop("logged_at")
 
 
 @query

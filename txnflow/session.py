@@ -57,12 +57,15 @@ def require_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def streaming_session(spark: SparkSession, state_store: str = "rocksdb") -> SparkSession:
-    """A sibling session for streaming queries, so their settings do not leak into ``spark``."""
+def streaming_session(
+    spark: SparkSession, state_store: str = "rocksdb", partitions: int | None = None
+) -> SparkSession:
+    """A sibling session for streaming queries, so their settings do not leak into ``spark``.
+
+    ``partitions`` is the number of state partitions, by default the session's for shuffles.
+    """
     sibling = spark.newSession()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.sparkContext.master.startswith("local"):
-        partitions = min(partitions, spark.sparkContext.defaultParallelism)
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for key, value in session_options(partitions, state_store).items():
         sibling.conf.set(key, value)
     return sibling

@@ -17,12 +17,17 @@ def stream_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_commits(lines: DataFrame) -> DataFrame:
-    """``(sink, batch, rows)`` of each commit line; other lines, also of empty batches, drop out."""
+    """``(sink, batch, rows, logged_at)`` of each commit line; other lines, also of empty batches, drop out.
+
+    ``logged_at`` is the time the line begins with, NULL where it begins with none.
+    """
     line = F.col("value")
+    time = F.try_to_timestamp(F.substring(line, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss"))
     return lines.where(F.rlike(line, F.lit(BATCH_COMMIT_PATTERN))).select(
         F.regexp_extract(line, BATCH_COMMIT_PATTERN, 1).alias("sink"),
         F.regexp_extract(line, BATCH_COMMIT_PATTERN, 2).cast("long").alias("batch"),
         F.regexp_extract(line, BATCH_COMMIT_PATTERN, 3).cast("long").alias("rows"),
+        time.alias("logged_at"),
     )
 
 
