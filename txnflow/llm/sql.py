@@ -76,8 +76,8 @@ s_fit as (
            sum(n * (n - 1) * m * (1 - m)) as pairs from s, overall
 ),
 s_strength as (
-    select case when coalesce(pairs, 0) = 0 or spread <= chance then 1000.0::double
-                else least(greatest(1 / ((spread - chance) / pairs) - 1, 1), 1000) end as w from s_fit
+    select case when coalesce(pairs, 0) = 0 then 4.0::double when spread <= chance then 1000.0::double
+                else least(greatest(1 / ((spread - chance) / pairs) - 1, 4), 1000) end as w from s_fit
 ),
 s_mean as (select suffix, (k + w * m) / (n + w) as m from s, overall, s_strength),
 d as (select suffix, domain, sum(n) as n, sum(k) as k from h group by suffix, domain),
@@ -86,8 +86,8 @@ d_fit as (
            sum(n * (n - 1) * m * (1 - m)) as pairs from d join s_mean using (suffix)
 ),
 d_strength as (
-    select case when coalesce(pairs, 0) = 0 or spread <= chance then 1000.0::double
-                else least(greatest(1 / ((spread - chance) / pairs) - 1, 1), 1000) end as w from d_fit
+    select case when coalesce(pairs, 0) = 0 then 4.0::double when spread <= chance then 1000.0::double
+                else least(greatest(1 / ((spread - chance) / pairs) - 1, 4), 1000) end as w from d_fit
 ),
 d_mean as (select domain, (k + w * m) / (n + w) as m from d join s_mean using (suffix), d_strength),
 h_fit as (
@@ -95,8 +95,8 @@ h_fit as (
            sum(n * (n - 1) * m * (1 - m)) as pairs from h join d_mean using (domain)
 ),
 h_strength as (
-    select case when coalesce(pairs, 0) = 0 or spread <= chance then 1000.0::double
-                else least(greatest(1 / ((spread - chance) / pairs) - 1, 1), 1000) end as w from h_fit
+    select case when coalesce(pairs, 0) = 0 then 4.0::double when spread <= chance then 1000.0::double
+                else least(greatest(1 / ((spread - chance) / pairs) - 1, 4), 1000) end as w from h_fit
 ),
 h_mean as (select host, n, k, w, (k + w * m) / (n + w) as mean from h join d_mean using (domain), h_strength),
 judged as (

@@ -44,12 +44,13 @@ class UrlRule:
 class Reputation:
     """``z`` standard deviations below the posterior mean must still exceed ``threshold``.
 
-    A prior counts as many pages as the moments say, from ``weakest`` to ``strongest``.
+    A prior counts as many pages as the moments say, from ``weakest`` to ``strongest``, and
+    ``weakest`` where no host has two labelled pages to tell.
     """
 
     z: float = 1.645
     threshold: float = 0.5
-    weakest: float = 1.0
+    weakest: float = 4.0
     strongest: float = 1000.0
 
 
@@ -85,7 +86,7 @@ def _strength(children: DataFrame, mean: str, settings: Reputation) -> float:
         F.sum((k - n * m) * (k - n * m)), F.sum(n * m * (1 - m)), F.sum(n * (n - 1) * m * (1 - m))
     ).first()
     if not pairs:
-        return settings.strongest
+        return settings.weakest
     share = (spread - chance) / pairs
     if share <= 0:
         return settings.strongest
