@@ -265,4 +265,4 @@ def test_log_lines_as_a_stream(spark):
         .option("path", f"{work}/out").option("checkpointLocation", f"{work}/cp").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert rows(spark.read.parquet(f"{work}/out")) == [("raw_graph", 7, 42)]
+    assert rows(spark.read.parquet(f"{work}/out")) == [("raw_graph", 7, 42, None)]
