@@ -54,6 +54,14 @@ def test_pipeline_config():
     assert config.checkpoint("raw_graph") == "./checkpoints/raw_graph"
 
 
+def test_pipeline_config_in_full():
+    config = PipelineConfig.from_env({
+        "KAFKA_BOOTSTRAP_SERVERS": "h:1", "KAFKA_TOPIC": "t", "MAX_OFFSETS_PER_TRIGGER": "5", "MIN_PARTITIONS": "9",
+        "SPARK_SHUFFLE_PARTITIONS": "64", "GRAPH_STORE_ROOT": "s3://x/graph"})
+    assert (config.max_offsets_per_trigger, config.min_partitions, config.shuffle_partitions) == (5, 9, 64)
+    assert config.store_root == "s3://x/graph"
+
+
 def test_session(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert session_options()["spark.sql.streaming.stateStore.providerClass"] == ROCKSDB_PROVIDER

@@ -89,6 +89,36 @@ def write_edges(
     rows.write.format(CONNECTOR_FORMAT).mode("Overwrite").options(**options).save()
 
 
+@dataclass(frozen=True)
+class ConnectorServer:
+    """A graph server as the sinks need it: keys it has, and upserts."""
+
+    spark: SparkSession
+    target: GraphTarget
+
+    def nodes(self, label: str, keys: list[str]) -> DataFrame:
+        return read_nodes(self.spark, self.target, label).select(*keys)
+
+    def edges(self, edge: str, source: tuple[str, str], destination: tuple[str, str]) -> DataFrame:
+        """The key columns of both ends of every edge of this type."""
+        options = {
+            "relationship": edge, "relationship.nodes.map": "false",
+            "relationship.source.labels": source[0], "relationship.target.labels": destination[0],
+        }
+        rows = self.spark.read.format(CONNECTOR_FORMAT).options(**self.target.options(), **options).load()
+        return rows.select(
+            F.col(f"`source.{source[1]}`").alias(source[1]), F.col(f"`target.{destination[1]}`").alias(destination[1])
+        )
+
+    def upsert_nodes(self, rows: DataFrame, label: str, keys: list[str]) -> None:
+        write_nodes(rows, self.target, label, keys)
+
+    def upsert_edges(
+        self, rows: DataFrame, edge: str, source: tuple[str, str], destination: tuple[str, str], properties: list[str]
+    ) -> None:
+        write_edges(rows, self.target, edge, source, destination, properties)
+
+
 def merchant_dimension(merchants: DataFrame) -> DataFrame:
     """The two columns enrichment needs from any merchant table."""
     return merchants.select(F.col("merchant_id").cast("long").alias("merchant_id"), "category")

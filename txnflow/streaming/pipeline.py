@@ -15,7 +15,7 @@ from txnflow.operators.filters import parse_approved
 from txnflow.operators.stats import category_stats
 from txnflow.schemas import WIDE_TRANSACTION
 from txnflow.sources.topics import kafka_stream
-from txnflow.streaming.sinks import category_stats_writer, raw_graph_writer
+from txnflow.streaming.sinks import BatchWriter, category_stats_writer, raw_graph_writer
 from txnflow.streaming.store import GraphStore
 
 
@@ -32,6 +32,9 @@ class PipelineConfig:
     dedup_window_path: bool = False
     join_strategy: str = "auto"
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
+    store_root: str = "./graph"
+    shuffle_partitions: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> PipelineConfig:
@@ -43,6 +46,16 @@ class PipelineConfig:
             checkpoint_root=env.get("SPARK_CHECKPOINT_DIR", cls.checkpoint_root),
             watermark=env.get("SPARK_WATERMARK", cls.watermark),
             window=env.get("SPARK_WINDOW_DURATION", cls.window),
+            store_root=env.get("GRAPH_STORE_ROOT", cls.store_root),
+            **{
+                name: int(env[variable])
+                for name, variable in (
+                    ("max_offsets_per_trigger", "MAX_OFFSETS_PER_TRIGGER"),
+                    ("min_partitions", "MIN_PARTITIONS"),
+                    ("shuffle_partitions", "SPARK_SHUFFLE_PARTITIONS"),
+                )
+                if env.get(variable)
+            },
         )
 
     def checkpoint(self, sink: str) -> str:
@@ -73,15 +86,17 @@ def frozen(dimension: DataFrame) -> DataFrame:
 
 
 def start_raw_graph(
-    raw: DataFrame, store: GraphStore, config: PipelineConfig, trigger: Mapping | None = None
+    raw: DataFrame, store: GraphStore, config: PipelineConfig, trigger: Mapping | None = None,
+    writer: BatchWriter | None = None,
 ) -> StreamingQuery:
+    """Single transactions into the store, or wherever ``writer`` puts them."""
     checkpoint = config.checkpoint("raw_graph")
     runs = store.runs("raw_graph")
     run_seq, recorded = runs.run_for(checkpoint)
     query = (
         approved_stream(raw, config)
         .writeStream.queryName("raw_graph_sink")
-        .foreachBatch(raw_graph_writer(store, run_seq))
+        .foreachBatch(writer or raw_graph_writer(store, run_seq))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
@@ -94,15 +109,16 @@ def start_raw_graph(
 
 def start_category_stats(
     raw: DataFrame, merchants: DataFrame, store: GraphStore, config: PipelineConfig,
-    trigger: Mapping | None = None,
+    trigger: Mapping | None = None, writer: BatchWriter | None = None,
 ) -> StreamingQuery:
+    """Window totals into the store, or wherever ``writer`` puts them."""
     checkpoint = config.checkpoint("category_stats")
     runs = store.runs("category_stats")
     run_seq, recorded = runs.run_for(checkpoint)
     query = (
         windowed_stats(approved_stream(raw, config), merchants, config)
         .writeStream.queryName("category_stats_sink")
-        .foreachBatch(category_stats_writer(store, run_seq))
+        .foreachBatch(writer or category_stats_writer(store, run_seq))
         .option("checkpointLocation", checkpoint)
         .outputMode(config.stats_mode)
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
@@ -127,7 +143,9 @@ def start_pipeline(
 
 def run_kafka_pipeline(spark: SparkSession, store: GraphStore, config: PipelineConfig) -> None:
     """Run on a Kafka topic until one of the queries ends."""
-    options = {"max_offsets_per_trigger": config.max_offsets_per_trigger}
+    options = {
+        "max_offsets_per_trigger": config.max_offsets_per_trigger, "min_partitions": config.min_partitions,
+    }
     raw = kafka_stream(spark, config.bootstrap, config.topic, **options)
     start_pipeline(raw, store, config)
     spark.streams.awaitAnyTermination()

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from txnflow.functions.timetext import stored_time
+from txnflow.operators import graph as G
 from txnflow.operators.filters import has_keys
-from txnflow.operators.upsert import dedup
+from txnflow.operators.stats import stats_payload
+from txnflow.operators.upsert import dedup, only_new
 from txnflow.streaming.store import GraphStore
 
 logger = logging.getLogger("txnflow.consumer")
@@ -61,6 +63,56 @@ def raw_graph_writer(store: GraphStore, run_seq: int) -> BatchWriter:
     return write
 
 
+_CUSTOMER, _TRANSACTION, _MERCHANT = (
+    ("Customer", "customer_id"), ("Transaction", "transaction_id"), ("Merchant", "merchant_id"),
+)
+SERVER_STATS_KEY = ["category", "transaction_country", "window_start_iso"]
+
+
+def raw_server_writer(server) -> BatchWriter:
+    """Sink of single transactions on a graph server, such as ``graphdb.ConnectorServer``.
+
+    Nodes and edges are created and never changed: only those whose key the server lacks are
+    sent, nodes before the edges that need them, so a replayed batch sends what is missing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = dedup_batch(raw_log_rows(batch.where(has_keys()))).persist()
+        try:
+            log = rows.withColumns({"run_seq": F.lit(0), "batch_id": F.lit(batch_id).cast("long")})
+            for (label, key), nodes in (
+                (_CUSTOMER, G.customer_stubs(log)), (_MERCHANT, G.merchant_stubs(log)),
+                (_TRANSACTION, G.transaction_nodes(log)),
+            ):
+                server.upsert_nodes(only_new(nodes, server.nodes(label, [key]), [key], nullable=False), label, [key])
+            for edge, source, target, edges, properties in (
+                ("MADE", _CUSTOMER, _TRANSACTION, G.made_edges(log), ["amount", "currency", "timestamp"]),
+                ("AT", _TRANSACTION, _MERCHANT, G.at_edges(log), []),
+            ):
+                known = server.edges(edge, source, target)
+                new = only_new(edges, known, [source[1], target[1]], nullable=False)
+                server.upsert_edges(new, edge, source, target, properties)
+            log_batch("raw_graph", batch_id, rows.count())
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def stats_server_writer(server) -> BatchWriter:
+    """Sink of window totals on a graph server; a later row of a window overwrites the earlier one."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        written = Observation(f"sent-{batch_id}")
+        rows = stats_payload(batch).withColumn("updated_at", F.current_timestamp())
+        server.upsert_nodes(
+            rows.observe(written, F.count(F.lit(1)).alias("rows")), "CategoryStats", SERVER_STATS_KEY
+        )
+        log_batch("category_stats", batch_id, written.get["rows"])
+
+    return write
+
+
 def category_stats_writer(store: GraphStore, run_seq: int) -> BatchWriter:
     """Sink of window totals; a later batch's row for a window replaces the earlier one."""
 
