@@ -228,13 +228,15 @@ def _apply(params: SubstringParams):
 def _by_document(seen: DataFrame, holds: Column, name: str) -> DataFrame:
     """Each document's keys for which ``holds``, as far as the rows of a key tell; ``known`` rows need no others.
 
-    Known rows go their own way instead of meeting at their key.
+    Known rows go their own way instead of meeting at their key: their document's hash is
+    mixed into the key for the shuffle and taken out again after it.
     """
-    route = F.when(F.col("known"), F.xxhash64("doc", "key")).otherwise(F.col("key"))
+    own_way = F.when(F.col("known"), F.xxhash64("doc")).otherwise(F.lit(0).cast("long"))
     together = Window.partitionBy("route")
-    judged = seen.withColumn("route", route).select(
-        "key", "doc", "known", F.count("*").over(together).alias("n"), F.min("doc").over(together).alias("least")
+    judged = seen.select(F.col("key").bitwiseXOR(own_way).alias("route"), "doc", "known").select(
+        "route", "doc", "known", F.count("*").over(together).alias("n"), F.min("doc").over(together).alias("least")
     )
+    judged = judged.withColumn("key", F.col("route").bitwiseXOR(own_way))
     return (
         judged.where((F.col("known") | holds) & F.col("doc").isNotNull())
         .groupBy("doc").agg(F.collect_list("key").alias(name)).withColumnRenamed("doc", "of_doc")
