@@ -155,5 +155,47 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 o
 from b"""
 
 
+_LISTED = rf"""
+d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as words from documents),
+t as (select doc_id, i, words[i] as w, words[i - 1] as v from d, unnest(range(1, len(words) + 1)) as t(i))"""
+
+_OP1 = f"""
+with {_LISTED},
+c1 as (select w, count(*) as n from t group by w),
+c2 as (select v, w, count(*) as n from t where i > 1 group by v, w),
+scored as (
+    select t.doc_id, i > 1 and c2.n < 2 as lower,
+           case when i > 1 and c2.n >= 2 then ln(c2.n / before.n)
+                else ln(c1.n / (select count(*) from t)) + case when i > 1 then ln(0.4) else 0 end end as score
+    from t join c1 using (w) left join c2 on t.v = c2.v and t.w = c2.w and t.i > 1
+    left join c1 as before on before.w = t.v
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_backoff, 0)::bigint as n_backoff,
+       round(coalesce(score, 0), 4)::double as log_score
+from d left join (
+    select doc_id, sum(lower::int) as n_backoff, sum(score) as score from scored group by doc_id
+) using (doc_id)"""
+
+_OP7 = f"""
+with {_LISTED},
+windows as (
+    select doc_id, i, array_to_string(words[i:i+12], ' ') as win from d, unnest(range(1, len(words) - 11)) as t(i)
+),
+starts as (
+    select doc_id, i from (select *, min(doc_id) over (partition by win) as least from windows) where least < doc_id
+),
+gone as (select distinct doc_id, j as i from starts, unnest(range(i, i + 13)) as u(j)),
+kept as (
+    select doc_id, string_agg(w, ' ' order by i) as words from t anti join gone using (doc_id, i) group by doc_id
+),
+lost as (select doc_id, count(*) as n from gone group by doc_id)
+select doc_id, len(d.words)::bigint as n_words, coalesce(lost.n, 0)::bigint as n_removed,
+       sha256(coalesce(kept.words, '')) as kept_sha256
+from d left join kept using (doc_id) left join lost using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": _OP4, "op9_secret_scans": _op9(), "op10_quality_rules": _OP10}
+    return {
+        "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _OP4,
+        "op9_secret_scans": _op9(), "op10_quality_rules": _OP10,
+    }
