@@ -203,3 +203,13 @@ def test_decontamination_in_several_passes(spark, documents):
     for size in (1000, 2):
         found = find_contamination(docs, items, DecontaminationParams(block_items=size)).collect()
         assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, 3), (2, 3), (4, 3)]
+
+
+def test_totals_beyond_32_bits():
+    """A bucket whose totals need more than an int answers in the wide column, to every part that asked."""
+    keys, counts = pa.array([[1, 2], [2]], pa.list_(pa.int64())), pa.array([[1, 2_000_000_000], [2_000_000_000]], pa.list_(pa.int32()))
+    sent = pa.table([pa.array([0, 0]), pa.array([7, 8]), keys, counts], names=["bucket", "part", "keys", "counts"])
+    assert M._count(sent).to_pylist() == [
+        {"part": 7, "bucket": 0, "totals": None, "large": [1, 4_000_000_000]},
+        {"part": 8, "bucket": 0, "totals": None, "large": [4_000_000_000]},
+    ]
