@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from txnflow.schemas import ENVELOPE
 
@@ -71,6 +72,29 @@ def write_kafka(messages: DataFrame, bootstrap: str, topic: str) -> None:
     messages.write.format("kafka").options(**kafka_sink_options(bootstrap, topic)).save()
 
 
+def publish_stream(
+    messages: DataFrame,
+    checkpoint: str,
+    options: Mapping[str, str],
+    *,
+    sink: str = "kafka",
+    trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Publish a stream of ``(key, value)`` messages as they arise.
+
+    ``options`` are those of ``kafka_sink_options``, or of another ``sink``. After a restart
+    the last batch may be published again, as a retried send may be.
+    """
+    return (
+        messages.select("key", "value")
+        .writeStream.queryName("publisher").format(sink).options(**options)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
+        .start()
+    )
+
+
 def file_stream(
     spark: SparkSession,
     folder: str,
