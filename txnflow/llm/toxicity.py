@@ -125,6 +125,14 @@ def _vectors(vocabulary: list[str]):
     return run
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that hold each word, counted within each batch."""
+    for batch in batches:
+        n = np.bincount(batch.column("terms").flatten().to_numpy(zero_copy_only=False))
+        found = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(n[found], pa.int64())], ["term", "n"])
+
+
 def _weights(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     w = (1 + np.log(counts)) * idf[terms]
     norm = np.sqrt((w * w).sum())
@@ -228,7 +236,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams =
     vectors = spark.read.schema(_VECTOR).parquet(f"{folder}/vectors")
     n_docs = vectors.count()
     frequency = np.zeros(len(vocabulary))
-    for term, n in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
+    counted = vectors.select("terms").mapInArrow(_frequencies, "term int, n long")
+    for term, n in counted.groupBy("term").agg(F.sum("n")).collect():
         frequency[term] = n
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1e-6
     example_rows = (
