@@ -208,7 +208,7 @@ kept as (
             select merchant_id, merchant_name, case when brand = 'Brand#1' then 'RECLASSED' else category end as category,
                    brand as merchant_country
             from merchants""",
-        "duplicate_key_check": f"""with {_TX}
+        "duplicate_key_check": f"""with {_TX}, {_stats('1 hour')}
             select 'Transaction' as label, cast(transaction_id as varchar) as key, count(*) as cnt
             from (select transaction_id from tx union all select transaction_id from tx where status = 'approved')
             group by transaction_id having count(*) > 1
@@ -218,7 +218,12 @@ kept as (
             group by customer_id having count(*) > 1
             union all
             select 'Merchant', cast(merchant_id as varchar), count(*)
-            from (select p_partkey as merchant_id from part) group by merchant_id having count(*) > 1""",
+            from (select p_partkey as merchant_id from part) group by merchant_id having count(*) > 1
+            union all
+            select 'CategoryStats',
+                   cast(to_json([category, country, strftime(window_start, '%Y-%m-%d %H:%M:%S')]) as varchar), count(*)
+            from (select * from stats union all select * from stats where country = 'ASIA')
+            group by category, country, window_start having count(*) > 1""",
         "two_maker_check": f"""with {_TX}, {_TWO_BATCHES}
             select 'MADE' as label, cast(transaction_id as varchar) as key, count(distinct customer_id) as cnt
             from log group by transaction_id having count(distinct customer_id) > 1""",

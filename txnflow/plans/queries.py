@@ -361,13 +361,15 @@ def upsert_merchants(spark, sf_dir):
 
 @query
 def duplicate_key_check(spark, sf_dir):
-    """Key constraints over tables in which the approved rows and one segment occur twice."""
+    """Key constraints over tables in which the approved rows, one segment and one country occur twice."""
     tx = inputs.transactions(spark, sf_dir).select("transaction_id", "status")
     people = inputs.customers(spark, sf_dir).select("customer_id", "segment")
+    stats = _hour_stats(spark, sf_dir).select(*G.STATS_KEY)
     return quality.duplicate_keys({
         "Transaction": tx.unionByName(filter_approved(tx)),
         "Customer": people.unionByName(people.where(F.col("segment") == "BUILDING")),
         "Merchant": inputs.all_merchants(spark, sf_dir),
+        "CategoryStats": stats.unionByName(stats.where(F.col("country") == "ASIA")),
     })
 
 

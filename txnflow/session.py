@@ -22,6 +22,8 @@ def session_options(shuffle_partitions: int | None = None, state_store: str = "r
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.metricsEnabled": "true",
+        # Progress reports a query keeps; the default of 100 is a few minutes of batches.
+        "spark.sql.streaming.numRecentProgressUpdates": "10000",
     }
     if shuffle_partitions is not None:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
