@@ -96,3 +96,28 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(p == 1 for toxic, plain, p in held if plain)
     assert all(p == 0 for toxic, plain, p in held if toxic == 0)
     assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def marked_toxic(spark, size):
+    """doc_id, language, label, whether a plain insult is in it, whether held out, and the prediction."""
+    found = {r["doc_id"]: r for r in queries.op2_toxicity(spark, f"/root/testdata/{size}").collect()}
+    marked = connect(f"/root/testdata/{size}").execute(
+        "select doc_id, lang, toxic, regexp_matches(lower(text), '(idiot|moron|scum|stupid|loser)') from documents "
+        "left join labels using (doc_id)"
+    ).fetchall()
+    return [(*row, found[row[0]]["held_out"], found[row[0]]["predicted"]) for row in marked]
+
+
+def test_toxicity_of_insults_among_few_labels(spark):
+    insults = [p for _, _, _, plain, _, p in marked_toxic(spark, "sf0.001") if plain]
+    assert insults and all(insults)
+
+
+@pytest.mark.parametrize(("size", "least"), [("sf0.01", {"en": 1.0}), ("sf0.1", {"en": 0.9, "de": 0.9, "fr": 0.9, "es": 0.8})])
+def test_toxicity_recall_by_language(spark, size, least):
+    held = [(lang, toxic, p) for _, lang, toxic, _, held_out, p in marked_toxic(spark, size) if held_out]
+    for lang, share in least.items():
+        hits = [p for of, toxic, p in held if toxic == 1 and of == lang]
+        assert sum(hits) >= share * len(hits) > 0, lang
+    clean = [p for _, toxic, p in held if toxic == 0]
+    assert sum(clean) <= 0.01 * len(clean)

@@ -1,15 +1,17 @@
 """Toxicity by the nearest labelled examples.
 
-A bounded sample of labelled documents is kept as examples. Words whose presence depends on
-the label among them form the vocabulary; inverse document frequencies come from all
-documents. Each document's exact TF-IDF cosine to the examples is searched through an
-inverted index in blocks of examples: the largest weight of a word in a block bounds the
-block's cosines, and blocks are read from the highest bound down until no other can hold a
+A bounded sample of labelled documents is kept as examples. Every word of theirs counts, by
+its TF-IDF times its association with the label among them, the squared phi coefficient
+(chi-squared by the number of examples, so it means the same at every size). A word that no
+example holds has none and weighs exactly nothing. Inverse document frequencies come from all
+documents. Each document's exact cosine to the examples is searched through an inverted index
+in blocks of examples: the largest weight of a word in a block bounds the block's cosines,
+the blocks of the highest bounds are read first, then every other that can still hold a
 nearer example. The nearest ones vote with their cosine, each class weighted back to its
 share of all labels, and the share of labels stands in where nothing is near.
 
-Defined cases: a null or empty text, or one without vocabulary words, scores the share of
-toxic labels. Without labels of both classes there is no vocabulary and all documents score
+Defined cases: a null or empty text, or one without a word of the examples, scores the share
+of toxic labels. Without labels of both classes there is no vocabulary and all documents score
 that share (0 without any label). Repeated rows are scored each. Of several labels of a
 document the toxic one counts. Examples with equal cosine vote in the examples' order.
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +37,13 @@ _SCORED = "doc_id long, score double, evidence array<struct<doc_id: long, toxic:
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """Bounds: at most ``per_class`` examples of each label and ``vocabulary`` words.
+    """Bounds: at most ``per_class`` examples of each label, with all their words.
 
-    ``least_chi2`` is the association with the label a word needs, ``neighbours`` the number
-    of voters, ``prior_weight`` the vote of the overall share, ``evidence`` the examples shown.
+    ``neighbours`` is the number of voters, ``prior_weight`` the vote of the overall share,
+    ``evidence`` the examples shown.
     """
 
     per_class: int = 2000
-    vocabulary: int = 2048
-    least_chi2: float = 30.0
-    least_examples: int = 3
     neighbours: int = 15
     block: int = 64
     prior_weight: float = 0.1
@@ -83,22 +83,24 @@ def sample_examples(docs: DataFrame, labels: DataFrame, params: ToxicityParams)
     return ordered[0].unionByName(ordered[1]), share
 
 
-def label_vocabulary(example_terms: DataFrame, sizes: tuple[int, int], params: ToxicityParams) -> list[str]:
-    """Words by descending chi-squared with the label; ties in the order of the words."""
+def label_associations(example_terms: DataFrame, sizes: tuple[int, int]) -> tuple[list[str], np.ndarray]:
+    """The examples' words in their order, and the squared phi coefficient of each with the label.
+
+    A word held by the same share of both classes has a coefficient of zero and is left out.
+    """
     clean, toxic = (F.lit(float(n)) for n in sizes)
     a, b = F.col("a"), F.col("b")
     c, d = toxic - a, clean - b
-    chi2 = (toxic + clean) * (a * d - b * c) * (a * d - b * c) / (toxic * clean * (a + b) * (c + d))
-    rows = (
+    phi2 = (a * d - b * c) * (a * d - b * c) / (toxic * clean * (a + b) * (c + d))
+    found = (
         example_terms.groupBy("term")
         .agg(F.count_if(F.col("toxic") == 1).cast("double").alias("a"), F.count_if(F.col("toxic") == 0).cast("double").alias("b"))
-        .where((a + b >= params.least_examples) & (c + d > 0))
-        .select("term", chi2.alias("chi2"))
-        .where(F.col("chi2") >= params.least_chi2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(params.vocabulary)
+        .where(a * d != b * c)
+        .select("term", phi2.alias("phi2"))
+        .toArrow()
+        .sort_by("term")
     )
-    return [row["term"] for row in rows.collect()]
+    return found["term"].to_pylist(), found["phi2"].to_numpy()
 
 
 def _vectors(vocabulary: list[str]):
@@ -125,20 +127,47 @@ def _vectors(vocabulary: list[str]):
     return run
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each word, counted within each batch."""
-    for batch in batches:
-        n = np.bincount(batch.column("terms").flatten().to_numpy(zero_copy_only=False))
+def _frequencies(n_terms: int):
+    """Documents that hold each word, counted within each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            n += np.bincount(batch.column("terms").flatten().to_numpy(zero_copy_only=False), minlength=n_terms)
         found = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(n[found], pa.int64())], ["term", "n"])
 
+    return run
+
 
-def _weights(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    w = (1 + np.log(counts)) * idf[terms]
+def _weights(terms: np.ndarray, counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    w = (1 + np.log(counts)) * factors[terms]
     norm = np.sqrt((w * w).sum())
     return (w / norm if norm > 0 else w).astype(np.float32)
 
 
+def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each start up to its end, and which span each belongs to."""
+    sizes = ends - starts
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(owner)) + (starts - np.cumsum(sizes) + sizes)[owner], owner
+
+
+class Postings:
+    """The examples that hold each word with its weight there; indexing with words gives dense rows."""
+
+    def __init__(self, terms: np.ndarray, at: np.ndarray, values: np.ndarray, n_terms: int, width: int) -> None:
+        order = np.lexsort((at, terms))
+        self.at, self.values, self.width = at[order], values[order], width
+        self.first = np.searchsorted(terms[order], np.arange(n_terms + 1))
+
+    def __getitem__(self, terms: np.ndarray) -> np.ndarray:
+        p, owner = _spans(self.first[terms], self.first[terms + 1])
+        rows = np.zeros((len(terms), self.width), np.float32)
+        rows[owner, self.at[p]] = self.values[p]
+        return rows
+
+
 class BlockMaxIndex:
     """Example weights by word, in blocks of examples with the largest weight of each word."""
 
@@ -148,32 +177,49 @@ class BlockMaxIndex:
             examples, key=lambda e: (e[2][int(np.argmax(e[3]))] if len(e[2]) else n_terms, e[1], e[0])
         )
         self.block, self.n = block, len(examples)
+        self.n_blocks = -(-max(self.n, 1) // block)
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.toxic = np.array([e[1] for e in examples], np.int32)
-        width = -(-max(self.n, 1) // block) * block
-        self.weights = np.zeros((n_terms, width), np.float32)
-        for i, (_, _, terms, values) in enumerate(examples):
-            self.weights[terms, i] = values
-        self.highest = self.weights.reshape(n_terms, width // block, block).max(axis=2)
+        terms = np.concatenate([np.zeros(0, np.int64), *(e[2] for e in examples)]).astype(np.int64)
+        at = np.repeat(np.arange(self.n, dtype=np.int32), [len(e[2]) for e in examples])
+        values = np.concatenate([np.zeros(0, np.float32), *(e[3] for e in examples)])
+        self.weights = Postings(terms, at, values, n_terms, self.n)
+        # A word's postings lie in the order of the examples, so those of a block are next to each other.
+        owner = np.repeat(np.arange(n_terms), np.diff(self.weights.first))
+        key = owner * self.n_blocks + self.weights.at // block
+        self.starts = np.flatnonzero(np.diff(key, prepend=-1))
+        self.blocks = (key[self.starts] % self.n_blocks).astype(np.int32)
+        self.highest = np.maximum.reduceat(self.weights.values, self.starts) if len(key) else values
+        self.first = np.searchsorted(key[self.starts], np.arange(n_terms + 1) * self.n_blocks)
+        self.starts = np.append(self.starts, len(key))
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k examples with the highest positive cosine."""
-        bounds = values @ self.highest[terms]
-        found, cosines = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        for b in np.argsort(-bounds, kind="stable"):
+        j, owner = _spans(self.first[terms], self.first[terms + 1])
+        blocks, factors = self.blocks[j], values[owner]
+        bounds = np.bincount(blocks, self.highest[j] * factors, self.n_blocks)
+        order = np.argsort(-bounds, kind="stable")
+        ahead = -(-k // self.block) + 1
+        read = np.zeros(self.n_blocks, bool)
+        found, cosines = np.zeros(0, np.int64), np.zeros(0)
+        for step in (order[:ahead], order[ahead:]):
+            least = cosines[-1] if len(cosines) == k else 0.0
             # The margin covers rounding, so that no equal cosine is passed over.
-            if bounds[b] <= 0 or (len(cosines) == k and bounds[b] < cosines[-1] - 1e-6):
+            read[:] = False
+            read[step] = (bounds[step] > 0) & (bounds[step] >= least - 1e-6)
+            if not read.any():
                 break
-            at = np.arange(b * self.block, (b + 1) * self.block)
-            near = values @ self.weights[terms, at[0] : at[-1] + 1]
-            keep = near > 0
-            found, cosines = np.append(found, at[keep]), np.append(cosines, near[keep])
+            held = read[blocks]
+            p, of = _spans(self.starts[j[held]], self.starts[j[held] + 1])
+            near = np.bincount(self.weights.at[p], self.weights.values[p] * factors[held][of], self.n)
+            positive = np.flatnonzero(near > 0)
+            found, cosines = np.append(found, positive), np.append(cosines, near[positive])
             best = np.lexsort((found, -cosines))[:k]
             found, cosines = found[best], cosines[best]
         return found, cosines
 
 
-def _votes(index: BlockMaxIndex, idf: np.ndarray, share: float, params: ToxicityParams):
+def _votes(index: BlockMaxIndex, factors: np.ndarray, share: float, params: ToxicityParams):
     ones = max(int(index.toxic.sum()), 1)
     zeros = max(index.n - ones, 1)
     balance = np.where(index.toxic == 1, share / ones, (1 - share) / zeros)
@@ -186,11 +232,11 @@ def _votes(index: BlockMaxIndex, idf: np.ndarray, share: float, params: Toxicity
             for terms, counts in zip(batch.column("terms"), batch.column("counts"), strict=True):
                 terms = terms.values.to_numpy(zero_copy_only=False)
                 counts = counts.values.to_numpy(zero_copy_only=False)
-                key = terms.tobytes() + counts.tobytes()
+                key = blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
                 if key not in known:
                     if len(known) > 50_000:
                         known.clear()
-                    at, cosine = index.nearest(terms, _weights(terms, counts, idf), params.neighbours)
+                    at, cosine = index.nearest(terms, _weights(terms, counts, factors), params.neighbours)
                     votes = cosine * balance[at]
                     yes = float((votes * index.toxic[at]).sum()) + params.prior_weight * share
                     all_votes = float(votes.sum()) + params.prior_weight
@@ -214,8 +260,8 @@ def _votes(index: BlockMaxIndex, idf: np.ndarray, share: float, params: Toxicity
 def score_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
     """doc_id, score and evidence of every row of ``docs``, learned from ``labels`` (doc_id, toxic).
 
-    The driver receives the examples' vectors, the vocabulary and its document frequencies,
-    whose sizes ``params`` bounds. The documents' vectors are written once to the shared
+    The driver receives the examples' vectors, their words and the words' document frequencies;
+    ``params`` bounds the number of examples. The documents' vectors are written once to the shared
     folder; the frequencies and the search both read them.
     """
     spark = docs.sparkSession
@@ -230,22 +276,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams =
     counted = {row["toxic"]: row["count"] for row in held.groupBy("toxic").count().collect()}
     sizes = (counted.get(0, 0), counted.get(1, 0))
     terms = held.mapInArrow(_example_terms, "doc_id long, toxic int, term string")
-    vocabulary = label_vocabulary(terms, sizes, params) if all(sizes) else []
+    vocabulary, association = label_associations(terms, sizes) if all(sizes) else ([], np.zeros(0))
 
     docs.mapInArrow(_vectors(vocabulary), _VECTOR).write.parquet(f"{folder}/vectors")
     vectors = spark.read.schema(_VECTOR).parquet(f"{folder}/vectors")
     n_docs = vectors.count()
     frequency = np.zeros(len(vocabulary))
-    counted = vectors.select("terms").mapInArrow(_frequencies, "term int, n long")
-    for term, n in counted.groupBy("term").agg(F.sum("n")).collect():
-        frequency[term] = n
-    idf = np.log((1 + n_docs) / (1 + frequency)) + 1e-6
-    example_rows = (
-        held.mapInArrow(_vectors(vocabulary), _VECTOR).join(F.broadcast(sample), "doc_id").collect()
-    )
+    counted = vectors.select("terms").mapInArrow(_frequencies(len(vocabulary)), "term int, n long")
+    counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    frequency[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    factors = (np.log((1 + n_docs) / (1 + frequency)) + 1e-6) * association
+    found = held.mapInArrow(_vectors(vocabulary), _VECTOR).join(F.broadcast(sample), "doc_id").toArrow()
     examples = []
-    for row in example_rows:
-        at, n = np.array(row["terms"], np.int32), np.array(row["counts"], np.int32)
-        examples.append((row["doc_id"], row["toxic"], at, _weights(at, n, idf)))
+    for doc, toxic, terms, counts in zip(*(found[c] for c in ("doc_id", "toxic", "terms", "counts")), strict=True):
+        at, n = (x.values.to_numpy(zero_copy_only=False) for x in (terms, counts))
+        examples.append((doc.as_py(), toxic.as_py(), at, _weights(at, n, factors)))
     index = BlockMaxIndex(examples, len(vocabulary), params.block)
-    return vectors.mapInArrow(_votes(index, idf, share, params), _SCORED)
+    return vectors.mapInArrow(_votes(index, factors, share, params), _SCORED)
