@@ -164,6 +164,26 @@ def test_block_max_finds_the_nearest():
         assert len(cosines) == (everything > 0).sum()
 
 
+def test_toxicity_is_the_cosine_over_every_word(spark, documents):
+    """Against every example, with all the words of both texts."""
+    rng = random.Random(4)
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)]
+    texts = [(i, " ".join(rng.choices(names[: 150 + 150 * (i % 3 == 0)], k=rng.randrange(5, 60)))) for i in range(60)]
+    labels = {i: int(i % 3 == 0) for i in range(40)}
+    held = {i: [t.split().count(w) for w in names] for i, t in texts}
+    counts = np.array([held[i] for i in range(60)], float)
+    toxic, has = np.array(list(labels.values())), counts > 0
+    with np.errstate(all="ignore"):
+        phi = np.array([np.corrcoef(has[:40, w], toxic)[0, 1] for w in range(300)])
+        tf = np.where(has, 1 + np.log(counts), 0)
+    weights = tf * np.log(61 / (1 + has.sum(axis=0))) * np.nan_to_num(phi) ** 2
+    weights /= np.linalg.norm(weights, axis=1, keepdims=True)
+    want = np.sort(weights @ weights[:40].T, axis=1)[:, ::-1][:, :3]
+    frame = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    found = {r["doc_id"]: [e["cosine"] for e in r["evidence"]] for r in T.score_toxicity(documents(texts), frame).collect()}
+    assert np.allclose([found[i] for i in range(60)], want, atol=1e-4)
+
+
 def test_rank_order_distance():
     profiles = {"x": L.ranked(*L.grams("aaa aab aac"), 50), "y": L.ranked(*L.grams("zzz zzy zzx"), 50)}
     table = L.ProfileTable(profiles, 50)
