@@ -6,7 +6,7 @@ returns a DataFrame that is written as Parquet and read again as the next stage'
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.llm import decontamination, secret_scans, sentencepiece_codec, simhash_dedup, toxicity
@@ -26,21 +26,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component, once if its row is repeated.
+    """Keeps one row of each component, of its smallest doc_id; a null one where it has no other.
 
-    Rows without doc_id cannot be told apart, so those of a component without any doc_id all stay.
+    Rows are judged by their own text's component, also where ids are null or repeated.
     """
-    found = simhash_dedup.simhash_components(docs)
-    kept = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "kept_id")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return (
-        docs.select(*COLUMNS)
-        .join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-        .withColumn("copy", F.row_number().over(first))
-        .where("copy = 1 or doc_id is null")
-        .select(*COLUMNS)
-    )
+    return simhash_dedup.component_survivors(docs.select(*COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

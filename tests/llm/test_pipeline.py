@@ -41,6 +41,13 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert ids(left) == sorted(set(label.values()))
 
 
+def test_null_and_repeated_ids_are_judged_by_their_component(spark, documents):
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(40)) for c in "pqrs")
+    docs = documents([(1, one), (1, two), (None, two), (None, three), (None, three), (2, four), (None, four)])
+    left = [(r["doc_id"], r["text"]) for r in C.near_dedup_stage(spark, docs, SF).collect()]
+    assert sorted(left, key=lambda r: r[1]) == [(1, one), (1, two), (None, three), (2, four)]
+
+
 def test_contaminated_documents_go(spark, docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if len(r["text"]) < 2500][:60]
     items = [(r["item_id"], r["text"]) for r in table(spark, SF, "benchmark").collect()]

@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from txnflow.llm.components import connected_components
 from txnflow.session import work_folder
@@ -146,8 +147,8 @@ def fingerprint_links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return postings.select("members").mapInArrow(_posting_links(max_bits), "a long, b long")
 
 
-def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id, the smallest doc_id reachable over links."""
+def _components(docs: DataFrame, params: SimHashParams) -> tuple[DataFrame, DataFrame]:
+    """doc_id and fp of every row, and of every fp its component's root and smallest doc_id."""
     spark = docs.sparkSession
     folder = work_folder(spark, "simhash")
     fingerprints(docs, params.shingle).write.parquet(f"{folder}/fingerprints")
@@ -158,7 +159,34 @@ def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams())
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp", "left").select(
+    return rows, rooted.join(least, "root").select("fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id, the smallest doc_id reachable over links."""
+    rows, named = _components(docs, params)
+    return rows.join(named.drop("root"), "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def component_survivors(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
+    """One row of each component: of its smallest doc_id, or a null one if it has no other, the first by text."""
+    rows, named = _components(docs, params)
+    kept = rows.join(named, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"), "root").distinct()
+    row = F.struct("text", *(c for c in docs.columns if c != "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(t.as_py(), params.shingle) for t in batch.column("text")], np.uint64)
+            yield batch.append_column("fp", pa.array(found.view(np.int64)))
+
+    schema = StructType([*docs.schema.fields, StructField("fp", LongType())])
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
+    return (
+        docs.mapInArrow(run, schema)
+        .join(kept, same)
+        .groupBy("root").agg(F.min(row).alias("row"))
+        .select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    )
