@@ -147,3 +147,10 @@ def test_ablations(spark, documents):
         assert found[rule.name] == (sum(b >> rule.bit & 1 for b in bits), sum(b == 1 << rule.bit for b in bits))
     strict = Q.Policy("v1", ("few_words",))
     assert ledger.where(Q.fails_policy(strict)).count() == 1
+
+
+def test_filters_on_the_ledger_compute_each_array_once(spark, documents):
+    ledger = Q.quality_ledger(documents([(1, "one two three"), (2, None)]))
+    for frame in (ledger, ledger.where(Q.fails_policy(Q.CURRENT)), ledger.where("n_repeat_words > 3 and n_lines < 2")):
+        # One split for the words and one for the lines, whatever follows.
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2

@@ -112,7 +112,9 @@ def quality_ledger(docs: DataFrame, rules: tuple[QualityRule, ...] = RULES) -> D
     bits = F.lit(0).cast("long")
     for rule in rules:
         bits = bits.bitwiseOR(F.when(rule.fails(), F.lit(1 << rule.bit)).otherwise(F.lit(0)).cast("long"))
-    return frame.withColumn("failed_bits", bits)
+    # A filter on the ledger stays above the one-element ``inline``; pushed below it, into the
+    # arrays' projections, it would compute every array again for each of its uses.
+    return frame.select(F.inline(F.array(F.struct("doc_id", *MEASURES, bits.alias("failed_bits")))))
 
 
 def fails_policy(policy: Policy, rules: tuple[QualityRule, ...] = RULES) -> Column:

@@ -121,9 +121,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy removes, and removes alone."""
+    q = quality_rules
+    return q.ablations(q.quality_ledger(table(spark, sf_dir, "documents")), q.CURRENT)
+
+
 def registered() -> dict[str, Query]:
     listed = (
         op1_lm_scoring, op2_toxicity, op3_language_id, op4_url_filters, op5_decontamination,
         op6_simhash_dedup, op7_substring_dedup, op8_sentencepiece, op9_secret_scans, op10_quality_rules,
+        quality_ablations,
     )
     return {fn.__name__: fn for fn in listed}

@@ -155,6 +155,19 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 o
 from b"""
 
 
+_ABLATED = ("few_words", "repeated_windows", "symbols", "duplicate_lines", "word_length")
+
+_ABLATIONS = f"""
+with ledger as ({_OP10}),
+each as (
+    select 'v2' as policy, rule, bit, failed_bits
+    from ledger, (values {", ".join(f"('{name}', {1 << bit})" for bit, name in enumerate(_ABLATED))}) r(rule, bit)
+)
+select count(*) as n_docs, bit_or(failed_bits) as any_failed, policy, rule,
+       count(*) filter (where failed_bits & bit <> 0) as n_failed, count(*) filter (where failed_bits = bit) as n_only
+from each group by policy, rule"""
+
+
 _LISTED = rf"""
 d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as words from documents),
 t as (select doc_id, i, words[i] as w, words[i - 1] as v from d, unnest(range(1, len(words) + 1)) as t(i))"""
@@ -197,5 +210,5 @@ from d left join kept using (doc_id) left join lost using (doc_id)"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _OP4,
-        "op9_secret_scans": _op9(), "op10_quality_rules": _OP10,
+        "op9_secret_scans": _op9(), "op10_quality_rules": _OP10, "quality_ablations": _ABLATIONS,
     }
