@@ -6,11 +6,11 @@ of two's complement, eight dimensions to a byte, so a byte looks up what its pla
 every anchor's score; looked-up rows are added over the groups of dimensions, shifted by
 their plane, and added up. The sign plane counts negatively. Scores are whole and exact.
 
-Anchors stand in blocks of about ``anchors_per_block`` rows, candidates in blocks of at most
-``rows_per_block``. Each candidate block meets each anchor block once in each of two rounds:
-the first finds the best rows of the anchor's own label, the second the best rows of other
-labels whose score lies in the range that each of those sets. Within a round, a task
-keeps the best found so far, and a ranked window takes the best of all tasks.
+Anchors stand in blocks of about ``anchors_per_block`` rows, candidates in chunks of a few
+blocks of at most ``rows_per_block``. Each chunk meets each anchor block in a group of its own,
+in each of two rounds: the first finds the best rows of the anchor's own label, the second
+the best rows of other labels whose score lies in the range that each of those sets. A group
+returns its best only, and a ranked window takes the best of all groups.
 
 Defined cases: rows with a null id, label or vector, or with a null or non-finite component,
 take no part; nor do those with a scaled component of 2^24 or more, whose scores a long might
@@ -34,12 +34,20 @@ from pyspark.sql import functions as F
 from txnflow.session import work_folder
 
 _LIMIT = 1 << 24
-_NOTHING = np.iinfo(np.int64).min // 4
+_NOTHING, _NO_ID = np.iinfo(np.int64).min // 4, np.iinfo(np.int64).max
 #: Anchors whose tables are looked up together, so that tables stay in a core's cache.
 _COLUMNS = 256
 _BLOCK = "part long, number int, n int, groups int, planes int, ids binary, labels binary, bits binary"
 _ANCHORS = "anchor_block int, a_n int, a_dims int, a_ids binary, a_labels binary, a_values binary"
 
+_POSITIVE = pa.schema([
+    ("anchor_block", pa.int32()), ("anchor", pa.int32()), ("anchor_id", pa.int64()), ("positive_id", pa.int64()),
+    ("positive_score", pa.int64()),
+])
+_NEGATIVE = pa.schema([
+    ("anchor_block", pa.int32()), ("asked", pa.int32()), ("negative_id", pa.int64()), ("negative_score", pa.int64()),
+])
+
 
 @dataclass(frozen=True)
 class MiningParams:
@@ -51,6 +59,7 @@ class MiningParams:
     most_share: int = 90
     anchors_per_block: int = 1024
     rows_per_block: int = 4096
+    blocks_per_chunk: int = 4
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
@@ -155,142 +164,109 @@ class _Best:
 
     def __init__(self, rows: int, k: int) -> None:
         self.scores = np.full((rows, k), _NOTHING, np.int64)
-        self.ids = np.full((rows, k), np.iinfo(np.int64).max, np.int64)
-
-    def add(self, at: slice | np.ndarray, found: np.ndarray, ids: np.ndarray) -> None:
-        k = self.scores.shape[1]
-        both = np.concatenate((self.scores[at], found), axis=1)
-        named = np.concatenate((self.ids[at], ids), axis=1)
+        self.ids = np.full((rows, k), _NO_ID, np.int64)
+
+    def add(self, at: slice | np.ndarray, ranked: np.ndarray, ids: np.ndarray, begin: np.ndarray, least: np.ndarray) -> None:
+        """Of ranked rows, what stands from ``begin`` on and reaches ``least``."""
+        k, n = self.scores.shape[1], ranked.shape[1]
+        place = begin[:, None] + np.arange(k)
+        inside, place = place < n, np.minimum(place, n - 1)
+        found = np.take_along_axis(ranked, place, axis=1)
+        inside &= (found >= least[:, None]) & (found > _NOTHING)
+        found, named = np.where(inside, found, _NOTHING), np.where(inside, np.take_along_axis(ids, place, axis=1), _NO_ID)
+        both, named = np.hstack((self.scores[at], found)), np.hstack((self.ids[at], named))
         order = np.lexsort((named, -both), axis=1)[:, :k]
         self.scores[at] = np.take_along_axis(both, order, axis=1)
         self.ids[at] = np.take_along_axis(named, order, axis=1)
 
 
 def _ranked(found: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's scores from the highest, ties by id, and the columns they stand in."""
+    """Each row's scores from the highest, ties by id, and their ids."""
     by_id = np.argsort(ids, kind="stable")
     order = by_id[np.argsort(-found[:, by_id], axis=1, kind="stable")]
-    return np.take_along_axis(found, order, axis=1), order
-
+    return np.take_along_axis(found, order, axis=1), ids[order]
 
-def _first(found: np.ndarray, order: np.ndarray, ids: np.ndarray, start: np.ndarray, k: int, least: np.ndarray):
-    """Of ranked rows, the k columns from ``start`` on that reach ``least``."""
-    at = start[:, None] + np.arange(k)
-    inside = at < found.shape[1]
-    at = np.minimum(at, found.shape[1] - 1)
-    best = np.take_along_axis(found, at, axis=1)
-    inside &= (best >= least[:, None]) & (best > _NOTHING)
-    return np.where(inside, best, _NOTHING), np.where(inside, ids[np.take_along_axis(order, at, axis=1)], np.iinfo(np.int64).max)
-
-
-class _Pair:
-    """An anchor block and the tables of its columns, kept while the same block comes again."""
 
+class _Anchors:
     def __init__(self, row: dict) -> None:
         self.block, self.n = row["anchor_block"], row["a_n"]
         self.ids = np.frombuffer(row["a_ids"], np.int64)
         self.labels = np.frombuffer(row["a_labels"], np.int64)
         self.values = np.frombuffer(row["a_values"], np.int32).reshape(self.n, row["a_dims"])
-        self.tables = {}
 
-    def spans(self, own_label: bool) -> Iterator[tuple[int, int]]:
-        """Columns that are scored together: of one label, or any."""
+    def spans(self, own_label: bool) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Columns that are scored together, of one label or any, and their tables."""
         edges = [0, self.n]
         if own_label:
             edges = [0, *(np.flatnonzero(np.diff(self.labels)) + 1).tolist(), self.n]
         for low, high in zip(edges[:-1], edges[1:], strict=True):
             for at in range(low, high, _COLUMNS):
-                yield at, min(at + _COLUMNS, high)
-
-    def table(self, low: int, high: int) -> np.ndarray:
-        if (low, high) not in self.tables:
-            if len(self.tables) >= 64:
-                self.tables.clear()
-            self.tables[low, high] = subset_sums(self.values[low:high])
-        return self.tables[low, high]
+                to = min(at + _COLUMNS, high)
+                yield at, to, subset_sums(self.values[at:to])
 
 
-def _candidates(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    planes = np.frombuffer(row["bits"], np.uint8).reshape(row["planes"], row["n"], row["groups"])
-    return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int64), planes
-
-
-def _by_anchor_block(batches: Iterator[pa.RecordBatch], start, step, end) -> Iterator[pa.RecordBatch]:
-    """Run ``step`` over rows and ``end`` whenever another anchor block begins."""
-    pair = state = None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if pair is None or pair.block != row["anchor_block"]:
-                if pair is not None:
-                    yield end(pair, state)
-                pair = _Pair(row)
-                state = start(pair, row)
-            step(pair, state, *_candidates(row))
-    if pair is not None:
-        yield end(pair, state)
+def _candidates(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """ids, labels and bit planes of each candidate block."""
+    for row in rows.to_pylist():
+        planes = np.frombuffer(row["bits"], np.uint8).reshape(row["planes"], row["n"], row["groups"])
+        yield np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int64), planes
 
 
 def _positives(k: int):
-    def start(pair: _Pair, row: dict) -> _Best:
-        return _Best(pair.n, k)
-
-    def step(pair: _Pair, best: _Best, ids: np.ndarray, labels: np.ndarray, planes: np.ndarray) -> None:
-        for low, high in pair.spans(own_label=True):
-            # Candidates stand by label, so those of one are a slice.
-            a, b = np.searchsorted(labels, pair.labels[low], "left"), np.searchsorted(labels, pair.labels[low], "right")
-            if a == b:
-                continue
-            found = scores(pair.table(low, high), planes[:, a:b]).T
-            found = np.where(ids[a:b] == pair.ids[low:high, None], _NOTHING, found)
-            ranked, order = _ranked(found, ids[a:b])
-            first = np.zeros(high - low, np.int64)
-            best.add(slice(low, high), *_first(ranked, order, ids[a:b], first, k, np.full(high - low, _NOTHING)))
-
-    def end(pair: _Pair, best: _Best) -> pa.RecordBatch:
-        at, rank = np.nonzero(best.scores > _NOTHING)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), pair.block, np.int32)), pa.array(at.astype(np.int32)), pa.array(pair.ids[at]),
-             pa.array(best.ids[at, rank]), pa.array(best.scores[at, rank])],
-            ["anchor_block", "anchor", "anchor_id", "positive_id", "positive_score"],
+    def run(block: pa.Table, rows: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return _POSITIVE.empty_table()
+        anchors = _Anchors(block.to_pylist()[0])
+        best, blocks = _Best(anchors.n, k), list(_candidates(rows))
+        for low, high, tables in anchors.spans(own_label=True):
+            for ids, labels, planes in blocks:
+                # Candidates stand by label, so those of one are a slice.
+                a, b = (int(np.searchsorted(labels, anchors.labels[low], side)) for side in ("left", "right"))
+                if a == b:
+                    continue
+                found = scores(tables, planes[:, a:b]).T
+                found = np.where(ids[a:b] == anchors.ids[low:high, None], _NOTHING, found)
+                none = np.zeros(high - low, np.int64)
+                best.add(slice(low, high), *_ranked(found, ids[a:b]), none, none + _NOTHING)
+        at, place = np.nonzero(best.scores > _NOTHING)
+        return pa.Table.from_arrays(
+            [pa.array(np.full(len(at), anchors.block, np.int32)), pa.array(at.astype(np.int32)),
+             pa.array(anchors.ids[at]), pa.array(best.ids[at, place]), pa.array(best.scores[at, place])],
+            schema=_POSITIVE,
         )
 
-    return lambda batches: _by_anchor_block(batches, start, step, end)
+    return run
 
 
 def _negatives(params: MiningParams):
-    k = params.negatives
-
-    def start(pair: _Pair, row: dict) -> tuple[np.ndarray, np.ndarray, _Best]:
+    def run(block: pa.Table, rows: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return _NEGATIVE.empty_table()
+        row = block.to_pylist()[0]
+        anchors = _Anchors(row)
         anchor = np.array([p["anchor"] for p in row["positives"]], np.int64)
         score = np.array([p["positive_score"] for p in row["positives"]], np.int64)
-        return anchor, score, _Best(len(anchor), k)
-
-    def step(pair: _Pair, state: tuple, ids: np.ndarray, labels: np.ndarray, planes: np.ndarray) -> None:
-        anchor, score, best = state
         # Shares round inwards: the bounds are the integers that satisfy them.
-        high_bound = params.most_share * score // 100
-        low_bound = -(-params.least_share * score // 100)
-        for low, high in pair.spans(own_label=False):
+        most, least = params.most_share * score // 100, -(-params.least_share * score // 100)
+        best, blocks = _Best(len(anchor), params.negatives), list(_candidates(rows))
+        for low, high, tables in anchors.spans(own_label=False):
             asked = np.flatnonzero((anchor >= low) & (anchor < high))
-            if not len(asked):
-                continue
-            found = scores(pair.table(low, high), planes).T
-            found = np.where(labels == pair.labels[low:high, None], _NOTHING, found)
-            ranked, order = _ranked(found, ids)
-            of = anchor[asked] - low
-            begin = (ranked[of] > high_bound[asked, None]).sum(axis=1)
-            best.add(asked, *_first(ranked[of], order[of], ids, begin, k, low_bound[asked]))
-
-    def end(pair: _Pair, state: tuple) -> pa.RecordBatch:
-        anchor, _, best = state
-        at, rank = np.nonzero(best.scores > _NOTHING)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), pair.block, np.int32)), pa.array(at.astype(np.int32)),
-             pa.array(best.ids[at, rank]), pa.array(best.scores[at, rank])],
-            ["anchor_block", "asked", "negative_id", "negative_score"],
+            for ids, labels, planes in blocks if len(asked) else ():
+                found = scores(tables, planes).T
+                found = np.where(labels == anchors.labels[low:high, None], _NOTHING, found)
+                ranked, named = _ranked(found, ids)
+                for some in np.array_split(asked, -(-len(asked) // _COLUMNS)):
+                    of = anchor[some] - low
+                    begin = (ranked[of] > most[some, None]).sum(axis=1)
+                    best.add(some, ranked[of], named[of], begin, least[some])
+        at, place = np.nonzero(best.scores > _NOTHING)
+        return pa.Table.from_arrays(
+            [pa.array(np.full(len(at), anchors.block, np.int32)), pa.array(at.astype(np.int32)),
+             pa.array(best.ids[at, place]), pa.array(best.scores[at, place])],
+            schema=_NEGATIVE,
         )
 
-    return lambda batches: _by_anchor_block(batches, start, step, end)
+    return run
 
 
 def mine_hard_negatives(vectors: DataFrame, is_anchor: Column, params: MiningParams = MiningParams()) -> DataFrame:
@@ -312,19 +288,19 @@ def mine_hard_negatives(vectors: DataFrame, is_anchor: Column, params: MiningPar
     asked.repartition(blocks).mapInArrow(_packed_anchors, _ANCHORS).write.parquet(f"{folder}/anchors")
     anchors = spark.read.schema(_ANCHORS).parquet(f"{folder}/anchors")
 
-    # A chunk of candidates and an anchor block meet in one group of rows.
-    chunks = max(1, -(-n_rows // (4 * params.rows_per_block)))
-    chunk = F.pmod(F.xxhash64("part", "number"), F.lit(chunks))
-    dealt = candidates.withColumn("chunk", chunk).withColumn(
+    chunks = max(1, -(-n_rows // (params.blocks_per_chunk * params.rows_per_block)))
+    dealt = candidates.withColumn("chunk", F.pmod(F.xxhash64("part", "number"), F.lit(chunks))).withColumn(
         "anchor_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
 
-    def meet(of_anchors: DataFrame) -> DataFrame:
-        copies = of_anchors.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
-        return copies.join(dealt, ["anchor_block", "chunk"]).sortWithinPartitions("anchor_block")
+    def meet(of_anchors: DataFrame, run, schema: str) -> DataFrame:
+        """Each chunk with each anchor block, in one group of a few blocks."""
+        left = of_anchors.withColumn("chunk", every).groupBy("anchor_block", "chunk")
+        return left.cogroup(dealt.groupBy("anchor_block", "chunk")).applyInArrow(run, schema)
 
-    best = meet(anchors).mapInArrow(
-        _positives(params.positives),
+    best = meet(
+        anchors, _positives(params.positives),
         "anchor_block int, anchor int, anchor_id long, positive_id long, positive_score long",
     )
     by_score = Window.partitionBy("anchor_block", "anchor").orderBy(F.desc("positive_score"), "positive_id")
@@ -336,8 +312,9 @@ def mine_hard_negatives(vectors: DataFrame, is_anchor: Column, params: MiningPar
     )
     listed.write.parquet(f"{folder}/listed")
     listed = spark.read.parquet(f"{folder}/listed")
-    found = meet(anchors.join(listed, "anchor_block")).mapInArrow(
-        _negatives(params), "anchor_block int, asked int, negative_id long, negative_score long"
+    found = meet(
+        anchors.join(listed, "anchor_block"), _negatives(params),
+        "anchor_block int, asked int, negative_id long, negative_score long",
     )
     by_score = Window.partitionBy("anchor_block", "asked").orderBy(F.desc("negative_score"), "negative_id")
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= params.negatives)

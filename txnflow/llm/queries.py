@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txnflow.llm import (
     decontamination,
+    hard_negatives,
     language_id,
     lm_scoring,
     quality_rules,
@@ -121,6 +122,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides vec_id the label moves on by one, as the contract of the query has it."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of the current policy removes, and removes alone."""
     q = quality_rules
@@ -131,6 +139,6 @@ def registered() -> dict[str, Query]:
     listed = (
         op1_lm_scoring, op2_toxicity, op3_language_id, op4_url_filters, op5_decontamination,
         op6_simhash_dedup, op7_substring_dedup, op8_sentencepiece, op9_secret_scans, op10_quality_rules,
-        quality_ablations,
+        op11_hard_negatives, quality_ablations,
     )
     return {fn.__name__: fn for fn in listed}

@@ -207,8 +207,33 @@ select doc_id, len(d.words)::bigint as n_words, coalesce(lost.n, 0)::bigint as n
 from d left join kept using (doc_id) left join lost using (doc_id)"""
 
 
+_OP11 = """
+with e as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.q, c.q)::bigint as score
+    from e a join e c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id
+),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+       (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _OP4,
         "op9_secret_scans": _op9(), "op10_quality_rules": _OP10, "quality_ablations": _ABLATIONS,
+        "op11_hard_negatives": _OP11,
     }
