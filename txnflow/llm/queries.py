@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from txnflow.llm import (
     decontamination,
+    exact_dedup,
     hard_negatives,
     language_id,
     lm_scoring,
+    merkle_manifest,
     quality_rules,
     secret_scans,
     sentencepiece_codec,
@@ -21,6 +23,7 @@ from txnflow.llm import (
     url_filters,
 )
 from txnflow.llm.text import fold
+from txnflow.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +132,20 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = exact_dedup.DigestIndex(spark, work_folder(spark, "digests"))
+    index.insert(table(spark, sf_dir, "documents"))
+    return index.groups()
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides the CRC-32 of doc_id, the audited copy counts one character more."""
+    # Wider than a long, so that the largest number of characters can be added to.
+    more = merkle_manifest.leaf(n_chars=F.col("n_chars").cast("decimal(20,0)") + 1)
+    claimed = F.when(fold(F.col("doc_id"), 7) == 0, more)
+    return merkle_manifest.audit(merkle_manifest.build_manifest(table(spark, sf_dir, "documents"), claimed=claimed))
+
+
 def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of the current policy removes, and removes alone."""
     q = quality_rules
@@ -139,6 +156,6 @@ def registered() -> dict[str, Query]:
     listed = (
         op1_lm_scoring, op2_toxicity, op3_language_id, op4_url_filters, op5_decontamination,
         op6_simhash_dedup, op7_substring_dedup, op8_sentencepiece, op9_secret_scans, op10_quality_rules,
-        op11_hard_negatives, quality_ablations,
+        op11_hard_negatives, op12_exact_dedup, op13_merkle_manifest, quality_ablations,
     )
     return {fn.__name__: fn for fn in listed}

@@ -231,9 +231,83 @@ where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * po
 qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10"""
 
 
+_OP12 = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept,
+       sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# CRC-32, a byte at a time from the usual table of its reversed polynomial.
+_OP13 = f"""
+with recursive crc_table(byte, x, k) as (
+    select b, b::ubigint, 0 from range(256) t(b)
+    union all
+    select byte, case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end, k + 1
+    from crc_table where k < 8
+),
+crc_of as (select list(x order by byte) as table_ from crc_table where k = 8),
+leaves as (
+    select doc_id, coalesce('=' || lang, '') as grp, {_leaf("n_chars")} as leaf, {_leaf("(n_chars + 1)")} as longer,
+           xor(list_reduce(
+               list_prepend(4294967295::ubigint,
+                            list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::ubigint)),
+               lambda x, c: xor(table_[1 + (xor(x, c) & 255)::int], x >> 8)), 4294967295::ubigint) % 7 = 0 as tampered
+    from documents, crc_of
+),
+placed as (select *, row_number() over (partition by grp order by doc_id nulls first) - 1 as place from leaves),
+tree(grp, level, place, hash, n) as (
+    select grp, 0, place, leaf, count(*) over (partition by grp) from placed
+    union all
+    select grp, level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (any_value(n) + 1) // 2
+    from tree where n > 1 group by grp, level, place // 2
+),
+subroots as (
+    select grp, hash as subroot, row_number() over (order by grp) - 1 as place, count(*) over () as n
+    from tree where n = 1
+),
+top(level, place, hash, n) as (
+    select 0, place, subroot, n from subroots
+    union all
+    select level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (any_value(n) + 1) // 2
+    from top where n > 1 group by level, place // 2
+),
+walk(doc_id, grp, row, level, place, n, acc, proof) as (
+    select doc_id, grp, place, 0, place, count(*) over (partition by grp),
+           case when tampered then longer else leaf end, ''
+    from placed
+    union all
+    select doc_id, w.grp, row, w.level + 1, w.place // 2, (w.n + 1) // 2,
+           sha256(case when w.place % 2 = 1 then t.hash || acc else acc || coalesce(t.hash, '') end),
+           proof || coalesce(t.hash, '')
+    from walk w left join tree t on t.grp = w.grp and t.level = w.level and t.place = xor(w.place, 1)
+    where w.n > 1
+),
+climb(doc_id, grp, row, level, place, n, acc, proof) as (
+    select doc_id, grp, row, 0, s.place, s.n, acc, proof from walk join subroots s using (grp) where walk.n = 1
+    union all
+    select doc_id, grp, row, c.level + 1, c.place // 2, (c.n + 1) // 2,
+           sha256(case when c.place % 2 = 1 then t.hash || acc else acc || coalesce(t.hash, '') end),
+           proof || coalesce(t.hash, '')
+    from climb c left join top t on t.level = c.level and t.place = xor(c.place, 1)
+    where c.n > 1
+),
+root as (select hash as root from top where n = 1)
+select p.doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, acc as folded_root, acc = root as verified
+from climb join placed p on climb.grp = p.grp and climb.row = p.place join subroots s on s.grp = p.grp, root
+where climb.n = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _OP4,
         "op9_secret_scans": _op9(), "op10_quality_rules": _OP10, "quality_ablations": _ABLATIONS,
-        "op11_hard_negatives": _OP11,
+        "op11_hard_negatives": _OP11, "op12_exact_dedup": _OP12, "op13_merkle_manifest": _OP13,
     }
