@@ -170,12 +170,79 @@ def test_expiry_leaves_base_and_tail(spark, store):
 
 def test_a_batch_being_written_is_not_read(spark, store):
     expected = rows(store.graph().transactions)
-    folder = f"{store.raw.folder}/run_seq=5/batch_id=0"
+    folder = f"{store.raw.folder}/run_seq=5/batch_id=0/attempt=a"
     spark.createDataFrame([(99,)], "transaction_id long").write.parquet(folder)
-    delete_folder(spark, f"{folder}/_SUCCESS")
     assert rows(store.graph().transactions) == expected
 
 
+def test_readers_keep_the_earlier_attempt_while_a_batch_is_replayed(spark, store):
+    before = store.raw.read()
+    expected = rows(before)
+    store.raw.write(raw(spark, FIRST), 0, 0)
+    assert rows(before) == rows(store.raw.read()) == expected
+
+
+MERCHANT = "merchant_id long, merchant_name string, category string, merchant_country string, merchant_city string"
+
+
+def shop(spark, key, category):
+    return spark.createDataFrame([(key, f"m{key}", category, "Spain", "Madrid")], MERCHANT)
+
+
+def test_seeding_goes_on_after_a_crash(spark):
+    store = GraphStore(spark, work_folder(spark, "graph"))
+    store.seed_merchants(shop(spark, 1, "travel"))
+    # A seeding that took its number and died while writing.
+    number = store.merchant_seed.claim()
+    shop(spark, 9, "x").write.parquet(f"{store.merchant_seed.folder}/run_seq=0/batch_id={number}/attempt=a/_temporary/0")
+    store.seed_merchants(shop(spark, 2, "health"))
+    assert rows(store.merchant_dimension()) == [(1, "travel"), (2, "health")]
+
+
+def test_seeders_at_once_take_numbers_of_their_own(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = GraphStore(spark, work_folder(spark, "graph"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: store.seed_merchants(shop(spark, k, f"c{k}")), range(4)))
+    assert rows(store.merchant_dimension()) == [(k, f"c{k}") for k in range(4)]
+    assert len(store.merchant_seed.batches()) == 4
+
+
+def test_store_needs_no_success_markers(spark):
+    options = spark.sparkContext._jsc.hadoopConfiguration()
+    options.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        store = GraphStore(spark, work_folder(spark, "graph"))
+        store.seed_merchants(shop(spark, 1, "travel"))
+        store.raw.write(raw(spark, FIRST), 0, 0)
+        store.raw.write(raw(spark, SECOND), 0, 1)
+        store.compact_raw()
+        assert (1, "travel") in rows(store.graph().merchants, "merchant_id", "category")
+        assert rows(store.merchant_dimension()) == [(1, "travel")]
+    finally:
+        options.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_expiry_after_two_compactions_at_once(spark):
+    """Of two compactions with one number the later attempt counts; what only the other folded stays."""
+    store = GraphStore(spark, work_folder(spark, "graph"))
+    for i in range(4):
+        store.raw.write(raw(spark, [(i, 10, 20, float(i), "approved")]), 0, i)
+    store.compact_raw(upto=(0, 0))
+    before = store._newest("raw_graph")
+    store.compact_raw(upto=(0, 1))
+    winner = max(r["attempt"] for r in store._bases("raw_graph") if r["number"] == 1)
+    # The loser folded more, and its attempt sorts first.
+    entries = [(name, "", 0, list(row["parts"])) for name, row in before.items()]
+    store._record_bases("raw_graph", before, "0" * 31, {0: 3}, entries)
+    assert winner > "0" * 31
+    expected = rows(store.graph().transactions)
+    store.expire("raw_graph")
+    assert rows(store.graph().transactions) == expected and len(expected) == 4
+    assert store.raw.batches() == [(0, 1), (0, 2), (0, 3)]
+
+
 def test_seeding_takes_one_row_of_a_repeated_key(spark):
     store = GraphStore(spark, work_folder(spark, "graph"))
     seeds = [(1, "Zed", "travel", "Brazil", "Puebla"), (1, "Abe", "health", "Spain", "Madrid"), (1, "Mid", "zoo", "Canada", "Aaa")]
@@ -277,6 +344,22 @@ def test_stats_compaction_and_range_reads(spark):
     assert set(store.category_stats().columns) == {c.split()[0] for c in STATS_LOG.split(",")}
 
 
+def test_only_touched_days_are_written_anew(spark):
+    store = GraphStore(spark, work_folder(spark, "stats"))
+    days = [f"2024-05-0{d} 10:00:00" for d in (1, 2, 3)]
+    store.stats.write(stats(spark, [("a", "X", at, 1.0, 1) for at in days]), 0, 0)
+    store.compact_stats((0, 0))
+    first = {p.rsplit("=", 1)[1]: p for p in store._base("category_stats", "category_stats").parts}
+    store.stats.write(stats(spark, [("a", "X", days[1], 5.0, 2), ("b", "X", days[1], 1.0, 1)]), 0, 1)
+    store.compact_stats((0, 1))
+    second = {p.rsplit("=", 1)[1]: p for p in store._base("category_stats", "category_stats").parts}
+    assert [first[d] == second[d] for d in sorted(first)] == [True, False, True]
+    store.expire("category_stats")
+    want = [("a", "X", 1.0, 1), ("a", "X", 1.0, 1), ("a", "X", 5.0, 2), ("b", "X", 1.0, 1)]
+    assert rows(store.category_stats(), "category", "country", "total_amount", "txn_count") == want
+    assert store.stats.batches() == [(0, 1)]
+
+
 def test_constraints_report_null_parts(spark):
     frame = spark.sql("select * from values ('a', null, 1), ('a', null, 1), ('b', 'X', 1) as t(category, country, window_start)")
     assert rows(duplicate_keys({"CategoryStats": frame})) == [("CategoryStats", '["a",null,"1"]', 2)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnflow.functions.timetext import iso_millis
@@ -10,6 +10,7 @@ from txnflow.functions.totals import money_parts, money_total
 from txnflow.operators.enrich import enrich_merchant
 from txnflow.operators.filters import since
 from txnflow.operators.sizes import DEFAULT_LIMIT_BYTES, is_small
+from txnflow.operators.upsert import BATCH, RUN
 
 
 def category_stats(enriched: DataFrame, window: str = "1 minute") -> DataFrame:
@@ -70,6 +71,58 @@ def category_stats_of(
     return _flat(totals)
 
 
+def merchant_totals(transactions: DataFrame, window: str = "1 minute") -> DataFrame:
+    """Totals per (tumbling window, merchant, country), for tables and streams; no category is needed."""
+    totals = transactions.groupBy(
+        F.window("transaction_date_ts", window), "merchant_id", "transaction_country"
+    ).agg(*money_parts("amount", "amount"), F.count(F.lit(1)).alias("txn_count"))
+    return totals.select(
+        "merchant_id", F.col("transaction_country").alias("country"),
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        F.col("amount_cents").cast("decimal(27,0)").alias("amount_cents"), "amount_rest", "txn_count",
+    )
+
+
+_MERCHANT_KEY = (RUN, "merchant_id", "country", "window_start", "window_end")
+
+
+def category_spans(log: DataFrame) -> DataFrame:
+    """Of a log of running totals, the last row before each change of a merchant's category.
+
+    These rows say all that ``category_stats_by_merchant`` needs, so a log may be folded to them.
+    """
+    following = F.lead(F.struct("category")).over(Window.partitionBy(*_MERCHANT_KEY).orderBy(BATCH))
+    ends = F.col("_next").isNull() | ~F.col("_next.category").eqNullSafe(F.col("category"))
+    return log.withColumn("_next", following).where(ends).drop("_next")
+
+
+def category_stats_by_merchant(log: DataFrame) -> DataFrame:
+    """``category_stats`` from running totals per merchant.
+
+    What a merchant took in while it had a category counts for that category, and nothing while
+    it had none. A merchant whose category never changes adds its total as it stands. A later
+    run's total of a group replaces an earlier one's, as a log of category totals has it.
+    """
+    by_batch = Window.partitionBy(*_MERCHANT_KEY).orderBy(BATCH)
+    added = {
+        c: F.col(c) - F.coalesce(F.lag(c).over(by_batch), F.lit(0).cast(kind))
+        for c, kind in (("amount_cents", "decimal(27,0)"), ("amount_rest", "double"), ("txn_count", "long"))
+    }
+    totals = (
+        category_spans(log).withColumns(added).where(F.col("category").isNotNull())
+        .groupBy(RUN, "category", "country", "window_start", "window_end")
+        .agg(*(F.sum(c).alias(c) for c in added), F.max("updated_at").alias("updated_at"))
+    )
+    columns = ("window_end", *added, "updated_at")
+    newest = totals.groupBy("category", "country", "window_start").agg(
+        F.max_by(F.struct(*columns), RUN).alias("_row")
+    )
+    return newest.select("category", "country", "window_start", "_row.*").select(
+        "category", "country", "window_start", "window_end", money_total("amount").alias("total_amount"),
+        "txn_count", "updated_at",
+    )
+
+
 def stats_payload(stats: DataFrame, count_type: str = "int") -> DataFrame:
     """Statistics rows as a graph server receives them: window bounds as ISO text."""
     return stats.select(

@@ -1,7 +1,8 @@
 """Keyed upserts on plain files: a log of batches, resolved to one row per key when read.
 
-Each micro-batch overwrites its own folder ``run_seq=<k>/batch_id=<n>``, so a replayed batch
-replaces itself and nothing is ever updated in place. Reading picks the first or the last
+Each micro-batch has a folder ``run_seq=<k>/batch_id=<n>``, and each attempt at it a folder in
+there that counts once its marker is written. So a replayed batch replaces itself, readers
+have the earlier attempt until the later one is whole, and nothing is ever updated in place. Reading picks the first or the last
 row per key by ``(run_seq, batch_id)``. Compaction folds finished batches into a base with one
 row per key, which keeps where each row came from: a batch that arrives later from an older
 run can then still come before it.
@@ -10,6 +11,7 @@ run can then still come before it.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,11 +19,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.session import create_file, matching_paths, path_exists
+from txnflow.session import create_file, delete_folder, matching_paths, path_exists
 
 RUN, BATCH = "run_seq", "batch_id"
 ORDER = (RUN, BATCH)
-_BATCH_FOLDER = re.compile(rf"/{RUN}=(\d+)/{BATCH}=(\d+)/")
+_MARKER = re.compile(rf"/{RUN}=(\d+)/{BATCH}=(\d+)/_written-(\d+)-(\w+)$")
 
 
 def _pick_columns(
@@ -129,15 +131,32 @@ class BatchLog:
     def folder(self) -> str:
         return f"{self.root}/log"
 
-    def write(self, rows: DataFrame, run_seq: int, batch_id: int, mode: str = "overwrite") -> None:
-        rows.write.mode(mode).parquet(f"{self.folder}/{RUN}={run_seq}/{BATCH}={batch_id}")
+    def _batch(self, run_seq: int, batch_id: int) -> str:
+        return f"{self.folder}/{RUN}={run_seq}/{BATCH}={batch_id}"
+
+    def write(self, rows: DataFrame, run_seq: int, batch_id: int) -> None:
+        """Write a batch, or write it again: readers go over to the newest attempt with a marker."""
+        folder, attempt = self._batch(run_seq, batch_id), uuid.uuid4().hex
+        rows.write.parquet(f"{folder}/attempt={attempt}")
+        number = len(matching_paths(self.spark, f"{folder}/_written-*"))
+        create_file(self.spark, f"{folder}/_written-{number:06d}-{attempt}")
+
+    def claim(self) -> int:
+        """A batch number above all so far that no other writer gets; a crashed one's stays unused."""
+        number = max((batch for _, batch in self.batches()), default=-1) + 1
+        while not create_file(self.spark, f"{self.root}/claims/{number}"):
+            number += 1
+        return number
+
+    def delete(self, run_seq: int, batch_id: int) -> None:
+        delete_folder(self.spark, self._batch(run_seq, batch_id))
 
     def folders(self) -> dict[tuple[int, int], str]:
-        """The folders of finished batches, oldest first. A batch being written has no marker yet."""
+        """The newest finished attempt of each batch, oldest batch first."""
         found = {}
-        for path in matching_paths(self.spark, f"{self.folder}/{RUN}=*/{BATCH}=*/_SUCCESS"):
-            m = _BATCH_FOLDER.search(path)
-            found[int(m.group(1)), int(m.group(2))] = path.removesuffix("/_SUCCESS")
+        for path in sorted(matching_paths(self.spark, f"{self.folder}/{RUN}=*/{BATCH}=*/_written-*")):
+            run, batch, _, attempt = _MARKER.search(path).groups()
+            found[int(run), int(batch)] = f"{path.rsplit('/', 1)[0]}/attempt={attempt}"
         return dict(sorted(found.items()))
 
     def batches(self) -> list[tuple[int, int]]:
@@ -158,7 +177,8 @@ class BatchLog:
         schema = f"{self.schema}, {RUN} INT, {BATCH} BIGINT"
         if not chosen:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.folder).parquet(*chosen)
+        files = self.spark.read.schema(f"{schema}, attempt STRING").option("basePath", self.folder)
+        return files.parquet(*chosen).drop("attempt")
 
 
 @dataclass(frozen=True)

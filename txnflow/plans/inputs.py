@@ -17,6 +17,9 @@ TOPIC = "transactions"
 TOPIC_PARTITIONS = 3
 # Parts larger than this are no merchants, so their transactions stay without a category.
 LARGEST_MERCHANT_SIZE = 40
+# Merchants seeded at first where more are seeded while a stream runs, and whose category changes then.
+SMALL_MERCHANT_SIZE = 20
+RECLASSED_BRAND = "Brand#1"
 ARRIVALS = 4
 
 
@@ -229,7 +232,7 @@ def graph(spark: SparkSession, sf_dir: str, stats: DataFrame) -> G.Graph:
         ), 0,
     )
     merchant_log = as_batch(
-        merchants(spark, sf_dir).select(
+        all_merchants(spark, sf_dir).select(
             "merchant_id", "merchant_name", "category",
             F.lit(None).cast("string").alias("merchant_country"),
             F.lit(None).cast("string").alias("merchant_city"),

@@ -164,6 +164,22 @@ kept as (
           and time_bucket(interval '1 hour', a.ts, timestamp '1970-01-01') + interval '1 hour' <= date_trunc('millisecond', marks.mark)
     )
 )"""
+    live = f"""with {_TX}, {_ARRIVAL_BOUNDS},
+seen as (
+    select tx.*, p_type, p_brand, p_size, (select count(*) - 1 from edges where edge <= tx.ts) as arrival
+    from tx join part on merchant_id = p_partkey where status = 'approved'
+),
+known as (
+    select *, case when arrival >= {inputs.ARRIVALS // 2} and p_brand = '{inputs.RECLASSED_BRAND}' then 'RECLASSED'
+                   else p_type end as kind
+    from seen where p_size <= case when arrival >= {inputs.ARRIVALS // 2} then {inputs.LARGEST_MERCHANT_SIZE}
+                              else {inputs.SMALL_MERCHANT_SIZE} end
+)
+select kind as category, transaction_country as country,
+       strftime(time_bucket(interval '1 hour', ts, timestamp '1970-01-01'), {_ISO}) as window_start_iso,
+       strftime(time_bucket(interval '1 hour', ts, timestamp '1970-01-01') + interval '1 hour', {_ISO}) as window_end_iso,
+       {_MONEY.format('amount')} as total_amount, count(*) as txn_count
+from known group by all"""
     return {
         **_generators(),
         "encode_messages": f"with {_TX} select cast(transaction_id as varchar) as key, transaction_id, amount, status from tx",
@@ -184,6 +200,8 @@ kept as (
         "stream_category_stats": hour,
         "category_stats_pipeline": hour,
         "category_stats_compacted": hour,
+        "live_dimension_stats": live,
+        "live_dimension_compacted": live,
         "late_data_trace": _stats_query("1 hour", "kept", late),
         "raw_graph_pipeline": transactions_now,
         "raw_graph_compacted": transactions_now,
@@ -242,10 +260,12 @@ kept as (
                 select * from tx order by customer_id, transaction_id, merchant_id limit 25)
             select p.customer_id, customer_name, transaction_id, p.amount as made_amount, p.amount, p.status,
                    p.transaction_date_iso, p.merchant_id, merchant_name, category
-            from first_paths p join customers c using (customer_id) left join merchants m using (merchant_id)""",
+            from first_paths p join customers c using (customer_id)
+            left join (select p_partkey as merchant_id, p_name as merchant_name, p_type as category from part) m
+            using (merchant_id)""",
         "label_counts": f"""with {_TX}, {_stats('1 hour')}
             select 'Customer' as label, count(*) as cnt from customers
-            union all select 'Merchant', count(*) from (select merchant_id from merchants union select merchant_id from tx)
+            union all select 'Merchant', count(*) from (select p_partkey as merchant_id from part union select merchant_id from tx)
             union all select 'Transaction', count(*) from tx
             union all select 'CategoryStats', count(*) from stats""",
         "relationship_count": f"with {_TX} select cast(2 * count(*) as bigint) as rels from tx",

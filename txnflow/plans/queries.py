@@ -213,6 +213,51 @@ def category_stats_compacted(spark, sf_dir):
     return _stats_columns(store.category_stats())
 
 
+def _seed_between(spark, sf_dir, store, land):
+    """Seeds small merchants, then the other ones and another category for one brand halfway through."""
+    rows = inputs.all_merchants(spark, sf_dir).where(F.col("p_size") <= inputs.LARGEST_MERCHANT_SIZE)
+    columns = ("merchant_name", "category")
+    store.seed_merchants(rows.where(F.col("p_size") <= inputs.SMALL_MERCHANT_SIZE), columns)
+    for i, _ in enumerate(land):
+        yield
+        if i + 1 == inputs.ARRIVALS // 2:
+            store.seed_merchants(rows.where(F.col("p_size") > inputs.SMALL_MERCHANT_SIZE), columns)
+            store.seed_merchants(
+                rows.where(F.col("brand") == inputs.RECLASSED_BRAND).withColumn("category", F.lit("RECLASSED")),
+                ("category",),
+            )
+
+
+def _run_live_stream(spark, sf_dir, name):
+    work, session = work_folder(spark, name), _stream_session(spark)
+    store = GraphStore(session, f"{work}/store")
+    config = pipeline.PipelineConfig(checkpoint_root=f"{work}/checkpoints", window="1 hour")
+    land = inputs.land_in_order(spark, sf_dir, f"{work}/topic")
+    queries = inputs.run_arrivals(
+        _seed_between(spark, sf_dir, GraphStore(spark, store.root), land),
+        lambda: pipeline.start_merchant_stats(file_stream(session, f"{work}/topic"), store, config, _ONCE),
+    )
+    return GraphStore(spark, store.root), queries
+
+
+@query
+def live_dimension_stats(spark, sf_dir):
+    """Merchants seeded while the stream runs count from the next micro-batch on."""
+    store, _ = _run_live_stream(spark, sf_dir, "live_dimension_stats")
+    return _stats_columns(store.category_stats())
+
+
+@query
+def live_dimension_compacted(spark, sf_dir):
+    """The same from bases: one fold before the last arrival's batches, one over the rest."""
+    store, _ = _run_live_stream(spark, sf_dir, "live_dimension_compacted")
+    positions = store.merchant_stats.batches()
+    store.compact_stats(upto=positions[len(positions) // 2])
+    store.compact_stats()
+    store.expire("merchant_stats")
+    return _stats_columns(store.category_stats())
+
+
 @query
 def late_data_trace(spark, sf_dir):
     """EUR transactions arrive one span late; those whose window has closed are dropped."""
@@ -327,10 +372,11 @@ def upsert_customers(spark, sf_dir):
         F.concat(F.lit("c"), key, F.lit("@example.com")).alias("email"),
         "customer_country", "customer_city",
         (F.lit(18) + F.pmod(key, F.lit(63))).alias("age"),
-        F.date_add(F.lit(S.FIRST_REGISTRATION).cast("date"), F.pmod(key, F.lit(2191)).cast("int")).alias(
-            "registration_date"
-        ),
+        F.date_format(
+            F.date_add(F.lit(S.FIRST_REGISTRATION).cast("date"), F.pmod(key, F.lit(2191)).cast("int")), "yyyy-MM-dd"
+        ).alias("registration_date"),
     )
+    # Dates arrive as text and are parsed when seeded.
     store.seed_customers(full)
     moved = rows.where(F.col("segment") == "BUILDING").select(
         "customer_id",

@@ -32,6 +32,11 @@ STATS_LOG = """
     category STRING, country STRING, window_start TIMESTAMP, window_end TIMESTAMP,
     total_amount DOUBLE, txn_count BIGINT, updated_at TIMESTAMP
 """
+# Running totals per merchant, with the category the merchant had when the batch was written.
+MERCHANT_STATS_LOG = """
+    merchant_id BIGINT, country STRING, window_start TIMESTAMP, window_end TIMESTAMP,
+    amount_cents DECIMAL(27,0), amount_rest DOUBLE, txn_count BIGINT, category STRING, updated_at TIMESTAMP
+"""
 CUSTOMER_SEED = """
     customer_id BIGINT, customer_name STRING, email STRING, customer_country STRING,
     customer_city STRING, age INT, registration_date DATE, set_columns ARRAY<STRING>

@@ -12,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnflow.operators.enrich import enrich_merchant
 from txnflow.operators.filters import parse_approved
-from txnflow.operators.stats import category_stats
+from txnflow.operators.stats import category_stats, merchant_totals
 from txnflow.schemas import WIDE_TRANSACTION
 from txnflow.sources.topics import kafka_stream
-from txnflow.streaming.sinks import BatchWriter, category_stats_writer, raw_graph_writer
+from txnflow.streaming.sinks import BatchWriter, category_stats_writer, merchant_stats_writer, raw_graph_writer
 from txnflow.streaming.store import GraphStore
 
 
@@ -129,16 +129,43 @@ def start_category_stats(
     return query
 
 
+def start_merchant_stats(
+    raw: DataFrame, store: GraphStore, config: PipelineConfig, trigger: Mapping | None = None,
+    writer: BatchWriter | None = None,
+) -> StreamingQuery:
+    """Window totals whose merchants are looked up in the store batch by batch, as they are then."""
+    checkpoint = config.checkpoint("merchant_stats")
+    runs = store.runs("merchant_stats")
+    run_seq, recorded = runs.run_for(checkpoint)
+    approved = approved_stream(raw, config)
+    if config.dedup_window_path:
+        approved = approved.dropDuplicatesWithinWatermark(["transaction_id"])
+    query = (
+        merchant_totals(approved, config.window)
+        .writeStream.queryName("category_stats_sink")
+        .foreachBatch(writer or merchant_stats_writer(store, run_seq))
+        .option("checkpointLocation", checkpoint)
+        .outputMode(config.stats_mode)
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
+        .start()
+    )
+    if not recorded:
+        runs.record(query.id, run_seq)
+    return query
+
+
 def start_pipeline(
     raw: DataFrame, store: GraphStore, config: PipelineConfig, merchants: DataFrame | None = None,
     trigger: Mapping | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Both sinks off one source; each reads it with offsets and a checkpoint of its own."""
-    merchants = store.merchant_dimension() if merchants is None else merchants
-    return (
-        start_raw_graph(raw, store, config, trigger),
-        start_category_stats(raw, merchants, store, config, trigger),
-    )
+    """Both sinks off one source; each reads it with offsets and a checkpoint of its own.
+
+    Without ``merchants`` the categories follow what is seeded into the store.
+    """
+    raw_graph = start_raw_graph(raw, store, config, trigger)
+    if merchants is None:
+        return raw_graph, start_merchant_stats(raw, store, config, trigger)
+    return raw_graph, start_category_stats(raw, merchants, store, config, trigger)
 
 
 def run_kafka_pipeline(spark: SparkSession, store: GraphStore, config: PipelineConfig) -> None:

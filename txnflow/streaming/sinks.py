@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from txnflow.functions.timetext import stored_time
 from txnflow.operators import graph as G
+from txnflow.operators.enrich import enrich_merchant
 from txnflow.operators.filters import has_keys
+from txnflow.operators.sizes import DEFAULT_LIMIT_BYTES
 from txnflow.operators.stats import stats_payload
 from txnflow.operators.upsert import dedup, only_new
 from txnflow.streaming.store import GraphStore
@@ -119,7 +121,8 @@ def category_stats_writer(store: GraphStore, run_seq: int) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         written = Observation(f"written-{batch_id}")
         rows = (
-            batch.withColumn("updated_at", F.current_timestamp())
+            # A few rows from each of the state's partitions: written as few files.
+            batch.withColumn("updated_at", F.current_timestamp()).hint("rebalance")
             .sortWithinPartitions("window_start")
             .observe(written, F.count(F.lit(1)).alias("rows"))
         )
@@ -127,3 +130,28 @@ def category_stats_writer(store: GraphStore, run_seq: int) -> BatchWriter:
         log_batch("category_stats", batch_id, written.get["rows"])
 
     return write
+
+
+def merchant_stats_writer(store: GraphStore, run_seq: int, limit_bytes: int = DEFAULT_LIMIT_BYTES) -> BatchWriter:
+    """Sink of totals per merchant, each with the merchant's category as of this batch.
+
+    The state knows merchants only, so what is seeded while the stream runs counts from the
+    next batch on. A batch holds a merchant once per window and country, so none is hot in the join;
+    the dimension is broadcast if this version of it was measured to be small. A replayed
+    batch takes the version it took before.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        written = Observation(f"written-{batch_id}")
+        snapshot = store.snapshot_for(run_seq, batch_id)
+        strategy = "broadcast" if snapshot.size <= limit_bytes else "shuffle"
+        rows = (
+            enrich_merchant(batch, snapshot.rows, strategy=strategy)
+            .withColumn("updated_at", F.current_timestamp()).hint("rebalance")
+            .sortWithinPartitions("window_start")
+            .observe(written, F.count("category").alias("rows"))
+        )
+        store.merchant_stats.write(rows, run_seq, batch_id)
+        log_batch("category_stats", batch_id, written.get["rows"])
+
+    return write

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -15,9 +16,11 @@ from txnflow import schemas as S
 from txnflow.functions.timetext import as_utc
 from txnflow.operators import graph as G
 from txnflow.operators.upsert import (
-    ORDER, BatchLog, Marks, RunRegistry, dedup, first_write, keys_of, last_write, merge_base, only_new,
+    BATCH, ORDER, RUN, BatchLog, Marks, RunRegistry, dedup, first_write, keys_of, last_write, merge_base, only_new,
 )
-from txnflow.session import delete_folder, matching_paths, path_exists
+from txnflow.operators.sizes import measured_bytes
+from txnflow.operators.stats import category_spans, category_stats_by_merchant
+from txnflow.session import create_file, delete_folder, matching_paths, path_exists
 
 Position = tuple[int, int]
 
@@ -52,6 +55,15 @@ class Base:
     marks: Marks
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """merchant_id and category of the merchants as of a version, and their measured size."""
+
+    version: str
+    rows: DataFrame
+    size: int
+
+
 RAW_VIEWS = {
     "Customer": View(G.customer_stubs, ("customer_id",), "first"),
     "Merchant": View(G.merchant_rows, ("merchant_id",), "first"),
@@ -61,6 +73,8 @@ RAW_VIEWS = {
 }
 STATS_VIEWS = {"CategoryStats": View(lambda log: log, G.STATS_KEY, "last", nullable=True)}
 
+_STATS_LOGS = {"category_stats": S.STATS_LOG, "merchant_stats": S.MERCHANT_STATS_LOG}
+_DIMENSION = "merchant_id BIGINT, category STRING"
 # Bases that join on the transaction are laid out by it, so those joins need no shuffle.
 _BUCKET_KEYS = {
     "Customer": "customer_id", "Merchant": "merchant_id",
@@ -92,6 +106,10 @@ class GraphStore:
     def stats(self) -> BatchLog:
         return self._log("category_stats", S.STATS_LOG)
 
+    @property
+    def merchant_stats(self) -> BatchLog:
+        return self._log("merchant_stats", S.MERCHANT_STATS_LOG)
+
     @property
     def customer_seed(self) -> BatchLog:
         return self._log("customer_seed", S.CUSTOMER_SEED)
@@ -123,14 +141,44 @@ class GraphStore:
         rows = dedup(rows.select(F.col(key).cast("long").alias(key), *values), [key], ())
         typed = {c: F.col(c).try_cast(types[c]) for c in known}
         bad = reduce(Column.__or__, (F.col(c).isNotNull() & typed[c].isNull() for c in known))
-        done = log.batches()
-        batch = done[-1][1] + 1 if done else 0
+        batch = log.claim()
         good = rows.where(~bad).select(key, *(typed[c].alias(c) for c in known), listed)
-        log.write(good, 0, batch, mode="errorifexists")
+        log.write(good, 0, batch)
         refused = rows.where(bad).select(F.to_json(F.struct(*rows.columns)).alias("row"))
         if not refused.isEmpty():
             BatchLog(self.spark, f"{log.root}_rejects", "row STRING").write(refused, 0, batch)
 
+    # --- the dimension as of a batch ---
+    def merchant_snapshot(self, version: str | None = None) -> Snapshot:
+        """The merchants' categories as seeded so far, resolved and measured once per version.
+
+        A version is the set of seedings it is made of, so it never changes; ``version`` names
+        an earlier one.
+        """
+        seeded = self.merchant_seed.folders()
+        version = version or hashlib.sha256(repr([*seeded.values()]).encode()).hexdigest()[:16]
+        folder = f"{self.root}/merchant_dimension"
+        if not (found := matching_paths(self.spark, f"{folder}/done/{version}-*")):
+            rows = f"{folder}/{version}/{uuid.uuid4().hex}"
+            self.merchant_dimension().write.parquet(rows)
+            size = measured_bytes(self.spark.read.schema(_DIMENSION).parquet(rows))
+            create_file(self.spark, f"{folder}/done/{version}-{size}-{rows.rsplit('/', 1)[1]}")
+            found = matching_paths(self.spark, f"{folder}/done/{version}-*")
+        # Whoever else resolved it has the same rows.
+        _, size, attempt = min(found).rsplit("/", 1)[1].split("-")
+        rows = self.spark.read.schema(_DIMENSION).parquet(f"{folder}/{version}/{attempt}")
+        return Snapshot(version, rows, int(size))
+
+    def snapshot_for(self, run_seq: int, batch_id: int) -> Snapshot:
+        """The newest snapshot, or the one an earlier attempt at this batch took."""
+        folder = f"{self.root}/merchant_stats/dimension/{run_seq}-{batch_id}"
+        taken = matching_paths(self.spark, f"{folder}/*")
+        if taken:
+            return self.merchant_snapshot(min(taken).rsplit("/", 1)[1])
+        snapshot = self.merchant_snapshot()
+        create_file(self.spark, f"{folder}/{snapshot.version}")
+        return snapshot
+
     # --- reading ---
     def graph(self) -> G.Graph:
         def raw(name: str) -> DataFrame:
@@ -152,21 +200,36 @@ class GraphStore:
     def category_stats(self, since: datetime | None = None) -> DataFrame:
         """Current statistics, or those of windows from ``since`` on.
 
-        The bound prunes day folders of the base and row groups of the later batches.
+        The bound prunes day folders of the base and row groups of the later batches. Totals
+        kept per merchant are added up by category; where both logs have a group, these count.
         """
-        view, base = STATS_VIEWS["CategoryStats"], self._base("category_stats", "CategoryStats")
+        by_category = self._stats_rows("category_stats", self.stats, STATS_VIEWS["CategoryStats"].resolve, since)
+        if not self.merchant_stats.batches() and not self._newest("merchant_stats"):
+            return by_category.drop(*ORDER)
+        by_merchant = category_stats_by_merchant(
+            self._stats_rows("merchant_stats", self.merchant_stats, lambda log: log, since)
+        )
+        if not self.stats.batches() and not self._newest("category_stats"):
+            return by_merchant
+        by_category = by_category.select(*by_merchant.columns)
+        return by_merchant.unionByName(only_new(by_category, by_merchant, G.STATS_KEY))
+
+    def _stats_rows(
+        self, sink: str, log: BatchLog, resolve: Callable[[DataFrame], DataFrame], since: datetime | None
+    ) -> DataFrame:
+        """Rows of a statistics log: its base and what came later, resolved together."""
+        base = self._base(sink, sink)
         since = as_utc(since) if since is not None else None
         in_range = F.lit(True) if since is None else F.col("window_start") >= F.lit(since)
-        tail = self.stats.read(after=base.marks if base else None).where(in_range)
         if base is None:
-            return view.resolve(tail).drop(*ORDER)
+            return resolve(log.read().where(in_range))
         rows = base.rows
         if since is not None:
             rows = rows.where(F.col("window_date") >= F.lit(since.date()))
         rows = rows.drop("window_date").where(in_range)
-        if self._has_later(self.stats, base):
-            rows = view.merge(rows, view.resolve(tail))
-        return rows.drop(*ORDER)
+        if not self._has_later(log, base):
+            return rows
+        return resolve(rows.unionByName(log.read(after=base.marks).where(in_range)))
 
     def merchant_dimension(self) -> DataFrame:
         """Seeded merchants as the enrichment join needs them."""
@@ -207,6 +270,10 @@ class GraphStore:
             return None
         if row["table_name"] and self.spark.catalog.tableExists(row["table_name"]):
             rows = self.spark.table(row["table_name"])
+        elif sink in _STATS_LOGS:
+            schema = f"{_STATS_LOGS[sink]}, {RUN} INT, {BATCH} BIGINT, attempt STRING, window_date DATE"
+            files = self.spark.read.schema(schema).option("basePath", f"{self.root}/{sink}/base/{sink}")
+            rows = files.parquet(*row["parts"]).drop("attempt")
         else:
             rows = self.spark.read.parquet(*row["parts"])
         return Base(rows, tuple(row["parts"]), row["table_name"], dict(row["marks"]))
@@ -258,48 +325,60 @@ class GraphStore:
         return not joined.where(F.col("_found") < F.col("_known")).isEmpty()
 
     def compact_stats(self, upto: Position | None = None) -> None:
-        """Fold batches up to ``upto`` into a new base, laid out by the day of the window.
+        """Fold batches up to ``upto`` into bases, laid out by the day of the window.
 
-        Totals change until their window closes, so this base is rewritten; it holds one row
-        per window and group, not per transaction.
+        Totals change until their window closes, so a day that the batches touch is written
+        anew; the folders of the other days stay in force.
         """
-        before = self._newest("category_stats")
+        view = STATS_VIEWS["CategoryStats"]
+        self._compact_days("category_stats", self.stats, lambda log: last_write(log, view.keys, keep_order=True), upto)
+        self._compact_days("merchant_stats", self.merchant_stats, category_spans, upto)
+
+    def _compact_days(
+        self, sink: str, log: BatchLog, fold: Callable[[DataFrame], DataFrame], upto: Position | None
+    ) -> None:
+        before = self._newest(sink)
         old = dict(next(iter(before.values()))["marks"]) if before else {}
-        marks = _new_marks(self.stats.batches(), old, upto)
+        marks = _new_marks(log.batches(), old, upto)
         if marks == old:
             return
-        view, base = STATS_VIEWS["CategoryStats"], self._base("category_stats", "CategoryStats")
-        rows, attempt = view.resolve(self.stats.read(after=old, upto=marks)), uuid.uuid4().hex
+        base, attempt = self._base(sink, sink), uuid.uuid4().hex
+        rows = log.read(after=old, upto=marks).withColumn("window_date", F.to_date("window_start"))
+        days = [row[0] for row in rows.select("window_date").distinct().collect()]
+        kept = [p for p in base.parts if _day_of(p) not in {str(d) for d in days}] if base else []
         if base is not None:
-            rows = view.merge(base.rows.drop("window_date"), rows)
-        location = f"{self.root}/category_stats/base/CategoryStats/{attempt}"
+            rows = base.rows.where(F.col("window_date").isin(days)).unionByName(rows)
+        location = f"{self.root}/{sink}/base/{sink}/attempt={attempt}"
         # A rebalance splits days with many rows and joins those with few.
-        (rows.withColumn("window_date", F.to_date("window_start")).hint("rebalance", "window_date")
-            .sortWithinPartitions("window_date", "window_start")
+        (fold(rows.drop("window_date")).withColumn("window_date", F.to_date("window_start"))
+            .hint("rebalance", "window_date").sortWithinPartitions("window_date", "window_start")
             .write.partitionBy("window_date").parquet(location))
-        self._record_bases("category_stats", before, attempt, marks, [("CategoryStats", "", 0, [location])])
+        parts = [*kept, *matching_paths(self.spark, f"{location}/window_date=*")]
+        self._record_bases(sink, before, attempt, marks, [(sink, "", 0, parts)])
 
     def expire(self, sink: str) -> None:
         """Delete folded batches, and bases that neither of the two newest compactions lists.
 
         Call it when no reader still runs on what was current before those.
         """
-        log = self.raw if sink == "raw_graph" else self.stats
+        log = {"raw_graph": self.raw, "category_stats": self.stats, "merchant_stats": self.merchant_stats}[sink]
+        # Of compactions that ran at once and got one number, readers use the last by attempt.
+        newest: dict[int, str] = {}
         rows = self._bases(sink)
-        numbers = sorted({row["number"] for row in rows})[-2:]
-        if not numbers:
+        for row in rows:
+            newest[row["number"]] = max(row["attempt"], newest.get(row["number"], ""))
+        kept = sorted(newest.items())[-2:]
+        if not kept:
             return
+        rows = [row for row in rows if (row["number"], row["attempt"]) in kept]
         # What the older of the two has not folded yet, its readers still need.
-        kept = [row for row in rows if row["number"] in numbers]
-        marks = dict(min((row for row in kept), key=lambda row: row["number"])["marks"])
-        for (run, batch), folder in log.folders().items():
+        marks = dict(next(row for row in rows if (row["number"], row["attempt"]) == kept[0])["marks"])
+        for run, batch in log.batches():
             if batch <= marks.get(run, -1):
-                delete_folder(self.spark, folder)
-        listed = {_tail_of(part) for row in kept for part in row["parts"]}
+                log.delete(run, batch)
+        listed = {_attempt_of(part) for row in rows for part in row["parts"]}
         for folder in matching_paths(self.spark, f"{self.root}/{sink}/base/*/*"):
-            if _tail_of(folder) not in listed and not any(
-                row["table_name"] and _tail_of(folder) in map(_tail_of, row["parts"]) for row in kept
-            ):
+            if _attempt_of(folder) not in listed:
                 delete_folder(self.spark, folder)
 
     def _record_bases(self, sink: str, before: dict, attempt: str, marks: Marks, entries: list[tuple]) -> None:
@@ -309,9 +388,13 @@ class GraphStore:
         self.spark.createDataFrame(rows, _BASE_SCHEMA).coalesce(1).write.mode("append").parquet(self._manifest(sink))
 
 
-def _tail_of(path: str) -> str:
-    """Table and attempt of a base folder, without the way to the store."""
-    return "/".join(path.rstrip("/").split("/")[-2:])
+def _attempt_of(path: str) -> str:
+    """Table and attempt of a base folder or of a folder in it, without the way to the store."""
+    return "/".join(path.rstrip("/").rsplit("/base/", 1)[1].split("/")[:2])
+
+
+def _day_of(part: str) -> str:
+    return part.rstrip("/").rsplit("window_date=", 1)[1]
 
 
 def _new_marks(batches: list[Position], old: Marks, upto: Position | None) -> Marks:
