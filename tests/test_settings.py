@@ -1,8 +1,8 @@
 import pytest
 
 from txnflow.session import ROCKSDB_PROVIDER, session_options, streaming_session, work_folder
-from txnflow.sources.graphdb import GraphTarget, merchant_dimension, read_nodes
-from txnflow.sources.topics import kafka_sink_options, kafka_source_options
+from txnflow.sources.graphdb import GraphTarget, edge_query, merchant_dimension, node_query, read_nodes
+from txnflow.sources.topics import kafka_sink_options, kafka_source_options, tail_starts
 from txnflow.streaming.pipeline import PipelineConfig
 
 
@@ -28,12 +28,7 @@ def test_graph_target():
     assert target.options() == {
         "url": "bolt://h:7687", "authentication.type": "basic", "authentication.basic.username": "u",
         "authentication.basic.password": "p", "database": "neo4j"}
-    node = target.node_options("CategoryStats", ["category", "country", "window_start"])
-    assert node["labels"] == ":CategoryStats" and node["node.keys"] == "category,country,window_start"
-    assert node["batch.size"] == "500"
-    edge = target.edge_options("MADE", ("Customer", "customer_id"), ("Transaction", "transaction_id"), ["amount"])
-    assert edge["relationship"] == "MADE" and edge["relationship.source.node.keys"] == "customer_id"
-    assert edge["relationship.target.labels"] == ":Transaction" and edge["relationship.properties"] == "amount"
+    assert target.query_options("RETURN 1") == {**target.options(), "query": "RETURN 1", "batch.size": "500"}
     with pytest.raises(KeyError):
         GraphTarget.from_env({})
 
@@ -98,3 +93,24 @@ class ClusterSession:
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_folder(ClusterSession, "x")
+
+
+def test_merge_queries():
+    assert node_query("Customer", ["customer_id"]) == "MERGE (n:Customer {customer_id: event.customer_id})"
+    assert node_query("T", ["k"], created=["a", "b"]) == (
+        "MERGE (n:T {k: event.k}) ON CREATE SET n.a = event.a, n.b = event.b")
+    assert node_query("S", ["k", "l"], overwritten=["v"]) == "MERGE (n:S {k: event.k, l: event.l}) SET n.v = event.v"
+    assert edge_query("MADE", ("Customer", "customer_id"), ("Transaction", "transaction_id"), ["amount"]) == (
+        "MATCH (a:Customer {customer_id: event.customer_id}) MATCH (b:Transaction {transaction_id: event.transaction_id}) "
+        "MERGE (a)-[r:MADE]->(b) ON CREATE SET r.amount = event.amount")
+
+
+def test_sink_from_the_environment():
+    env = {"KAFKA_BOOTSTRAP_SERVERS": "h:1", "KAFKA_TOPIC": "t"}
+    assert PipelineConfig.from_env(env).sink == "files"
+    assert PipelineConfig.from_env({**env, "GRAPH_SINK": "server"}).sink == "server"
+
+
+def test_kafka_tail_starts_near_the_end(spark):
+    ends = spark.createDataFrame([(0, 100), (1, 3)], "partition INT, end_offset BIGINT")
+    assert tail_starts(ends, 15) == {0: 85, 1: 0}

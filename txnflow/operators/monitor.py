@@ -24,7 +24,12 @@ def end_offsets(envelope: DataFrame, known: DataFrame | None = None) -> DataFram
 
 def topic_high_water(envelope: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Sum over partitions of the end offset, 0 for an empty topic."""
-    return end_offsets(envelope, known).agg(F.coalesce(F.sum("end_offset"), F.lit(0)).alias("hwm"))
+    return high_water(end_offsets(envelope, known))
+
+
+def high_water(ends: DataFrame) -> DataFrame:
+    """``topic_high_water`` from end offsets per partition."""
+    return ends.agg(F.coalesce(F.sum("end_offset"), F.lit(0)).alias("hwm"))
 
 
 def consumer_lag(envelope: DataFrame, committed: DataFrame) -> DataFrame:
@@ -32,8 +37,13 @@ def consumer_lag(envelope: DataFrame, committed: DataFrame) -> DataFrame:
 
     A partition never read lags in full; one read to its end whose messages are gone lags 0.
     """
+    return lag_behind(end_offsets(envelope, committed), committed)
+
+
+def lag_behind(ends: DataFrame, committed: DataFrame) -> DataFrame:
+    """``consumer_lag`` from end offsets per partition, such as ``topics.stored_end_offsets``."""
     done = committed.select("partition", F.col("end_offset").alias("_done"))
-    return end_offsets(envelope, committed).join(done, "partition", "left").select(
+    return ends.join(done, "partition", "left").select(
         "partition",
         F.greatest(F.col("end_offset") - F.coalesce(F.col("_done"), F.lit(0)), F.lit(0)).alias("lag"),
     )

@@ -164,6 +164,10 @@ kept as (
           and time_bucket(interval '1 hour', a.ts, timestamp '1970-01-01') + interval '1 hour' <= date_trunc('millisecond', marks.mark)
     )
 )"""
+    high_water = f"""with {_TX}
+            select cast(sum(m) as bigint) as hwm from (select max("offset") + 1 as m from tx group by partition)"""
+    newest = f"""with {_TX}
+            select transaction_id, status, amount from tx order by ts desc, partition desc, "offset" desc limit 15"""
     live = f"""with {_TX}, {_ARRIVAL_BOUNDS},
 seen as (
     select tx.*, p_type, p_brand, p_size, (select count(*) - 1 from edges where edge <= tx.ts) as arrival
@@ -269,16 +273,21 @@ from known group by all"""
             union all select 'Transaction', count(*) from tx
             union all select 'CategoryStats', count(*) from stats""",
         "relationship_count": f"with {_TX} select cast(2 * count(*) as bigint) as rels from tx",
-        "topic_high_water": f"""with {_TX}
-            select cast(sum(m) as bigint) as hwm from (select max("offset") + 1 as m from tx group by partition)""",
+        "topic_high_water": high_water,
         "consumer_lag": f"""with {_TX}, done as (
                 select partition, max("offset") + 1 as end_offset from tx
                 where ts < (select max(ts) from tx) - interval '1 day' and partition < 2 group by partition)
             select cast(partition as integer) as partition, max("offset") + 1 - coalesce(any_value(end_offset), 0) as lag
             from tx left join done using (partition) group by partition
             union all select 3, 0""",
-        "latest_messages": f"""with {_TX}
-            select transaction_id, status, amount from tx order by ts desc, partition desc, "offset" desc limit 15""",
+        "latest_messages": newest,
+        "topic_high_water_stored": high_water,
+        "latest_messages_stored": newest,
+        "consumer_lag_stored": f"""with {_TX}, {_ARRIVAL_BOUNDS}
+            select cast(partition as integer) as partition,
+                   max("offset") - max("offset") filter (where ts < (select max(edge) from edges)) as lag
+            from tx group by partition""",
+        "publish_reported": f"with {_TX} select count(*) as produced from tx",
         "batch_commit_log": """
             select case when event_type = 'purchase' then 'category_stats' else 'raw_graph' end as sink,
                    event_id as batch, cast(floor(value) as bigint) as rows

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,9 @@ from txnflow.plans import inputs
 from txnflow.session import require_utc, streaming_session, work_folder
 from txnflow.sources import records, textlogs
 from txnflow.sources.graphdb import merchant_dimension
-from txnflow.sources.topics import file_batch, file_stream
+from txnflow.sources.topics import file_batch, file_stream, store_topic, stored_end_offsets, stored_tail
 from txnflow.streaming import pipeline, progress
+from txnflow.streaming.publisher import ProducerReport, publish_transactions
 from txnflow.streaming.store import GraphStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,8 +176,18 @@ def category_stats_large_dim(spark, sf_dir):
 
 
 # --- streams ---
-def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", late_text=None):
-    work, session = work_folder(spark, name), _stream_session(spark, state_store)
+@contextmanager
+def _listening(listener):
+    """Attached to its session's queries meanwhile."""
+    listener.attach()
+    try:
+        yield
+    finally:
+        listener.detach()
+
+
+def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", late_text=None, session=None):
+    work, session = work_folder(spark, name), session or _stream_session(spark, state_store)
     store = GraphStore(session, f"{work}/store")
     merchants = inputs.merchants(session, sf_dir)
     # The dimension does not change between the runs, so it is measured once for all of them.
@@ -267,13 +279,36 @@ def late_data_trace(spark, sf_dir):
 
 @query
 def stream_progress(spark, sf_dir):
-    """Rows read per arrival, from the progress reports of the statistics stream."""
-    _, finished = _run_stats_stream(spark, sf_dir, "stream_progress")
-    rows = []
-    for arrival, query_ in enumerate(finished):
-        rows += [(arrival, *report[1:]) for report in progress.progress_rows(query_)]
-    reports = progress.progress_frame(spark, rows)
-    return reports.groupBy(F.col("batch").alias("arrival")).agg(F.sum("input_rows").alias("input_rows"))
+    """Rows read per arrival, from the logged progress reports of the statistics stream."""
+    folder = work_folder(spark, "progress")
+    session, ended = _stream_session(spark), []
+    log = progress.ProgressLog(session, folder)
+    with _listening(log):
+        _, finished = _run_stats_stream(spark, sf_dir, "stream_progress", session=session)
+        for arrival, query_ in enumerate(finished):
+            log.wait(query_)
+            ended.append((str(query_.runId), arrival))
+    runs = spark.createDataFrame(ended, "run_id STRING, arrival BIGINT")
+    reports = progress.read_progress(spark, folder).join(runs, "run_id")
+    return reports.groupBy("arrival").agg(F.sum("input_rows").alias("input_rows"))
+
+
+@query
+def publish_reported(spark, sf_dir):
+    """Every transaction published again from a stream; the count its publisher's log lines end on."""
+    work, session = work_folder(spark, "publish_reported"), _stream_session(spark)
+    report = ProducerReport(session, f"{work}/log")
+    with _listening(report):
+        finished = inputs.run_arrivals(
+            inputs.land_in_order(spark, sf_dir, f"{work}/topic"),
+            lambda: publish_transactions(
+                parse_transactions(file_stream(session, f"{work}/topic")), f"{work}/checkpoint",
+                {"path": f"{work}/published"}, sink="parquet", trigger=_ONCE,
+            ),
+        )
+        for query_ in finished:
+            report.wait(query_)
+    return textlogs.produced_count(textlogs.read_log(spark, f"{work}/log"))
 
 
 def _run_raw_stream(spark, sf_dir, name):
@@ -501,6 +536,37 @@ def latest_messages(spark, sf_dir):
     return monitor.latest_messages(inputs.envelope(spark, sf_dir)).select("transaction_id", "status", "amount")
 
 
+def _stored_topic(spark, sf_dir, name) -> str:
+    folder = work_folder(spark, name)
+    store_topic(inputs.envelope(spark, sf_dir), folder)
+    return folder
+
+
+@query
+def topic_high_water_stored(spark, sf_dir):
+    """From the footers of a stored topic's files."""
+    return monitor.high_water(stored_end_offsets(spark, _stored_topic(spark, sf_dir, "topic_high_water")))
+
+
+@query
+def latest_messages_stored(spark, sf_dir):
+    """From the end of each partition of a stored topic."""
+    tail = stored_tail(spark, _stored_topic(spark, sf_dir, "latest_messages"), 15)
+    return monitor.latest_messages(tail).select("transaction_id", "status", "amount")
+
+
+@query
+def consumer_lag_stored(spark, sf_dir):
+    """A consumer that had read a stored topic to its end before the last arrival landed."""
+    folder = work_folder(spark, "consumer_lag")
+    spans = inputs.arrivals(spark, sf_dir)
+    for i, span in enumerate(spans):
+        if i == len(spans) - 1:
+            committed = spark.createDataFrame(stored_end_offsets(spark, folder).collect(), progress.COMMITTED)
+        store_topic(inputs.envelope(spark, sf_dir, span), folder)
+    return monitor.lag_behind(stored_end_offsets(spark, folder), committed)
+
+
 def _commit_lines(spark, sf_dir) -> DataFrame:
     """One consumer log line per event, written as text and read back."""
     rows = F.floor("value").cast("long")

@@ -84,4 +84,7 @@ DESCRIPTION_SUFFIX = "_streaming_big_data_project"
 
 BATCH_COMMIT_PATTERN = r"\[([\w_]+)\]\s+batch=(\d+)\s+rows=(\d+)"
 PRODUCED_PATTERN = r"produced\s+(\d+)\s+transactions"
+PRODUCED_LINE = "produced {sent} transactions (last id={last})"
+LOG_FORMAT = "%(asctime)s | %(levelname)s | %(name)s | %(message)s"
+LOG_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 # ------------------------------------------------------------------------------------

@@ -22,8 +22,6 @@ def session_options(shuffle_partitions: int | None = None, state_store: str = "r
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.metricsEnabled": "true",
-        # Progress reports a query keeps; the default of 100 is a few minutes of batches.
-        "spark.sql.streaming.numRecentProgressUpdates": "10000",
     }
     if shuffle_partitions is not None:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -112,6 +110,18 @@ def create_file(spark: SparkSession, path: str) -> bool:
     return fs.createNewFile(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place at once, over an earlier one of the name."""
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(text.encode())
+    out.close()
+    fs.delete(target, False)
+    fs.rename(draft, target)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, path = _file_system(spark, path)
     fs.delete(path, True)

@@ -7,7 +7,7 @@ load time when it is missing.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,79 +44,63 @@ class GraphTarget:
             "database": self.database,
         }
 
-    def node_options(self, label: str, keys: list[str], batch_size: int = 500) -> dict[str, str]:
-        """Upsert of nodes by key: the given columns overwrite, others stay."""
-        return {
-            **self.options(),
-            "labels": f":{label}",
-            "node.keys": ",".join(keys),
-            "batch.size": str(batch_size),
-        }
+    def query_options(self, query: str, batch_size: int = 500) -> dict[str, str]:
+        """Run a query for each row, which it sees as ``event``."""
+        return {**self.options(), "query": query, "batch.size": str(batch_size)}
 
-    def edge_options(
-        self, edge: str, source: tuple[str, str], target: tuple[str, str], properties: list[str],
-        batch_size: int = 500,
-    ) -> dict[str, str]:
-        """Upsert of edges between existing nodes; each end is given as (label, key column)."""
-        return {
-            **self.options(),
-            "relationship": edge,
-            "relationship.save.strategy": "keys",
-            "relationship.source.labels": f":{source[0]}",
-            "relationship.source.node.keys": source[1],
-            "relationship.source.save.mode": "Match",
-            "relationship.target.labels": f":{target[0]}",
-            "relationship.target.node.keys": target[1],
-            "relationship.target.save.mode": "Match",
-            "relationship.properties": ",".join(properties),
-            "batch.size": str(batch_size),
-        }
 
+def _listed(columns: Sequence[str], name: str = "") -> str:
+    sign = " = " if name else ": "
+    return ", ".join(f"{name}{c}{sign}event.{c}" for c in columns)
+
+
+def _by_key(name: str, label: str, keys: Sequence[str]) -> str:
+    return f"({name}:{label} {{{_listed(keys)}}})"
 
-def read_nodes(spark: SparkSession, target: GraphTarget, label: str) -> DataFrame:
-    return spark.read.format(CONNECTOR_FORMAT).options(**target.options()).option("labels", label).load()
 
+def node_query(label: str, keys: Sequence[str], created: Sequence[str] = (), overwritten: Sequence[str] = ()) -> str:
+    """Merge a node by its key: ``created`` columns are set when the server makes it, the others always."""
+    query = f"MERGE {_by_key('n', label, keys)}"
+    if created:
+        query += f" ON CREATE SET {_listed(created, 'n.')}"
+    if overwritten:
+        query += f" SET {_listed(overwritten, 'n.')}"
+    return query
 
-def write_nodes(rows: DataFrame, target: GraphTarget, label: str, keys: list[str]) -> None:
-    rows.write.format(CONNECTOR_FORMAT).mode("Overwrite").options(**target.node_options(label, keys)).save()
 
+def edge_query(edge: str, source: tuple[str, str], target: tuple[str, str], created: Sequence[str] = ()) -> str:
+    """Merge an edge between two nodes the server has; ``created`` columns are set when it makes it."""
+    ends = (_by_key(name, label, [key]) for name, (label, key) in (("a", source), ("b", target)))
+    query = "".join(f"MATCH {end} " for end in ends) + f"MERGE (a)-[r:{edge}]->(b)"
+    return query + (f" ON CREATE SET {_listed(created, 'r.')}" if created else "")
 
-def write_edges(
-    rows: DataFrame, target: GraphTarget, edge: str, source: tuple[str, str], destination: tuple[str, str],
-    properties: list[str],
-) -> None:
-    options = target.edge_options(edge, source, destination, properties)
-    rows.write.format(CONNECTOR_FORMAT).mode("Overwrite").options(**options).save()
+
+def read_nodes(spark: SparkSession, target: GraphTarget, label: str) -> DataFrame:
+    return spark.read.format(CONNECTOR_FORMAT).options(**target.options()).option("labels", label).load()
 
 
 @dataclass(frozen=True)
 class ConnectorServer:
-    """A graph server as the sinks need it: keys it has, and upserts."""
+    """A graph server as the sinks need it: rows go in, and the server decides what is new."""
 
-    spark: SparkSession
     target: GraphTarget
 
-    def nodes(self, label: str, keys: list[str]) -> DataFrame:
-        return read_nodes(self.spark, self.target, label).select(*keys)
+    def merge_nodes(
+        self, rows: DataFrame, label: str, keys: Sequence[str], created: Sequence[str] = (),
+        overwritten: Sequence[str] = (),
+    ) -> None:
+        self._run(rows, node_query(label, keys, created, overwritten))
 
-    def edges(self, edge: str, source: tuple[str, str], destination: tuple[str, str]) -> DataFrame:
-        """The key columns of both ends of every edge of this type."""
-        options = {
-            "relationship": edge, "relationship.nodes.map": "false",
-            "relationship.source.labels": source[0], "relationship.target.labels": destination[0],
-        }
-        rows = self.spark.read.format(CONNECTOR_FORMAT).options(**self.target.options(), **options).load()
-        return rows.select(
-            F.col(f"`source.{source[1]}`").alias(source[1]), F.col(f"`target.{destination[1]}`").alias(destination[1])
-        )
+    def merge_edges(
+        self, rows: DataFrame, edge: str, source: tuple[str, str], target: tuple[str, str], created: Sequence[str] = (),
+    ) -> None:
+        self._run(rows, edge_query(edge, source, target, created))
 
-    def upsert_nodes(self, rows: DataFrame, label: str, keys: list[str]) -> None:
-        write_nodes(rows, self.target, label, keys)
+    def merchants(self, spark: SparkSession) -> DataFrame:
+        return merchant_dimension(read_nodes(spark, self.target, "Merchant"))
 
-    def upsert_edges(
-        self, rows: DataFrame, edge: str, source: tuple[str, str], destination: tuple[str, str], properties: list[str]
-    ) -> None:
-        write_edges(rows, self.target, edge, source, destination, properties)
+    def _run(self, rows: DataFrame, query: str) -> None:
+        rows.write.format(CONNECTOR_FORMAT).mode("Append").options(**self.target.query_options(query)).save()
 
 
 def merchant_dimension(merchants: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,6 +116,51 @@ def file_batch(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(folder)
 
 
+def store_topic(messages: DataFrame, folder: str) -> None:
+    """Append messages to a topic of files, laid out by partition and in offset order.
+
+    Files hold narrow ranges of offsets, so bounds come from their footers and a tail opens few.
+    """
+    (messages.repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset")
+        .write.mode("append").partitionBy("partition").parquet(folder))
+
+
+def stored_end_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """End offset per partition of such a topic, from the files' footers alone."""
+    # Footers answer an aggregate only through the second version of the file readers.
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    topic = footers.read.schema(ENVELOPE).parquet(folder)
+    return topic.groupBy("partition").agg(F.max("offset").alias("_last")).select(
+        "partition", (F.col("_last") + 1).alias("end_offset")
+    )
+
+
+def tail_starts(ends: DataFrame, n: int) -> dict[int, int]:
+    """Per partition the offset of its ``n``-th newest message; a topic has few partitions."""
+    return {row["partition"]: max(row["end_offset"] - n, 0) for row in ends.collect()}
+
+
+def stored_tail(spark: SparkSession, folder: str, n: int) -> DataFrame:
+    """The ``n`` newest messages of each partition; files without any of them are skipped."""
+    starts = tail_starts(stored_end_offsets(spark, folder), n)
+    newest = F.lit(False)
+    for partition, start in starts.items():
+        newest = newest | ((F.col("partition") == partition) & (F.col("offset") >= start))
+    # Stated once more without the partition: this form reaches the files' statistics.
+    return file_batch(spark, folder).where(newest).where(F.col("offset") >= min(starts.values(), default=0))
+
+
+def kafka_tail(spark: SparkSession, bootstrap: str, topic: str, ends: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest messages of each partition, and any that came after ``ends`` was taken.
+
+    ``ends`` are end offsets, such as ``progress.logged_offsets``; no earlier message is fetched.
+    """
+    starts = {str(partition): start for partition, start in tail_starts(ends, n).items()}
+    return kafka_batch(spark, bootstrap, topic, starting=json.dumps({topic: starts}))
+
+
 def as_envelope(
     messages: DataFrame, topic: str, partition: Column, offset: Column, timestamp: Column
 ) -> DataFrame:

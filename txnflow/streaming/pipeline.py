@@ -15,7 +15,9 @@ from txnflow.operators.filters import parse_approved
 from txnflow.operators.stats import category_stats, merchant_totals
 from txnflow.schemas import WIDE_TRANSACTION
 from txnflow.sources.topics import kafka_stream
-from txnflow.streaming.sinks import BatchWriter, category_stats_writer, merchant_stats_writer, raw_graph_writer
+from txnflow.streaming.sinks import (
+    BatchWriter, category_stats_writer, merchant_stats_writer, raw_graph_writer, raw_server_writer, stats_server_writer,
+)
 from txnflow.streaming.store import GraphStore
 
 
@@ -34,6 +36,8 @@ class PipelineConfig:
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     store_root: str = "./graph"
+    #: Where the sinks write: ``files`` of the store, or a graph ``server``.
+    sink: str = "files"
     shuffle_partitions: int | None = None
 
     @classmethod
@@ -47,6 +51,7 @@ class PipelineConfig:
             watermark=env.get("SPARK_WATERMARK", cls.watermark),
             window=env.get("SPARK_WINDOW_DURATION", cls.window),
             store_root=env.get("GRAPH_STORE_ROOT", cls.store_root),
+            sink=env.get("GRAPH_SINK", cls.sink),
             **{
                 name: int(env[variable])
                 for name, variable in (
@@ -168,13 +173,27 @@ def start_pipeline(
     return raw_graph, start_category_stats(raw, merchants, store, config, trigger)
 
 
-def run_kafka_pipeline(spark: SparkSession, store: GraphStore, config: PipelineConfig) -> None:
-    """Run on a Kafka topic until one of the queries ends."""
+def start_server_pipeline(
+    raw: DataFrame, store: GraphStore, server, config: PipelineConfig, trigger: Mapping | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Both sinks on a graph server, whose merchants are the dimension; the store numbers the runs."""
+    merchants = server.merchants(raw.sparkSession)
+    return (
+        start_raw_graph(raw, store, config, trigger, writer=raw_server_writer(server)),
+        start_category_stats(raw, merchants, store, config, trigger, writer=stats_server_writer(server)),
+    )
+
+
+def run_kafka_pipeline(spark: SparkSession, store: GraphStore, config: PipelineConfig, server=None) -> None:
+    """Run on a Kafka topic until one of the queries ends; ``server`` takes the place of the store's files."""
     options = {
         "max_offsets_per_trigger": config.max_offsets_per_trigger, "min_partitions": config.min_partitions,
     }
     raw = kafka_stream(spark, config.bootstrap, config.topic, **options)
-    start_pipeline(raw, store, config)
+    if server is not None:
+        start_server_pipeline(raw, store, server, config)
+    else:
+        start_pipeline(raw, store, config)
     spark.streams.awaitAnyTermination()
 
 

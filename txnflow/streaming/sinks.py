@@ -14,7 +14,7 @@ from txnflow.operators.enrich import enrich_merchant
 from txnflow.operators.filters import has_keys
 from txnflow.operators.sizes import DEFAULT_LIMIT_BYTES
 from txnflow.operators.stats import stats_payload
-from txnflow.operators.upsert import dedup, only_new
+from txnflow.operators.upsert import dedup
 from txnflow.streaming.store import GraphStore
 
 logger = logging.getLogger("txnflow.consumer")
@@ -68,32 +68,31 @@ def raw_graph_writer(store: GraphStore, run_seq: int) -> BatchWriter:
 _CUSTOMER, _TRANSACTION, _MERCHANT = (
     ("Customer", "customer_id"), ("Transaction", "transaction_id"), ("Merchant", "merchant_id"),
 )
-SERVER_STATS_KEY = ["category", "transaction_country", "window_start_iso"]
+SERVER_STATS_KEY = ("category", "transaction_country", "window_start_iso")
 
 
 def raw_server_writer(server) -> BatchWriter:
     """Sink of single transactions on a graph server, such as ``graphdb.ConnectorServer``.
 
-    Nodes and edges are created and never changed: only those whose key the server lacks are
-    sent, nodes before the edges that need them, so a replayed batch sends what is missing.
+    The server creates what it lacks and changes nothing else, so no batch reads the graph and
+    a replayed batch changes nothing. Nodes go before the edges that need them, and edges with
+    an end in common in one task, where they do not wait for each other's locks.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = dedup_batch(raw_log_rows(batch.where(has_keys()))).persist()
         try:
             log = rows.withColumns({"run_seq": F.lit(0), "batch_id": F.lit(batch_id).cast("long")})
-            for (label, key), nodes in (
-                (_CUSTOMER, G.customer_stubs(log)), (_MERCHANT, G.merchant_stubs(log)),
-                (_TRANSACTION, G.transaction_nodes(log)),
+            for (label, key), nodes, created in (
+                (_CUSTOMER, G.customer_stubs(log), ()), (_MERCHANT, G.merchant_stubs(log), ("category",)),
+                (_TRANSACTION, G.transaction_nodes(log), ("amount", "currency", "status", "transaction_date")),
             ):
-                server.upsert_nodes(only_new(nodes, server.nodes(label, [key]), [key], nullable=False), label, [key])
-            for edge, source, target, edges, properties in (
-                ("MADE", _CUSTOMER, _TRANSACTION, G.made_edges(log), ["amount", "currency", "timestamp"]),
-                ("AT", _TRANSACTION, _MERCHANT, G.at_edges(log), []),
+                server.merge_nodes(nodes, label, (key,), created=created)
+            for edge, source, target, shared, edges, created in (
+                ("MADE", _CUSTOMER, _TRANSACTION, "customer_id", G.made_edges(log), ("amount", "currency", "timestamp")),
+                ("AT", _TRANSACTION, _MERCHANT, "merchant_id", G.at_edges(log), ()),
             ):
-                known = server.edges(edge, source, target)
-                new = only_new(edges, known, [source[1], target[1]], nullable=False)
-                server.upsert_edges(new, edge, source, target, properties)
+                server.merge_edges(edges.repartition(shared), edge, source, target, created=created)
             log_batch("raw_graph", batch_id, rows.count())
         finally:
             rows.unpersist()
@@ -107,8 +106,9 @@ def stats_server_writer(server) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         written = Observation(f"sent-{batch_id}")
         rows = stats_payload(batch).withColumn("updated_at", F.current_timestamp())
-        server.upsert_nodes(
-            rows.observe(written, F.count(F.lit(1)).alias("rows")), "CategoryStats", SERVER_STATS_KEY
+        values = tuple(c for c in rows.columns if c not in SERVER_STATS_KEY)
+        server.merge_nodes(
+            rows.observe(written, F.count(F.lit(1)).alias("rows")), "CategoryStats", SERVER_STATS_KEY, overwritten=values
         )
         log_batch("category_stats", batch_id, written.get["rows"])
 
