@@ -99,3 +99,39 @@ def test_stats_payload_counts_fit_the_sink(spark):
                       "timestamp'2024-05-02' window_end, 1.0D total_amount, 3L txn_count")
     assert dict(stats_payload(stats).dtypes)["txn_count"] == "int"
     assert dict(stats_payload(stats, "long").dtypes)["txn_count"] == "bigint"
+
+
+def test_paths_shuffle_edges_by_their_keys_only(spark, monkeypatch):
+    """The first edges are taken by key, and what lies along them is cut to these keys in the scans."""
+    folder = work_folder(spark, "raw")
+    log = [(i, i % 7, i % 5, float(i), "EUR", "approved", None, None, 0, 0) for i in range(100)]
+    spark.createDataFrame(log, f"{RAW_LOG}, run_seq INT, batch_id BIGINT").write.parquet(folder)
+    raw = spark.read.parquet(folder)
+    seeds = spark.createDataFrame([], "customer_id BIGINT, merchant_id BIGINT, set_columns ARRAY<STRING>, run_seq INT, batch_id BIGINT")
+    for c in (*G.CUSTOMER_COLUMNS, *G.MERCHANT_COLUMNS):
+        seeds = seeds.withColumn(c, F.lit(None).cast("string"))
+    graph = G.Graph.from_logs(raw, seeds, seeds, raw)
+    edges = graph.made.select("customer_id", "transaction_id").orderBy("customer_id", "transaction_id").limit(25)
+    plan = plan_of(edges)
+    assert plan.count("Exchange hashpartitioning") == 1 and "TakeOrderedAndProject" in plan
+    assert re.search(r"ReadSchema: struct<transaction_id:bigint,customer_id:bigint>", plan)
+    paths = G.transaction_paths(graph, 10)
+    want = sorted((r[1], r[0], r[2]) for r in log)[:10]
+    assert [tuple(r) for r in paths.collect()] == want
+    details = plan_of(G.path_details(graph, paths))
+    assert details.count("In(transaction_id") == 2 and "EqualTo(customer_id,0)" in details and "In(merchant_id" in details
+
+
+def test_only_hot_merchants_are_copied(spark):
+    from txnflow.operators.enrich import hot_merchants
+
+    rows = spark.createDataFrame(
+        [(i, "t", 1 if i % 2 else 1000 + i) for i in range(2000)] + [(-1, "t", None)],
+        "transaction_id BIGINT, transaction_date STRING, merchant_id BIGINT")
+    assert hot_merchants(rows) == [1]
+    assert hot_merchants(rows.limit(0)) == []
+    dimension = spark.createDataFrame([(m, f"c{m}") for m in (1, *range(1000, 3000))], "merchant_id BIGINT, category STRING")
+    joined = enrich_merchant(rows, dimension, strategy="salted")
+    found = {r["transaction_id"]: r["category"] for r in joined.collect()}
+    assert len(found) == joined.count() == 2001
+    assert found[3] == "c1" and found[4] == "c1004" and found[-1] is None

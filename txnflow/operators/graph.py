@@ -64,17 +64,17 @@ def merchant_seed_nodes(seed_log: DataFrame) -> DataFrame:
 
 
 def seeded_and_stubs(seeded: DataFrame, stubs: DataFrame, key: str) -> DataFrame:
-    # A full join of two frames with one row per key: no key is hot.
+    """Seeded rows, and stubs of the keys that are not seeded; each frame holds a key once.
+
+    A union by key rather than a full join: a filter on the key reaches both sides' scans.
+    """
     attributes = [c for c in seeded.columns if c != key]
-    marked = seeded.withColumn("_seeded", F.lit(True))
-    extra = [c for c in stubs.columns if c != key]
-    stubs = stubs.select(key, *(F.col(c).alias(f"_stub_{c}") for c in extra))
-    joined = marked.join(stubs, key, "full")
-    columns = [
-        F.when(F.col("_seeded"), F.col(c)).otherwise(F.col(f"_stub_{c}")).alias(c) if c in extra else F.col(c)
-        for c in attributes
-    ]
-    return joined.select(key, *columns)
+    both = seeded.withColumn("_seeded", F.lit(True)).unionByName(
+        stubs.withColumn("_seeded", F.lit(False)), allowMissingColumns=True
+    )
+    if not attributes:
+        return keys_of(both, [key])
+    return both.groupBy(key).agg(*(F.max_by(c, "_seeded").alias(c) for c in attributes))
 
 
 def customer_nodes(seed_log: DataFrame, raw_log: DataFrame) -> DataFrame:
@@ -186,39 +186,65 @@ def top_customers(graph: Graph, status: str = APPROVED, n: int = 1) -> DataFrame
     )
 
 
+def _paths_along(graph: Graph, edges: list[tuple[int, int]]) -> DataFrame:
+    """Paths on a few known MADE edges. Their keys are literals, so each table is cut to them before it is resolved."""
+    customers, transactions = (sorted(set(ids)) for ids in zip(*edges, strict=True))
+    of_transaction = F.col("transaction_id").isin(transactions)
+    made = graph.made.select("customer_id", "transaction_id").where(
+        of_transaction & F.struct("customer_id", "transaction_id").isin([
+            F.struct(F.lit(c).cast("long").alias("customer_id"), F.lit(t).cast("long").alias("transaction_id"))
+            for c, t in edges
+        ])
+    )
+    return (
+        made.join(graph.transactions.where(of_transaction).select("transaction_id"), "transaction_id", "left_semi")
+        .join(graph.customers.where(F.col("customer_id").isin(customers)).select("customer_id"), "customer_id", "left_semi")
+        .join(graph.at.where(of_transaction), "transaction_id")
+        .join(graph.merchants.select("merchant_id"), "merchant_id", "left_semi")
+        .select("customer_id", "transaction_id", "merchant_id")
+    )
+
+
 def transaction_paths(graph: Graph, n: int = 25) -> DataFrame:
     """The first ``n`` Customer-MADE->Transaction-AT->Merchant paths by the ids along them.
 
     A transaction id used again has several edges on both sides. The first ``n`` paths lie on
-    the first ``n`` MADE edges that lead anywhere, so those are found by semi joins, which
-    pair nothing, and only they are followed to their merchants.
+    the first ``n`` MADE edges that lead anywhere. So the first edges are taken by their keys
+    alone, and only they are followed; should some lead nowhere, more are taken after them.
     """
-    reachable = graph.at.join(graph.merchants.select("merchant_id"), "merchant_id", "left_semi")
-    edges = (
-        graph.made.select("customer_id", "transaction_id")
-        .join(graph.transactions.select("transaction_id"), "transaction_id", "left_semi")
-        .join(reachable.select("transaction_id").distinct(), "transaction_id", "left_semi")
-        .join(graph.customers.select("customer_id"), "customer_id", "left_semi")
-        .orderBy("customer_id", "transaction_id")
-        .limit(n)
-    )
-    return (
-        reachable.join(edges, "transaction_id")
-        .select("customer_id", "transaction_id", "merchant_id")
-        .orderBy("customer_id", "transaction_id", "merchant_id")
-        .limit(n)
-    )
+    by_key, wanted = ("customer_id", "transaction_id"), n
+    along, found = (*by_key, "merchant_id"), []
+    rest = graph.made.select(*by_key).where("customer_id is not null and transaction_id is not null")
+    while True:
+        edges = [tuple(row) for row in rest.orderBy(*by_key).limit(wanted).collect()]
+        if edges:
+            found += _paths_along(graph, edges).orderBy(*along).limit(n).collect()
+        if len(edges) < wanted or len(found) >= n:
+            break
+        customer, transaction = edges[-1]
+        rest = rest.where((F.col("customer_id") >= customer) & (
+            (F.col("customer_id") > customer) | (F.col("transaction_id") > transaction)))
+        wanted *= 4
+    ids = ", ".join(f"{c} BIGINT" for c in along)
+    return graph.made.sparkSession.createDataFrame(found, ids).orderBy(*along).limit(n)
 
 
 def path_details(graph: Graph, paths: DataFrame) -> DataFrame:
-    """Node and edge properties for a report of paths."""
+    """Node and edge properties for a report of a few paths, which are listed first."""
+    rows = paths.collect()
+    listed = paths.sparkSession.createDataFrame(rows, paths.schema)
+
+    def along(table: DataFrame, key: str) -> DataFrame:
+        """Cut to the paths' keys before the table is resolved."""
+        return table.where(F.col(key).isin(sorted({row[key] for row in rows})))
+
     made = graph.made.select(
         "customer_id", "transaction_id", F.col("amount").alias("made_amount"),
         F.col("currency").alias("made_currency"), F.col("timestamp").alias("made_timestamp"),
     )
     return (
-        paths.join(made, ["customer_id", "transaction_id"])
-        .join(graph.transactions, "transaction_id")
-        .join(graph.customers, "customer_id")
-        .join(graph.merchants, "merchant_id")
+        listed.join(along(made, "transaction_id"), ["customer_id", "transaction_id"])
+        .join(along(graph.transactions, "transaction_id"), "transaction_id")
+        .join(along(graph.customers, "customer_id"), "customer_id")
+        .join(along(graph.merchants, "merchant_id"), "merchant_id")
     )

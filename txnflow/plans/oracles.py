@@ -168,6 +168,17 @@ kept as (
             select cast(sum(m) as bigint) as hwm from (select max("offset") + 1 as m from tx group by partition)"""
     newest = f"""with {_TX}
             select transaction_id, status, amount from tx order by ts desc, partition desc, "offset" desc limit 15"""
+    details = f"""with {_TX}, first_paths as (
+                select * from tx order by customer_id, transaction_id, merchant_id limit 25)
+            select p.customer_id, customer_name, transaction_id, p.amount as made_amount, p.amount, p.status,
+                   p.transaction_date_iso, p.merchant_id, merchant_name, category
+            from first_paths p join customers c using (customer_id)
+            left join (select p_partkey as merchant_id, p_name as merchant_name, p_type as category from part) m
+            using (merchant_id)"""
+    best = f"""with {_TX}
+            select customer_id, customer_name as name, count(*) as approved_count
+            from tx join customers using (customer_id) where status = 'approved'
+            group by all order by approved_count desc, customer_id limit 1"""
     live = f"""with {_TX}, {_ARRIVAL_BOUNDS},
 seen as (
     select tx.*, p_type, p_brand, p_size, (select count(*) - 1 from edges where edge <= tx.ts) as arrival
@@ -253,20 +264,13 @@ from known group by all"""
             select category, country, {_MONEY.format('total_amount')} as total_amount, cast(sum(txn_count) as bigint) as txn_count
             from stats where window_start >= (select max(window_start) from stats) - interval '7 days'
             group by category, country order by total_amount desc, category, country limit 10""",
-        "top_customer_approved": f"""with {_TX}
-            select customer_id, customer_name as name, count(*) as approved_count
-            from tx join customers using (customer_id) where status = 'approved'
-            group by all order by approved_count desc, customer_id limit 1""",
+        "top_customer_approved": best,
+        "stored_top_customer": best,
         "transaction_paths": f"""with {_TX}
             select customer_id, transaction_id, merchant_id from tx
             order by customer_id, transaction_id, merchant_id limit 25""",
-        "transaction_path_details": f"""with {_TX}, first_paths as (
-                select * from tx order by customer_id, transaction_id, merchant_id limit 25)
-            select p.customer_id, customer_name, transaction_id, p.amount as made_amount, p.amount, p.status,
-                   p.transaction_date_iso, p.merchant_id, merchant_name, category
-            from first_paths p join customers c using (customer_id)
-            left join (select p_partkey as merchant_id, p_name as merchant_name, p_type as category from part) m
-            using (merchant_id)""",
+        "transaction_path_details": details,
+        "stored_paths": details,
         "label_counts": f"""with {_TX}, {_stats('1 hour')}
             select 'Customer' as label, count(*) as cnt from customers
             union all select 'Merchant', count(*) from (select p_partkey as merchant_id from part union select merchant_id from tx)
@@ -287,6 +291,14 @@ from known group by all"""
             select cast(partition as integer) as partition,
                    max("offset") - max("offset") filter (where ts < (select max(edge) from edges)) as lag
             from tx group by partition""",
+        "open_windows": f"""with {_TX}, {_stats('1 hour')}
+            select category, country, strftime(window_start, {_ISO}) as window_start_iso from stats
+            where window_start + interval '1 hour' >
+                  (select date_trunc('millisecond', max(ts)) - interval '1 minute' from tx where status = 'approved')""",
+        "pipeline_restarted": f"""with {_TX}, {_stats('1 hour')}
+            select 'category_stats' as sink, count(*) as row_count, cast(sum(txn_count) as bigint) as transactions from stats
+            union all
+            select 'raw_graph', count(*), count(*) from tx where status = 'approved'""",
         "publish_reported": f"with {_TX} select count(*) as produced from tx",
         "batch_commit_log": """
             select case when event_type = 'purchase' then 'category_stats' else 'raw_graph' end as sink,

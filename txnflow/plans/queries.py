@@ -23,7 +23,7 @@ from txnflow.session import require_utc, streaming_session, work_folder
 from txnflow.sources import records, textlogs
 from txnflow.sources.graphdb import merchant_dimension
 from txnflow.sources.topics import file_batch, file_stream, store_topic, stored_end_offsets, stored_tail
-from txnflow.streaming import pipeline, progress
+from txnflow.streaming import pipeline, progress, state
 from txnflow.streaming.publisher import ProducerReport, publish_transactions
 from txnflow.streaming.store import GraphStore
 
@@ -293,6 +293,38 @@ def stream_progress(spark, sf_dir):
     return reports.groupBy("arrival").agg(F.sum("input_rows").alias("input_rows"))
 
 
+@query
+def open_windows(spark, sf_dir):
+    """Groups of the statistics stream that are still in its state after the last arrival."""
+    store, _ = _run_stats_stream(spark, sf_dir, "open_windows")
+    checkpoint = store.root.removesuffix("/store") + "/checkpoints/category_stats"
+    return state.open_windows(spark, checkpoint).select(
+        "category", F.col("transaction_country").alias("country"), iso_millis("window_start").alias("window_start_iso")
+    )
+
+
+@query
+def pipeline_restarted(spark, sf_dir):
+    """Both sinks at once, stopped after each arrival and started again from their checkpoints."""
+    work, session = work_folder(spark, "pipeline_restarted"), _stream_session(spark)
+    store = GraphStore(session, f"{work}/store")
+    GraphStore(spark, store.root).seed_merchants(inputs.merchants(spark, sf_dir), ("merchant_name", "category"))
+    config = pipeline.PipelineConfig(checkpoint_root=f"{work}/checkpoints", window="1 hour")
+    for _ in inputs.land_in_order(spark, sf_dir, f"{work}/topic"):
+        running = pipeline.start_pipeline(file_stream(session, f"{work}/topic"), store, config)
+        for query_ in running:
+            query_.processAllAvailable()
+        for query_ in running:
+            query_.stop()
+    store = GraphStore(spark, store.root)
+    counts = F.count(F.lit(1)).alias("row_count")
+    stats = store.category_stats().agg(counts, F.sum("txn_count").alias("transactions"))
+    nodes = store.graph().transactions.agg(counts, F.count("transaction_id").alias("transactions"))
+    return stats.select(F.lit("category_stats").alias("sink"), "*").unionByName(
+        nodes.select(F.lit("raw_graph").alias("sink"), "*")
+    )
+
+
 @query
 def publish_reported(spark, sf_dir):
     """Every transaction published again from a stream; the count its publisher's log lines end on."""
@@ -491,15 +523,43 @@ def transaction_paths(spark, sf_dir):
     return G.transaction_paths(_graph(spark, sf_dir))
 
 
-@query
-def transaction_path_details(spark, sf_dir):
-    graph = _graph(spark, sf_dir)
-    return G.path_details(graph, G.transaction_paths(graph)).select(
+def _path_columns(details: DataFrame) -> DataFrame:
+    return details.select(
         "customer_id", "customer_name", "transaction_id", "made_amount", "amount", "status",
         iso_millis("transaction_date").alias("transaction_date_iso"), "merchant_id", "merchant_name", "category",
     )
 
 
+@query
+def transaction_path_details(spark, sf_dir):
+    graph = _graph(spark, sf_dir)
+    return _path_columns(G.path_details(graph, G.transaction_paths(graph)))
+
+
+def _stored_graph(spark, sf_dir, name) -> G.Graph:
+    """A graph as a pipeline leaves it: two batches compacted, a third one after them, merchants and customers seeded."""
+    store = GraphStore(spark, work_folder(spark, name))
+    rows = inputs.raw_rows(spark, sf_dir)
+    for batch_id in range(3):
+        store.raw.write(rows.where(F.pmod("transaction_id", F.lit(3)) == batch_id), 0, batch_id)
+    store.compact_raw(upto=(0, 1))
+    store.seed_customers(inputs.customers(spark, sf_dir), ("customer_name", "customer_country", "customer_city"))
+    store.seed_merchants(inputs.all_merchants(spark, sf_dir), ("merchant_name", "category"))
+    return store.graph()
+
+
+@query
+def stored_paths(spark, sf_dir):
+    """The first paths of a stored graph, with the properties along them."""
+    graph = _stored_graph(spark, sf_dir, "stored_paths")
+    return _path_columns(G.path_details(graph, G.transaction_paths(graph)))
+
+
+@query
+def stored_top_customer(spark, sf_dir):
+    return G.top_customers(_stored_graph(spark, sf_dir, "stored_top_customer"))
+
+
 @query
 def label_counts(spark, sf_dir):
     return G.label_counts(_graph(spark, sf_dir))

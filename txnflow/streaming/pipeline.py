@@ -33,6 +33,8 @@ class PipelineConfig:
     stats_mode: str = "update"
     dedup_window_path: bool = False
     join_strategy: str = "auto"
+    #: Merchants whose transactions a salted join spreads, such as ``enrich.hot_merchants`` of the raw log names.
+    hot_merchants: tuple[int, ...] | None = None
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     store_root: str = "./graph"
@@ -82,7 +84,8 @@ def windowed_stats(approved: DataFrame, merchants: DataFrame, config: PipelineCo
     """
     if config.dedup_window_path:
         approved = approved.dropDuplicatesWithinWatermark(["transaction_id"])
-    return category_stats(enrich_merchant(approved, merchants, strategy=config.join_strategy), config.window)
+    enriched = enrich_merchant(approved, merchants, strategy=config.join_strategy, hot=config.hot_merchants)
+    return category_stats(enriched, config.window)
 
 
 def frozen(dimension: DataFrame) -> DataFrame:
