@@ -1,6 +1,7 @@
 """Properties of the methods themselves, on small inputs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,9 @@ from txnflow.llm import simhash_dedup as H
 from txnflow.llm import substring_dedup as R
 from txnflow.llm import toxicity as T
 from txnflow.llm.components import connected_components
-from txnflow.llm.decontamination import _BLOCKS, DecontaminationParams, ItemIndex, _fingerprints, find_contamination
+from txnflow.llm.decontamination import DecontaminationParams, ItemIndex, Postings, find_contamination, weighted_similarity
 from txnflow.llm.queries import PIECES
-from txnflow.llm.text import Words, text_buffers, words_of
+from txnflow.llm.text import Words, text_buffers, window_hashes, words_of
 from txnflow.session import work_folder
 
 
@@ -204,15 +205,68 @@ def test_three_word_model(spark, documents):
 
 
 def test_index_covers_the_radius():
-    """Flipping up to 31 bits anywhere leaves a block the index still finds."""
+    """Flipping up to 31 bits anywhere leaves a block the index still finds, and chance pairs are few."""
     rng = np.random.default_rng(5)
-    index = ItemIndex([(1, " ".join(f"w{i}" for i in range(30)))], DecontaminationParams())
-    _, _, group, prints, near = index.groups[0]
-    for _ in range(200):
-        bits = np.unpackbits(prints[0])
-        bits[rng.choice(128, 31, replace=False)] ^= 1
-        assert near[np.arange(_BLOCKS), np.packbits(bits), 0].any()
-    assert (_fingerprints(group[0][1], np.zeros(1, np.int64), 26) == prints).all()
+    prints = rng.integers(0, 256, (200, 16)).astype(np.uint8)
+    postings = Postings(prints)
+    of = rng.integers(0, 200, 2000)
+    bits = np.unpackbits(prints[of], axis=1)
+    for row in bits:
+        row[rng.choice(128, 31, replace=False)] ^= 1
+    windows, items = postings.candidates(np.packbits(bits, axis=1))
+    assert set(enumerate(of.tolist())) <= set(zip(windows.tolist(), items.tolist()))
+    strange = rng.integers(0, 256, (5000, 16)).astype(np.uint8)
+    assert len(postings.candidates(strange)[0]) < 0.01 * 5000 * 200
+
+
+def word_hashes(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return Words(data, np.array([0, len(data)])).hashes()
+
+
+def test_a_long_text_of_items_stays_small_and_compares_few_pairs():
+    rng = np.random.default_rng(6)
+    items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 3000, 30 + k % 30))) for k in range(1000)]
+    index = ItemIndex(items, DecontaminationParams())
+    shingles = window_hashes(word_hashes(" ".join(t for _, t in items[:400])), 5)
+    hit = index.hits(shingles)
+    tracemalloc.start()
+    found = index.matches(shingles, hit)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {m[0] for m in found if m[1] == 1.0} == set(range(400))
+    assert peak < 200 << 20
+    assert index.compared < 0.02 * len(shingles) * 1000
+
+
+def test_recall_of_windows_just_above_the_threshold(spark, documents):
+    """Items of which so many words were changed that 0.80 to 0.85 of the shingles are left."""
+    rng = np.random.default_rng(7)
+    items, texts, want = [], [], set()
+    for k in range(400):
+        words = [f"i{k}w{x}" for x in range(50 + k % 12)]
+        edited = list(words)
+        for at in rng.choice(np.arange(5, len(words) - 5), 1, replace=False):
+            edited[at] = "changed"
+        likeness = weighted_similarity(*(window_hashes(word_hashes(" ".join(w)), 5) for w in (words, edited)))
+        if 0.8 <= likeness <= 0.85:
+            items.append((k, " ".join(words)))
+            texts.append((k, f"some words before {' '.join(edited)} and some after"))
+            want.add((k, k))
+    found = find_contamination(documents(texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    hits = {(r["doc_id"], r["item_id"]) for r in found}
+    assert len(want) > 200 and hits <= want
+    assert len(hits) >= 0.9 * len(want)
+
+
+def test_items_shorter_than_a_shingle_match_as_a_whole(spark, documents):
+    items = spark.createDataFrame(
+        [(1, "Golden Gate Bridge"), (2, "alone"), (3, ""), (4, "golden gate bridge")], "item_id long, text string")
+    docs = documents([(1, "the golden gate BRIDGE is the golden gate bridge"), (2, "golden gate"), (3, "alone"),
+                      (4, "golden"), (5, "gate bridge"), (6, "a golden gate"), (7, "bridge golden gate bridge")])
+    found = find_contamination(docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["first_word"], r["n_words"], r["similarity"]) for r in found) == [
+        (1, 1, 1, 3, 1.0), (1, 4, 1, 3, 1.0), (3, 2, 0, 1, 1.0), (7, 1, 1, 3, 1.0), (7, 4, 1, 3, 1.0)]
 
 
 def test_decontamination_in_several_passes(spark, documents):
@@ -220,8 +274,8 @@ def test_decontamination_in_several_passes(spark, documents):
     edited = item.replace("w30 ", "other ")
     docs = documents([(1, f"before it {item} after it"), (2, f"x {edited} y"), (3, item[:60]), (4, item.upper())])
     items = spark.createDataFrame([(i, item if i == 3 else f"q{i} " * 20) for i in range(8)], "item_id long, text string")
-    for size in (1000, 2):
-        found = find_contamination(docs, items, DecontaminationParams(block_items=size)).collect()
+    for size in (48 << 20, 100_000):
+        found = find_contamination(docs, items, DecontaminationParams(pass_bytes=size)).collect()
         assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, 3), (2, 3), (4, 3)]
 
 
