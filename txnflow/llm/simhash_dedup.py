@@ -25,14 +25,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from txnflow.llm.components import connected_components
 from txnflow.session import work_folder
 
 _SEED = 42
+_ROWS = "doc_id long, fp long, content long"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Postings up to this size compare their members directly; larger ones look up each neighbour.
 _DIRECT = 64
@@ -64,17 +64,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * total > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row; one narrow pass."""
+def fingerprints(docs: DataFrame, shingle: int = 3, content: Column | None = None) -> DataFrame:
+    """doc_id, fingerprint (as a signed long) and ``content`` (a long) of every row; one narrow pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(found.view(np.int64)), batch.column("content")],
+                ["doc_id", "fp", "content"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    content = F.lit(None).cast("long") if content is None else content
+    return docs.select("doc_id", "text", content.alias("content")).mapInArrow(run, _ROWS)
 
 
 def position_masks(max_bits: int) -> list[int]:
@@ -147,12 +149,14 @@ def fingerprint_links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return postings.select("members").mapInArrow(_posting_links(max_bits), "a long, b long")
 
 
-def _components(docs: DataFrame, params: SimHashParams) -> tuple[DataFrame, DataFrame]:
-    """doc_id and fp of every row, and of every fp its component's root and smallest doc_id."""
+def _components(
+    docs: DataFrame, params: SimHashParams, content: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """doc_id, fp and content of every row, and of every fp its component's root and smallest doc_id."""
     spark = docs.sparkSession
     folder = work_folder(spark, "simhash")
-    fingerprints(docs, params.shingle).write.parquet(f"{folder}/fingerprints")
-    rows = spark.read.schema("doc_id long, fp long").parquet(f"{folder}/fingerprints")
+    fingerprints(docs, params.shingle, content).write.parquet(f"{folder}/fingerprints")
+    rows = spark.read.schema(_ROWS).parquet(f"{folder}/fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = connected_components(fingerprint_links(distinct, params.max_bits), f"{folder}/components")
     rooted = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
@@ -171,22 +175,26 @@ def simhash_components(docs: DataFrame, params: SimHashParams = SimHashParams())
 
 
 def component_survivors(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
-    """One row of each component: of its smallest doc_id, or a null one if it has no other, the first by text."""
-    rows, named = _components(docs, params)
-    kept = rows.join(named, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp"), "root").distinct()
-    row = F.struct("text", *(c for c in docs.columns if c != "text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(t.as_py(), params.shingle) for t in batch.column("text")], np.uint64)
-            yield batch.append_column("fp", pa.array(found.view(np.int64)))
-
-    schema = StructType([*docs.schema.fields, StructField("fp", LongType())])
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
-    return (
-        docs.mapInArrow(run, schema)
-        .join(kept, same)
-        .groupBy("root").agg(F.min(row).alias("row"))
-        .select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    """One row of each component: of its smallest doc_id, or a null one if it has no other.
+
+    Where several rows have that id, the one stays whose columns hash to the least. Survivors are
+    chosen by id and hash; texts are fingerprinted once, and shuffled once to be fetched.
+    """
+    content = F.xxhash64(*docs.columns)
+    rows, named = _components(docs, params, content)
+    chosen = (
+        rows.join(named, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "content").agg(F.count("*").alias("copies"), F.first("doc_id").alias("kept_id"))
+        .groupBy("root").agg(F.min(F.struct("content", "copies", "kept_id")).alias("kept"))
+        .select("root", F.col("kept.content").alias("kept_content"), "kept.copies", "kept.kept_id")
     )
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_content") == F.col("kept_content"))
+
+    def fetched(wanted: DataFrame) -> DataFrame:
+        return docs.withColumn("_content", content).join(wanted, same)
+
+    # Only rows that stand there several times over have to be cut to one.
+    row = F.first(F.struct(*docs.columns)).alias("row")
+    repeated = fetched(chosen.where("copies > 1")).groupBy("root").agg(row)
+    once = fetched(chosen.where("copies = 1")).select(*docs.columns)
+    return once.unionByName(repeated.select(*(F.col("row")[c].alias(c) for c in docs.columns)))
