@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the local cores (default 8).
 Each query runs once untimed on the same tables, so class loading and code generation are
-not part of its time, and then BENCH_REPEATS times (default 1), of which the best counts.
+not part of its time, and then BENCH_REPEATS times (default 3), of which the best counts.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def run(spark: SparkSession, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("txnflow-bench")
     options = {
         **session_options(cpus, "default"), "spark.driver.memory": "16g", "spark.ui.enabled": "false",
