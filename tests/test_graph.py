@@ -91,17 +91,17 @@ def test_paths_of_a_transaction_with_many_edges_on_both_sides(spark):
 
 def test_graph_after_compaction(store):
     store.compact_raw()
-    assert store._base("raw_graph", "Transaction").marks == {0: 1}
+    assert store.base("raw_graph", "Transaction").marks == {0: 1}
     check_tables(store.graph())
 
 
 def test_graph_with_base_and_later_batches(store):
     store.compact_raw(upto=(0, 0))
     check_graph(store.graph())
-    before = store._base("raw_graph", "Transaction").parts
+    before = store.base("raw_graph", "Transaction").parts
     store.compact_raw(upto=(0, 1))
     check_tables(store.graph())
-    after = store._base("raw_graph", "Transaction")
+    after = store.base("raw_graph", "Transaction")
     assert after.parts[:-1] == before and after.marks == {0: 1}
 
 
@@ -144,7 +144,7 @@ def test_an_older_run_goes_on_after_compaction(spark):
         assert rows(store.graph().transactions, "transaction_id", "amount") == want
     store.compact_raw((9, 9))
     assert rows(store.graph().transactions, "transaction_id", "amount") == want
-    assert store._base("raw_graph", "Transaction").marks == {0: 1, 1: 1}
+    assert store.base("raw_graph", "Transaction").marks == {0: 1, 1: 1}
 
 
 def test_layout_changes_between_compactions(spark, store):
@@ -163,7 +163,7 @@ def test_expiry_leaves_base_and_tail(spark, store):
     store.expire("raw_graph")
     assert rows(store.graph().transactions) == expected
     assert (0, 0) not in store.raw.batches()
-    listed = set(store._base("raw_graph", "Transaction").parts)
+    listed = set(store.base("raw_graph", "Transaction").parts)
     on_disk = matching_paths(spark, f"{store.root}/raw_graph/base/Transaction/*")
     assert {p.split("/")[-1] for p in listed} <= {p.split("/")[-1] for p in on_disk}
 
@@ -232,7 +232,7 @@ def test_expiry_after_two_compactions_at_once(spark):
     store.compact_raw(upto=(0, 0))
     before = store._newest("raw_graph")
     store.compact_raw(upto=(0, 1))
-    winner = max(r["attempt"] for r in store._bases("raw_graph") if r["number"] == 1)
+    winner = max(r["attempt"] for r in store.compactions("raw_graph") if r["number"] == 1)
     # The loser folded more, and its attempt sorts first.
     entries = [(name, "", 0, list(row["parts"])) for name, row in before.items()]
     store._record_bases("raw_graph", before, "0" * 31, {0: 3}, entries)
@@ -267,7 +267,7 @@ def test_compaction_of_one_unfinished_batch_does_nothing(spark):
     store = GraphStore(spark, work_folder(spark, "graph"))
     store.raw.write(raw(spark, FIRST), 0, 0)
     store.compact_raw()
-    assert store._bases("raw_graph") == []
+    assert store.compactions("raw_graph") == []
 
 
 def test_bucketed_bases_join_without_a_shuffle(spark, store):
@@ -349,10 +349,10 @@ def test_only_touched_days_are_written_anew(spark):
     days = [f"2024-05-0{d} 10:00:00" for d in (1, 2, 3)]
     store.stats.write(stats(spark, [("a", "X", at, 1.0, 1) for at in days]), 0, 0)
     store.compact_stats((0, 0))
-    first = {p.rsplit("=", 1)[1]: p for p in store._base("category_stats", "category_stats").parts}
+    first = {p.rsplit("=", 1)[1]: p for p in store.base("category_stats", "category_stats").parts}
     store.stats.write(stats(spark, [("a", "X", days[1], 5.0, 2), ("b", "X", days[1], 1.0, 1)]), 0, 1)
     store.compact_stats((0, 1))
-    second = {p.rsplit("=", 1)[1]: p for p in store._base("category_stats", "category_stats").parts}
+    second = {p.rsplit("=", 1)[1]: p for p in store.base("category_stats", "category_stats").parts}
     assert [first[d] == second[d] for d in sorted(first)] == [True, False, True]
     store.expire("category_stats")
     want = [("a", "X", 1.0, 1), ("a", "X", 1.0, 1), ("a", "X", 5.0, 2), ("b", "X", 1.0, 1)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.operators.graph import STATS_KEY, TRANSACTION_KEY, Graph
@@ -18,22 +18,23 @@ UNIQUE_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+def shown_key(keys: Sequence[str]) -> Column:
+    """A key as text; one of several parts is a JSON list, in which a NULL differs from any text."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
+
+
 def duplicate_keys(
     tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] = UNIQUE_KEYS
 ) -> DataFrame:
-    """Keys that occur more than once, as text; empty when every constraint holds.
-
-    A key of several parts is a JSON list, in which a NULL differs from any text.
-    """
+    """Keys that occur more than once, as text; empty when every constraint holds."""
     checks = []
     for label, rows in tables.items():
-        parts = [F.col(k).cast("string") for k in keys[label]]
-        shown = parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
         checks.append(
             rows.groupBy(*keys[label])
             .agg(F.count(F.lit(1)).alias("cnt"))
             .where(F.col("cnt") > 1)
-            .select(F.lit(label).alias("label"), shown.alias("key"), "cnt")
+            .select(F.lit(label).alias("label"), shown_key(keys[label]).alias("key"), "cnt")
         )
     return reduce(DataFrame.unionByName, checks)
 

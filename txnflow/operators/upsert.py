@@ -96,6 +96,11 @@ def only_new(tail: DataFrame, base: DataFrame, keys: Sequence[str], *, nullable:
     return _match_keys(tail, base, keys, "left_anti", nullable)
 
 
+def only_touched(rows: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key ``touched`` holds; NULL key parts compare equal."""
+    return _match_keys(rows, touched, keys, "left_semi", True)
+
+
 def merge_base(
     base: DataFrame, tail: DataFrame, keys: Sequence[str], policy: str, *, nullable: bool = True
 ) -> DataFrame:

@@ -260,6 +260,15 @@ from known group by all"""
         "two_maker_check": f"""with {_TX}, {_TWO_BATCHES}
             select 'MADE' as label, cast(transaction_id as varchar) as key, count(distinct customer_id) as cnt
             from log group by transaction_id having count(distinct customer_id) > 1""",
+        "continuous_key_check": f"""with {_TX}, {_TWO_BATCHES}
+            select cast(1 as bigint) as check_number, 'Transaction' as label, 'batch' as rule,
+                   cast(transaction_id as varchar) as key, count(*) as cnt
+            from (select transaction_id from log where batch_id = 1
+                  union all select transaction_id from tx where status = 'declined')
+            group by transaction_id having count(*) > 1
+            union all
+            select 1, 'MADE', 'maker', cast(transaction_id as varchar), count(distinct customer_id)
+            from log group by transaction_id having count(distinct customer_id) > 1""",
         "top_categories_last_hour": f"""with {_TX}, {_stats('1 hour')}
             select category, country, {_MONEY.format('total_amount')} as total_amount, cast(sum(txn_count) as bigint) as txn_count
             from stats where window_start >= (select max(window_start) from stats) - interval '7 days'

@@ -24,6 +24,7 @@ from txnflow.sources import records, textlogs
 from txnflow.sources.graphdb import merchant_dimension
 from txnflow.sources.topics import file_batch, file_stream, store_topic, stored_end_offsets, stored_tail
 from txnflow.streaming import pipeline, progress, state
+from txnflow.streaming.audit import KeyAudit
 from txnflow.streaming.publisher import ProducerReport, publish_transactions
 from txnflow.streaming.store import GraphStore
 
@@ -493,6 +494,20 @@ def two_maker_check(spark, sf_dir):
     return quality.duplicate_keys({"MADE": edges}, {"MADE": ("transaction_id",)})
 
 
+@query
+def continuous_key_check(spark, sf_dir):
+    """Checks after each of two batches; the second holds other customers and some rows twice."""
+    store = GraphStore(spark, work_folder(spark, "continuous_key_check"))
+    approved, again = inputs.two_raw_batches(spark, sf_dir)
+    audit = KeyAudit(store)
+    store.raw.write(approved, 0, 0)
+    audit.check(upto=(0, 0))
+    store.compact_raw(upto=(0, 0))
+    store.raw.write(again.unionByName(again.where(F.col("status") == "declined")), 0, 1)
+    audit.check(upto=(0, 1))
+    return audit.violations()
+
+
 # --- graph queries ---
 def _hour_stats(spark, sf_dir) -> DataFrame:
     return category_stats_of(_approved(spark, sf_dir), inputs.merchants(spark, sf_dir), "1 hour")

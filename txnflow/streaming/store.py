@@ -218,7 +218,7 @@ class GraphStore:
         self, sink: str, log: BatchLog, resolve: Callable[[DataFrame], DataFrame], since: datetime | None
     ) -> DataFrame:
         """Rows of a statistics log: its base and what came later, resolved together."""
-        base = self._base(sink, sink)
+        base = self.base(sink, sink)
         since = as_utc(since) if since is not None else None
         in_range = F.lit(True) if since is None else F.col("window_start") >= F.lit(since)
         if base is None:
@@ -236,7 +236,7 @@ class GraphStore:
         return G.merchant_seed_nodes(self.merchant_seed.read()).select("merchant_id", "category")
 
     def _current(self, sink: str, log: BatchLog, views: dict[str, View], name: str) -> DataFrame:
-        view, base = views[name], self._base(sink, name)
+        view, base = views[name], self.base(sink, name)
         if base is None:
             return view.resolve(log.read()).drop(*ORDER)
         if not self._has_later(log, base):
@@ -252,7 +252,7 @@ class GraphStore:
     def _manifest(self, sink: str) -> str:
         return f"{self.root}/{sink}/bases"
 
-    def _bases(self, sink: str) -> list:
+    def compactions(self, sink: str) -> list:
         """What each finished compaction put in force, one row per table; nothing else is read."""
         if not path_exists(self.spark, self._manifest(sink)):
             return []
@@ -260,11 +260,12 @@ class GraphStore:
 
     def _newest(self, sink: str) -> dict:
         """The rows by table of the newest finished compaction."""
-        rows = self._bases(sink)
+        rows = self.compactions(sink)
         newest = max(((row["number"], row["attempt"]) for row in rows), default=None)
         return {row["name"]: row for row in rows if (row["number"], row["attempt"]) == newest}
 
-    def _base(self, sink: str, name: str) -> Base | None:
+    def base(self, sink: str, name: str) -> Base | None:
+        """A table as the newest finished compaction left it; None before the first one."""
         row = self._newest(sink).get(name)
         if row is None:
             return None
@@ -294,12 +295,12 @@ class GraphStore:
         """
         before = self._newest("raw_graph")
         old = dict(next(iter(before.values()))["marks"]) if before else {}
-        marks = _new_marks(self.raw.batches(), old, upto)
+        marks = new_marks(self.raw.batches(), old, upto)
         if marks == old:
             return
         log, attempt, entries = self.raw.read(after=old, upto=marks), uuid.uuid4().hex, []
         for name, view in RAW_VIEWS.items():
-            base = self._base("raw_graph", name)
+            base = self.base("raw_graph", name)
             rows, parts, table = view.resolve(log), [], ""
             location = f"{self.root}/raw_graph/base/{name}/{attempt}"
             if base is not None and (buckets or base.table_name or self._has_earlier(base.rows, rows, view)):
@@ -339,10 +340,10 @@ class GraphStore:
     ) -> None:
         before = self._newest(sink)
         old = dict(next(iter(before.values()))["marks"]) if before else {}
-        marks = _new_marks(log.batches(), old, upto)
+        marks = new_marks(log.batches(), old, upto)
         if marks == old:
             return
-        base, attempt = self._base(sink, sink), uuid.uuid4().hex
+        base, attempt = self.base(sink, sink), uuid.uuid4().hex
         rows = log.read(after=old, upto=marks).withColumn("window_date", F.to_date("window_start"))
         days = [row[0] for row in rows.select("window_date").distinct().collect()]
         kept = [p for p in base.parts if _day_of(p) not in {str(d) for d in days}] if base else []
@@ -364,7 +365,7 @@ class GraphStore:
         log = {"raw_graph": self.raw, "category_stats": self.stats, "merchant_stats": self.merchant_stats}[sink]
         # Of compactions that ran at once and got one number, readers use the last by attempt.
         newest: dict[int, str] = {}
-        rows = self._bases(sink)
+        rows = self.compactions(sink)
         for row in rows:
             newest[row["number"]] = max(row["attempt"], newest.get(row["number"], ""))
         kept = sorted(newest.items())[-2:]
@@ -397,7 +398,7 @@ def _day_of(part: str) -> str:
     return part.rstrip("/").rsplit("window_date=", 1)[1]
 
 
-def _new_marks(batches: list[Position], old: Marks, upto: Position | None) -> Marks:
+def new_marks(batches: list[Position], old: Marks, upto: Position | None) -> Marks:
     """The last batch of each run to fold: up to ``upto``, or all but each run's newest.
 
     The newest may still be replayed and stays in the log.
