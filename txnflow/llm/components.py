@@ -6,20 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _EDGES = "a long, b long"
+#: Tasks that share the edges of a hot node.
+_PARTS = 64
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """Edges with ``m`` of their ``a``. Those of a hot node are dealt to several tasks by their other end.
+
+    A node is hot with more than a ``_PARTS``-th of ``total`` edges, so fewer than twice ``_PARTS`` nodes are.
+    """
+    is_hot = F.col("n") > total / _PARTS
+    hot = F.broadcast(least.where(is_hot).select(F.col("a").alias("hot")))
+    dealt = edges.join(hot, F.col("a") == F.col("hot"), "left").select(
+        "a", "b", F.when(F.col("hot").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.lit(_PARTS))).alias("part")
+    )
+    first = F.lit(0).cast("long")
+    parts = F.sequence(first, F.when(is_hot, F.lit(_PARTS - 1).cast("long")).otherwise(first))
+    copies = least.select("a", "m", F.explode(parts).alias("part"))
+    return dealt.join(copies, ["a", "part"]).select("a", "b", "m")
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every node links its larger neighbours to its smallest one."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("a"), F.min("b")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("a").agg(F.least(F.min("a"), F.min("b")).alias("m"), F.count("*").alias("n"))
+    larger = _with_least(both, least, total).where("b > a")
+    return larger.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a")
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    joined = _with_least(down, least, total)
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
 
 
@@ -28,8 +47,8 @@ def connected_components(edges: DataFrame, folder: str) -> DataFrame:
 
     Each round is written below ``folder``, so a lost executor costs the running round only.
     Rounds go on until the edges no longer change. No node's neighbours are ever gathered: a
-    round is an aggregate, whose parts combine before the shuffle, and a join that can split
-    a hot node.
+    round is an aggregate, whose parts combine before the shuffle, and a join that splits hot
+    nodes.
     """
     spark = edges.sparkSession
 
@@ -43,7 +62,7 @@ def connected_components(edges: DataFrame, folder: str) -> DataFrame:
     number = 0
     while state[0]:
         number += 1
-        edges, new_state = stored(_small_star(_large_star(edges)), f"round-{number}")
+        edges, new_state = stored(_small_star(_large_star(edges, state[0]), state[0]), f"round-{number}")
         if new_state == state:
             break
         state = new_state
