@@ -18,7 +18,7 @@ passage however frequent sends a row per batch of documents.
 
 Defined cases: a null or empty text has no words. Documents shorter than a window keep all.
 Rows that repeat a doc_id do not remove each other's windows; each gets a row. A null doc_id
-counts as larger than any other. Windows are compared by 64-bit hashes. Texts are read whole;
+counts as larger than any other; such rows are told apart by their text. Windows are compared by 64-bit hashes. Texts are read whole;
 other input columns are ignored.
 """
 
@@ -39,7 +39,8 @@ from txnflow.llm.text import Words, document_runs, mix, powers, runs_inside, tex
 _LAST = (1 << 63) - 1
 _SUM_BASE = np.uint64(0xBF58476D1CE4E5B9)
 _SUM_INVERSE = np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
-_SEEN = "key long, doc long, known boolean"
+#: ``doc`` is what "smaller" compares; rows without an id share it and differ by ``own``, a hash of the text.
+_SEEN = "key long, doc long, own long, known boolean"
 #: Bytes of text whose copies are settled within the task.
 _BATCH_BYTES = 8 << 20
 
@@ -132,40 +133,45 @@ def _batches(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield begin, end, words.hashes(), words.first
 
 
-def _distinct(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, doc) by key and document, and which of them begin a key."""
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
+def _distinct(keys: np.ndarray, docs: np.ndarray, owns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (key, doc, own) in this order, and the index of the first one of each one's key."""
+    order = np.lexsort((owns, docs, keys))
+    keys, docs, owns = keys[order], docs[order], owns[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     fresh = new.copy()
-    fresh[1:] |= docs[1:] != docs[:-1]
-    return keys[fresh], docs[fresh], new[fresh]
+    fresh[1:] |= (docs[1:] != docs[:-1]) | (owns[1:] != owns[:-1])
+    starts = np.flatnonzero(new[fresh])
+    firsts = np.repeat(starts, np.diff(np.append(starts, np.count_nonzero(fresh))))
+    return keys[fresh], docs[fresh], owns[fresh], firsts
 
 
-def _seen_batch(keys: np.ndarray, docs: np.ndarray, missing: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+def _seen_batch(
+    keys: np.ndarray, docs: np.ndarray, owns: np.ndarray, missing: np.ndarray, known: np.ndarray
+) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys.view(np.int64)), pa.array(docs, pa.int64(), mask=missing), pa.array(known)],
-        ["key", "doc", "known"],
+        [pa.array(keys.view(np.int64)), pa.array(docs, pa.int64(), mask=missing), pa.array(owns), pa.array(known)],
+        ["key", "doc", "own", "known"],
     )
 
 
 def _emit_keys(params: SubstringParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
+            ids, texts = batch.column("doc").to_numpy(), batch.column("own").to_numpy()
             for begin, end, hashes, first in _batches(batch):
                 keys, _ = representative_keys(hashes, first, params)
                 inside = runs_inside(first, params.window)
                 docs = np.repeat(ids[begin:end], np.diff(first))[: len(keys)]
-                keys, docs, new = _distinct(keys[inside], docs[inside])
-                starts = np.flatnonzero(new)
-                several = np.repeat(np.diff(np.append(starts, len(keys))) > 1, np.diff(np.append(starts, len(keys))))
+                owns = np.repeat(texts[begin:end], np.diff(first))[: len(keys)]
+                keys, docs, owns, firsts = _distinct(keys[inside], docs[inside], owns[inside])
+                several = np.bincount(firsts, minlength=len(keys))[firsts] > 1
                 # A key of several documents is known here; one row without a document tells the others.
-                told = several & new
+                told = several & (firsts == np.arange(len(keys)))
                 yield _seen_batch(
                     np.concatenate((keys, keys[told])),
                     np.concatenate((docs, docs[told])),
+                    np.concatenate((owns, owns[told])),
                     np.concatenate((np.zeros(len(keys), bool), np.ones(int(told.sum()), bool))),
                     np.concatenate((several, np.zeros(int(told.sum()), bool))),
                 )
@@ -176,12 +182,12 @@ def _emit_keys(params: SubstringParams):
 def _emit_windows(params: SubstringParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
+            ids, texts = batch.column("doc").to_numpy(), batch.column("own").to_numpy()
             shared = batch.column("shared")
             for begin, end, hashes, first in _batches(batch):
                 keys, own = representative_keys(hashes, first, params)
                 last = np.maximum(first[1:] - params.window + 1, first[:-1])
-                found, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                found, docs, owns = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for d in range(end - begin):
                     wanted = shared[begin + d].values
                     if wanted is None or last[d] == first[d]:
@@ -190,8 +196,9 @@ def _emit_windows(params: SubstringParams):
                     at = np.isin(keys[here], wanted.to_numpy(zero_copy_only=False).view(np.uint64))
                     found.append(own[here][at])
                     docs.append(np.full(int(at.sum()), ids[begin + d], np.int64))
-                keys, docs, new = _distinct(np.concatenate(found), np.concatenate(docs))
-                yield _seen_batch(keys, docs, np.zeros(len(keys), bool), ~new)
+                    owns.append(np.full(int(at.sum()), texts[begin + d], np.int64))
+                keys, docs, owns, firsts = _distinct(*(np.concatenate(part) for part in (found, docs, owns)))
+                yield _seen_batch(keys, docs, owns, np.zeros(len(keys), bool), docs > docs[firsts])
 
     return run
 
@@ -231,15 +238,17 @@ def _by_document(seen: DataFrame, holds: Column, name: str) -> DataFrame:
     Known rows go their own way instead of meeting at their key: their document's hash is
     mixed into the key for the shuffle and taken out again after it.
     """
-    own_way = F.when(F.col("known"), F.xxhash64("doc")).otherwise(F.lit(0).cast("long"))
+    own_way = F.when(F.col("known"), F.xxhash64("doc", "own")).otherwise(F.lit(0).cast("long"))
     together = Window.partitionBy("route")
-    judged = seen.select(F.col("key").bitwiseXOR(own_way).alias("route"), "doc", "known").select(
-        "route", "doc", "known", F.count("*").over(together).alias("n"), F.min("doc").over(together).alias("least")
+    judged = seen.select(F.col("key").bitwiseXOR(own_way).alias("route"), "doc", "own", "known").select(
+        "route", "doc", "own", "known", F.count("*").over(together).alias("n"), F.min("doc").over(together).alias("least")
     )
     judged = judged.withColumn("key", F.col("route").bitwiseXOR(own_way))
+    # A set, so that what copies without an id hold in common is kept once.
     return (
         judged.where((F.col("known") | holds) & F.col("doc").isNotNull())
-        .groupBy("doc").agg(F.collect_list("key").alias(name)).withColumnRenamed("doc", "of_doc")
+        .groupBy(F.col("doc").alias("of_doc"), F.col("own").alias("of_own"))
+        .agg(F.collect_set("key").alias(name))
     )
 
 
@@ -248,15 +257,17 @@ def remove_repeats(docs: DataFrame, params: SubstringParams = SubstringParams())
 
     The texts are shuffled by document once; both joins read the same exchange.
     """
-    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"))
-    keys = docs.select("doc", "text").mapInArrow(_emit_keys(params), _SEEN)
+    text_hash = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), text_hash.alias("own"))
+    keys = docs.select("doc", "own", "text").mapInArrow(_emit_keys(params), _SEEN)
     shared = _by_document(keys, F.col("n") > 1, "shared")
+    same = (F.col("doc") == F.col("of_doc")) & (F.col("own") == F.col("of_own"))
     # The same columns of the texts as below, so that the plan holds one exchange of them.
-    suspects = docs.join(shared, F.col("doc") == F.col("of_doc"), "left").where(F.col("shared").isNotNull())
-    suspects = suspects.select("doc_id", "text", "doc", "shared")
+    suspects = docs.join(shared, same, "left").where(F.col("shared").isNotNull())
+    suspects = suspects.select("doc_id", "text", "doc", "own", "shared")
     windows = suspects.mapInArrow(_emit_windows(params), _SEEN)
     removed = _by_document(windows, F.col("least") < F.col("doc"), "removed")
-    joined = docs.join(removed, F.col("doc") == F.col("of_doc"), "left")
-    return joined.select("doc_id", "text", "doc", "removed").mapInArrow(
+    joined = docs.join(removed, same, "left")
+    return joined.select("doc_id", "text", "doc", "own", "removed").mapInArrow(
         _apply(params), "doc_id long, n_words long, n_removed long, kept_sha256 string"
     )
