@@ -6,8 +6,8 @@ case. Intersecting the postings gives each rule's candidate documents, and only
 searched with the expression. A rule without mandatory trigrams searches every document.
 
 Defined cases: a null text is empty and holds nothing. Rows that repeat a doc_id share
-postings, which can only add candidates; each row is then searched by itself, and rows with a
-null doc_id likewise. Texts are searched whole. Other input columns are ignored.
+postings, which can only add candidates; each row is then searched by itself. Rows with a null
+doc_id share postings only where their texts are equal. Texts are searched whole. Other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -118,14 +118,14 @@ def trigram_query(pattern: str) -> Query:
 
 
 def trigram_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """Postings (trigram, doc_id) of the given trigrams in the lower-cased texts."""
-    lowered = docs.select("doc_id", F.lower("text").alias("lowered"))
+    """Postings (trigram, doc_id, _own) of the given trigrams in the lower-cased texts."""
+    lowered = docs.select("doc_id", "_own", F.lower("text").alias("lowered"))
     held = F.array_compact(F.array(*(F.when(F.contains("lowered", F.lit(t)), F.lit(t)) for t in trigrams)))
-    return lowered.select("doc_id", F.explode(held).alias("trigram"))
+    return lowered.select("doc_id", "_own", F.explode(held).alias("trigram"))
 
 
 def candidates(postings: DataFrame, queries: dict[str, Query]) -> DataFrame:
-    """doc_id and the kinds whose query its postings satisfy, by intersecting posting lists."""
+    """doc_id, _own and the kinds whose query its postings satisfy, by intersecting posting lists."""
     asked = [
         F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("alternative"), F.lit(len(wanted)).alias("wanted"))
         for kind, query in queries.items()
@@ -143,11 +143,11 @@ def candidates(postings: DataFrame, queries: dict[str, Query]) -> DataFrame:
         *(x for t, uses in users.items() for x in (F.lit(t), F.array(*(asked[u] for u in uses))))
     )
     return (
-        postings.select("doc_id", "trigram", F.inline(serves[F.col("trigram")]))
-        .groupBy("doc_id", "kind", "alternative", "wanted")
+        postings.select("doc_id", "_own", "trigram", F.inline(serves[F.col("trigram")]))
+        .groupBy("doc_id", "_own", "kind", "alternative", "wanted")
         .agg(F.count_distinct("trigram").alias("held"))
         .where("held = wanted")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "_own")
         .agg(F.collect_set("kind").alias("kinds"))
     )
 
@@ -202,8 +202,13 @@ def scan_secrets(
     trigrams = sorted({t for query in indexed.values() for wanted in query for t in wanted})
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *keep)
     if indexed:
-        found = candidates(trigram_index(rows, trigrams), indexed).withColumnRenamed("doc_id", "found_id")
-        rows = rows.join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
+        # Rows without an id are told apart by their text, so they do not all meet in one task.
+        rows = rows.withColumn("_own", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
+        found = candidates(trigram_index(rows, trigrams), indexed).select(
+            F.col("doc_id").alias("found_id"), F.col("_own").alias("found_own"), "kinds"
+        )
+        same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("_own") == F.col("found_own"))
+        rows = rows.join(found.hint("shuffle_hash"), same, "left")
     empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     per_rule = []
     for rule in rules:
