@@ -17,7 +17,7 @@ from txnflow.llm import sentencepiece_codec as P
 from txnflow.llm import simhash_dedup as H
 from txnflow.llm import substring_dedup as R
 from txnflow.llm import toxicity as T
-from txnflow.llm.components import connected_components
+from txnflow.llm.components import _with_least, connected_components
 from txnflow.llm.decontamination import DecontaminationParams, ItemIndex, Postings, find_contamination, weighted_similarity
 from txnflow.llm.queries import PIECES
 from txnflow.llm.text import Words, text_buffers, window_hashes, words_of
@@ -111,6 +111,40 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert root == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 180)}}
 
 
+def test_neighbours_of_a_hot_node_are_dealt_to_several_tasks(spark):
+    edges = spark.range(1, 4001).selectExpr("0L a", "id b").unionByName(spark.range(5000, 5400).selectExpr("id a", "id + 1000 b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    asked = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in asked}
+    for key, value in asked.items():
+        spark.conf.set(key, value)
+    try:
+        joined = _with_least(edges, least, 4400)
+        assert joined.count() == 4400
+        assert joined.where("a = 0 and m <> 1 or a > 0 and m <> b").isEmpty()
+        assert max(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()) < 600
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_rows_without_ids_keep_their_keys_apart(spark, documents):
+    """They count as larger than any other row, never remove from each other, and gather no common list."""
+    def text(start, n=40):
+        return " ".join(f"w{j}" for j in range(start, start + n))
+
+    rows = [(1, text(0)), (None, text(0)), (None, text(20)), (None, text(100)), (None, text(100)), (None, text(120)), (2, None)]
+    found = R.remove_repeats(documents(rows))
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in found.collect()) == [
+        (0, 40, 0), (0, 40, 0), (0, 40, 0), (0, 40, 20), (0, 40, 40), (1, 40, 0), (2, 0, 0)]
+    docs = documents(rows).selectExpr(
+        "text", "coalesce(doc_id, 9223372036854775807) doc", "if(doc_id is null, xxhash64(text), 0L) own")
+    seen = docs.select("doc", "own", "text").mapInArrow(R._emit_keys(R.SubstringParams()), R._SEEN)
+    lists = R._by_document(seen, F.col("n") > 1, "shared").collect()
+    assert all(len(r["shared"]) <= 28 for r in lists)
+    assert len({r["of_own"] for r in lists if r["of_doc"] > 2}) == 4
+
+
 def test_repeats_with_runs_and_overlaps(spark, documents):
     rng = random.Random(7)
     texts = []

@@ -1,6 +1,8 @@
-"""The encoding query against a plain search over the whole vocabulary."""
+"""Queries without SQL against plain versions over their whole table."""
 
 import math
+import zlib
+from collections import Counter, defaultdict
 
 import pytest
 from check import connect
@@ -46,3 +48,40 @@ def test_encoding_scores_as_well_as_any_cut(spark):
             assert score_of(found[doc], pieces) == pytest.approx(best_score(text, pieces), abs=1e-3), doc
             checked += 1
     assert checked > 100
+
+
+def plain_grams(text):
+    """Counts of one to three letters of the lower-cased runs of letters, with one gap around each."""
+    runs = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    line = "_" + "_".join(runs) + "_" if runs else ""
+    grams = Counter(line[i : i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1))
+    del grams["_"]
+    return grams
+
+
+def most_frequent(grams, ranks=300):
+    return sorted(grams, key=lambda g: (-grams[g], len(g), g))[:ranks]
+
+
+def test_languages_equal_those_of_plain_profiles(spark):
+    docs = connect(SF).execute("select doc_id, text, lang from documents").fetchall()
+    counted = {i: plain_grams(text) for i, text, _ in docs}
+    held_out = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, *_ in docs}
+    totals = defaultdict(Counter)
+    for i, text, lang in docs:
+        if lang is not None and text is not None and not held_out[i]:
+            totals[lang] += counted[i]
+    profiles = {lang: {g: place for place, g in enumerate(most_frequent(c))} for lang, c in totals.items()}
+    found = {r["doc_id"]: r for r in queries.op3_language_id(spark, SF).collect()}
+    assert len(found) == len(docs) and len(profiles) > 1
+    for i, *_ in docs:
+        top = most_frequent(counted[i])
+        away = {
+            lang: sum(abs(places[g] - at) if g in places else 300 for at, g in enumerate(top))
+            for lang, places in sorted(profiles.items())
+        }
+        best = min(away, key=away.get) if top else "und"
+        score = 1 - away[best] / (300 * len(top)) if top else 0
+        row = found[i]
+        assert (row["held_out"], row["lang_pred"]) == (held_out[i], best)
+        assert row["score"] == pytest.approx(score, abs=1e-12)
