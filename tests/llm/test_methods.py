@@ -182,8 +182,9 @@ def test_block_max_finds_the_nearest():
         assert len(cosines) == (everything > 0).sum()
 
 
-def test_toxicity_is_the_cosine_over_every_word(spark, documents):
-    """Against every example, with all the words of both texts."""
+@pytest.mark.parametrize("association", [True, False])
+def test_toxicity_is_the_vote_by_cosine_over_every_word(spark, documents, association):
+    """Cosines and scores against every example, with all the words of both texts."""
     rng = random.Random(4)
     names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)]
     texts = [(i, " ".join(rng.choices(names[: 150 + 150 * (i % 3 == 0)], k=rng.randrange(5, 60)))) for i in range(60)]
@@ -191,15 +192,35 @@ def test_toxicity_is_the_cosine_over_every_word(spark, documents):
     held = {i: [t.split().count(w) for w in names] for i, t in texts}
     counts = np.array([held[i] for i in range(60)], float)
     toxic, has = np.array(list(labels.values())), counts > 0
+    factors = has[:40].any(axis=0).astype(float)
+    if association:
+        with np.errstate(all="ignore"):
+            factors = np.nan_to_num([np.corrcoef(has[:40, w], toxic)[0, 1] for w in range(300)]) ** 2
     with np.errstate(all="ignore"):
-        phi = np.array([np.corrcoef(has[:40, w], toxic)[0, 1] for w in range(300)])
         tf = np.where(has, 1 + np.log(counts), 0)
-    weights = tf * np.log(61 / (1 + has.sum(axis=0))) * np.nan_to_num(phi) ** 2
+    weights = tf * np.log(61 / (1 + has.sum(axis=0))) * factors
     weights /= np.linalg.norm(weights, axis=1, keepdims=True)
-    want = np.sort(weights @ weights[:40].T, axis=1)[:, ::-1][:, :3]
+    cosines = weights @ weights[:40].T
     frame = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
-    found = {r["doc_id"]: [e["cosine"] for e in r["evidence"]] for r in T.score_toxicity(documents(texts), frame).collect()}
-    assert np.allclose([found[i] for i in range(60)], want, atol=1e-4)
+    params = T.ToxicityParams(association=association)
+    found = {r["doc_id"]: r for r in T.score_toxicity(documents(texts), frame, params).collect()}
+    # Each class votes by its share of the labels; the heavier one counts in full.
+    share = toxic.mean()
+    worth = np.where(toxic == 1, share / toxic.sum(), (1 - share) / (1 - toxic).sum())
+    worth /= worth.max()
+    for i, row in enumerate(cosines):
+        best = np.argsort(-row, kind="stable")[: params.neighbours]
+        assert np.allclose([e["cosine"] for e in found[i]["evidence"]], row[best][: params.evidence], atol=1e-4)
+        yes = (row * worth * toxic)[best].sum() + params.prior_weight * share
+        assert found[i]["score"] == pytest.approx(yes / ((row * worth)[best].sum() + params.prior_weight), abs=1e-4)
+
+
+def test_toxicity_takes_the_least_text_of_a_repeated_id(spark, documents):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    texts = [(1, "vile words"), (1, "awful words"), (2, "kind words"), (3, "awful"), (4, "vile"), (5, None)]
+    for order in (texts, texts[::-1]):
+        found = {r["doc_id"]: r["score"] for r in T.score_toxicity(documents(order), labels).collect() if r["doc_id"] > 2}
+        assert found[3] > 0.9 and found[4] == found[5] == 0.5
 
 
 def test_rank_order_distance():

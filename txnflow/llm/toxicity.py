@@ -13,7 +13,8 @@ share of all labels, and the share of labels stands in where nothing is near.
 Defined cases: a null or empty text, or one without a word of the examples, scores the share
 of toxic labels. Without labels of both classes there is no vocabulary and all documents score
 that share (0 without any label). Repeated rows are scored each. Of several labels of a
-document the toxic one counts. Examples with equal cosine vote in the examples' order.
+document the toxic one counts, and of several texts of a labelled id the least. Examples with
+equal cosine vote in the examples' order.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ class ToxicityParams:
     """Bounds: at most ``per_class`` examples of each label, with all their words.
 
     ``neighbours`` is the number of voters, ``prior_weight`` the vote of the overall share,
-    ``evidence`` the examples shown.
+    ``evidence`` the examples shown. Without ``association`` words weigh by TF-IDF alone.
     """
 
     per_class: int = 2000
+    association: bool = True
     neighbours: int = 15
     block: int = 64
     prior_weight: float = 0.1
@@ -83,6 +85,12 @@ def sample_examples(docs: DataFrame, labels: DataFrame, params: ToxicityParams)
     return ordered[0].unionByName(ordered[1]), share
 
 
+def example_words(example_terms: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The examples' words in their order, each with the same factor."""
+    found = example_terms.select("term").distinct().toArrow().sort_by("term")
+    return found["term"].to_pylist(), np.ones(found.num_rows)
+
+
 def label_associations(example_terms: DataFrame, sizes: tuple[int, int]) -> tuple[list[str], np.ndarray]:
     """The examples' words in their order, and the squared phi coefficient of each with the label.
 
@@ -270,13 +278,18 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams =
     folder = work_folder(spark, "toxicity")
     sample.write.parquet(f"{folder}/sample")
     sample = spark.read.schema("doc_id long, toxic int").parquet(f"{folder}/sample")
-    held = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text").dropDuplicates(["doc_id"])
+    held = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     held.write.parquet(f"{folder}/examples")
     held = spark.read.schema("doc_id long, toxic int, text string").parquet(f"{folder}/examples")
     counted = {row["toxic"]: row["count"] for row in held.groupBy("toxic").count().collect()}
     sizes = (counted.get(0, 0), counted.get(1, 0))
     terms = held.mapInArrow(_example_terms, "doc_id long, toxic int, term string")
-    vocabulary, association = label_associations(terms, sizes) if all(sizes) else ([], np.zeros(0))
+    if not all(sizes):
+        vocabulary, association = [], np.zeros(0)
+    elif params.association:
+        vocabulary, association = label_associations(terms, sizes)
+    else:
+        vocabulary, association = example_words(terms)
 
     docs.mapInArrow(_vectors(vocabulary), _VECTOR).write.parquet(f"{folder}/vectors")
     vectors = spark.read.schema(_VECTOR).parquet(f"{folder}/vectors")
