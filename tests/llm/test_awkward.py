@@ -104,6 +104,24 @@ def test_reputation_shrinks_to_the_parents(spark):
     assert share["one.b.test"][1] < 0.5
 
 
+def test_registered_domains(spark):
+    want = {
+        "a.example.com:80": ("example.com", "com"), "x.y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "10.0.0.1:8080": ("10.0.0.1", "10.0.0.1"), "[::1]:80": ("[::1]", "[::1]"), "1.2.3.4.test": ("4.test", "test"),
+        "localhost": ("localhost", "localhost"), "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    found = hosts.select("host", F.struct(*U.registered_domain(F.col("host"))).alias("d")).collect()
+    assert {r["host"]: tuple(r["d"]) for r in found} == want
+
+
+def test_a_bad_site_does_not_taint_its_country(spark):
+    rows = [("bad.co.uk", 60, 60), *((f"site{i}.co.uk", 20, 0) for i in range(6)), ("new.co.uk", 0, 0), ("10.0.0.1", 40, 40), ("20.0.0.1", 0, 0)]
+    bound = {r["host"]: r["bad_bound"] for r in U.host_reputation(spark.createDataFrame(rows, "host string, n long, k long")).collect()}
+    assert bound["bad.co.uk"] > 0.5 and bound["10.0.0.1"] > 0.5
+    assert bound["new.co.uk"] < 0.5 and bound["20.0.0.1"] < 0.5
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from txnflow.llm.secret_scans import BASE_RULES, RULES, SecretRule
+from txnflow.llm.url_filters import SUFFIXES
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -65,9 +66,16 @@ h0 as (
     from located left join outcome using (page_id) group by host
 ),
 h as (
-    select *, array_to_string(list_slice(string_split(split_part(host, ':', 1), '.'), -2, -1), '.') as domain,
-           string_split(split_part(host, ':', 1), '.')[-1] as suffix
-    from h0
+    select host, n, k, case when address then name
+                            when two in ($suffixes) then array_to_string(list_slice(labels, -3, -1), '.')
+                            else two end as domain,
+           case when address then name when two in ($suffixes) then two else labels[-1] end as suffix
+    from (
+        select *, string_split(name, '.') as labels, array_to_string(list_slice(string_split(name, '.'), -2, -1), '.') as two,
+               starts_with(name, '[') or regexp_matches(name, '^[0-9]+(\.[0-9]+){3}$') as address
+        from (select *, case when starts_with(host, '[') then split_part(host, ']', 1) || ']'
+                             else split_part(host, ':', 1) end as name from h0)
+    )
 ),
 overall as (select (sum(k) + 1) / (sum(n) + 2)::double as m from h0),
 s as (select suffix, sum(n) as n, sum(k) as k from h group by suffix),
@@ -118,6 +126,11 @@ select page_id, host, path, rule,
        n as n_labelled, k as n_bad, round(mean, 6) as bad_share, round(bound, 6) as bad_bound
 from located join judged using (host) left join fitted using (host, path)"""
 
+
+def _op4() -> str:
+    return _OP4.replace("$suffixes", ", ".join(f"'{suffix}'" for suffix in SUFFIXES))
+
+
 _OP10 = rf"""
 with d as (
     select doc_id, coalesce(text, '') as text,
@@ -307,7 +320,7 @@ where climb.n = 1"""
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _OP4,
+        "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _op4(),
         "op9_secret_scans": _op9(), "op10_quality_rules": _OP10, "quality_ablations": _ABLATIONS,
         "op11_hard_negatives": _OP11, "op12_exact_dedup": _OP12, "op13_merkle_manifest": _OP13,
     }

@@ -6,7 +6,7 @@ its strength at each level is fitted by moments. A host is blocked when even the
 of its posterior share of bad pages is above a threshold.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and is judged
-with the other empty hosts. A host without labelled pages has its domain's posterior. Without
+with the other empty hosts. A numeric or bracketed address is its own domain and suffix. A host without labelled pages has its domain's posterior. Without
 any labelled page nothing is blocked by reputation. Repeated pages count as often as they
 occur. Other columns of the inputs are ignored, so names may clash.
 """
@@ -22,6 +22,17 @@ from pyspark.sql import functions as F
 from txnflow.session import work_folder
 
 BLOCK, ALLOW = "block", "allow"
+#: Suffixes of two labels under which names are registered.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "org.uk", "plc.uk", "sch.uk",
+    "com.au", "edu.au", "gov.au", "net.au", "org.au", "ac.nz", "co.nz", "govt.nz", "net.nz", "org.nz",
+    "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "ac.kr", "co.kr", "go.kr", "or.kr",
+    "ac.in", "co.in", "gov.in", "net.in", "org.in", "ac.za", "co.za", "gov.za", "org.za",
+    "com.cn", "edu.cn", "gov.cn", "net.cn", "org.cn", "com.tw", "edu.tw", "gov.tw", "org.tw",
+    "com.br", "edu.br", "gov.br", "net.br", "org.br", "com.mx", "edu.mx", "gob.mx", "org.mx",
+    "com.ar", "edu.ar", "gob.ar", "org.ar", "com.tr", "edu.tr", "gov.tr", "org.tr",
+    "ac.il", "co.il", "gov.il", "org.il", "com.sg", "edu.sg", "gov.sg", "com.hk", "edu.hk", "gov.hk", "org.hk",
+)
 
 
 @dataclass(frozen=True)
@@ -45,13 +56,15 @@ class Reputation:
     """``z`` standard deviations below the posterior mean must still exceed ``threshold``.
 
     A prior counts as many pages as the moments say, from ``weakest`` to ``strongest``, and
-    ``weakest`` where no host has two labelled pages to tell.
+    ``weakest`` where no host has two labelled pages to tell. Under ``suffixes`` of two labels
+    a registered domain has three.
     """
 
     z: float = 1.645
     threshold: float = 0.5
     weakest: float = 4.0
     strongest: float = 1000.0
+    suffixes: tuple[str, ...] = SUFFIXES
 
 
 def url_host(url: Column) -> Column:
@@ -74,9 +87,15 @@ def matched_rule(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> tupl
     return text, verdict
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two labels, without a port."""
-    return F.substring_index(F.substring_index(host, ":", 1), ".", -2)
+def registered_domain(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and its suffix, without a port: the last two labels, three under ``suffixes``."""
+    bracketed = F.concat(F.substring_index(host, "]", 1), F.lit("]"))
+    name = F.when(host.startswith("["), bracketed).otherwise(F.substring_index(host, ":", 1))
+    address = name.startswith("[") | name.rlike(r"^[0-9]+(\.[0-9]+){3}$")
+    two = F.substring_index(name, ".", -2)
+    wide = two.isin(*suffixes)
+    domain = F.when(address, name).when(wide, F.substring_index(name, ".", -3)).otherwise(two)
+    return domain, F.when(address, name).when(wide, two).otherwise(F.substring_index(name, ".", -1))
 
 
 def _strength(children: DataFrame, mean: str, settings: Reputation) -> float:
@@ -104,11 +123,8 @@ def host_reputation(hosts: DataFrame, settings: Reputation = Reputation()) -> Da
     """
     total, bad = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0))).first()
     overall = (bad + 1) / (total + 2)
-    hosts = hosts.select(
-        "host", "n", "k",
-        registered_domain(F.col("host")).alias("domain"),
-        F.substring_index(registered_domain(F.col("host")), ".", -1).alias("suffix"),
-    )
+    domain, suffix = registered_domain(F.col("host"), settings.suffixes)
+    hosts = hosts.select("host", "n", "k", domain.alias("domain"), suffix.alias("suffix"))
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = suffixes.withColumn("parent", F.lit(overall))
