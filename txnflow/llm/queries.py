@@ -54,6 +54,13 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("log_score", F.round("log_score", 4))
 
 
+def lm_scoring_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two levels of backoff, from three words to one."""
+    params = lm_scoring.LanguageModelParams(order=3)
+    scored = lm_scoring.score_documents(table(spark, sf_dir, "documents"), params)
+    return scored.withColumn("log_score", F.round("log_score", 4))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
     scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), labels)
@@ -157,5 +164,6 @@ def registered() -> dict[str, Query]:
         op1_lm_scoring, op2_toxicity, op3_language_id, op4_url_filters, op5_decontamination,
         op6_simhash_dedup, op7_substring_dedup, op8_sentencepiece, op9_secret_scans, op10_quality_rules,
         op11_hard_negatives, op12_exact_dedup, op13_merkle_manifest, quality_ablations,
+        lm_scoring_order3,
     )
     return {fn.__name__: fn for fn in listed}

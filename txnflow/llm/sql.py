@@ -202,6 +202,29 @@ from d left join (
     select doc_id, sum(lower::int) as n_backoff, sum(score) as score from scored group by doc_id
 ) using (doc_id)"""
 
+_LM3 = f"""
+with {_LISTED},
+p as (select t.*, before.v as u from t left join t as before on before.doc_id = t.doc_id and before.i = t.i - 1),
+c1 as (select w, count(*) as n from p group by w),
+c2 as (select v, w, count(*) as n from p where i > 1 group by v, w),
+c3 as (select u, v, w, count(*) as n from p where i > 2 group by u, v, w),
+two as (
+    select p.*, c2.n as n2, case when i > 1 and c2.n >= 2 then ln(c2.n / before.n)
+                                 else ln(c1.n / (select count(*) from p)) + case when i > 1 then ln(0.4) else 0 end end as score
+    from p join c1 using (w) left join c2 on p.v = c2.v and p.w = c2.w and p.i > 1 left join c1 as before on before.w = p.v
+),
+scored as (
+    select two.doc_id, case when i > 2 then c3.n < 2 else i > 1 and n2 < 2 end as lower,
+           case when i > 2 and c3.n >= 2 then ln(c3.n / before.n) when i > 2 then ln(0.4) + score else score end as score
+    from two left join c3 on two.u = c3.u and two.v = c3.v and two.w = c3.w and two.i > 2
+    left join c2 as before on before.v = two.u and before.w = two.v and two.i > 2
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_backoff, 0)::bigint as n_backoff,
+       round(coalesce(score, 0), 4)::double as log_score
+from d left join (
+    select doc_id, sum(lower::int) as n_backoff, sum(score) as score from scored group by doc_id
+) using (doc_id)"""
+
 _OP7 = f"""
 with {_LISTED},
 windows as (
@@ -320,7 +343,7 @@ where climb.n = 1"""
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_lm_scoring": _OP1, "op7_substring_dedup": _OP7, "op4_url_filters": _op4(),
+        "op1_lm_scoring": _OP1, "lm_scoring_order3": _LM3, "op7_substring_dedup": _OP7, "op4_url_filters": _op4(),
         "op9_secret_scans": _op9(), "op10_quality_rules": _OP10, "quality_ablations": _ABLATIONS,
         "op11_hard_negatives": _OP11, "op12_exact_dedup": _OP12, "op13_merkle_manifest": _OP13,
     }
