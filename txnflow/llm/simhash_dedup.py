@@ -34,6 +34,8 @@ from txnflow.session import work_folder
 _SEED = 42
 _ROWS = "doc_id long, fp long, content long"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Posted entries (28 for each fingerprint at two bits, 24 bytes each) that one task makes.
+_POSTED = 1_000_000
 #: Postings up to this size compare their members directly; larger ones look up each neighbour.
 _DIRECT = 64
 
@@ -158,7 +160,10 @@ def _components(
     fingerprints(docs, params.shingle, content).write.parquet(f"{folder}/fingerprints")
     rows = spark.read.schema(_ROWS).parquet(f"{folder}/fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = connected_components(fingerprint_links(distinct, params.max_bits), f"{folder}/components")
+    # The scan of the fingerprints is small, what is posted is not: its tasks are counted by that.
+    tasks = -(-rows.count() * len(position_masks(params.max_bits)) // _POSTED)
+    spread = distinct.select("fp").repartition(max(1, tasks), "fp")
+    linked = connected_components(fingerprint_links(spread, params.max_bits), f"{folder}/components")
     rooted = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
