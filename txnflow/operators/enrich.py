@@ -48,7 +48,8 @@ def enrich_merchant(
     ``salted``: for stateful streams, which adaptive execution leaves alone. A ``hot`` merchant
     is repeated per salt and its transactions spread over ``salts`` tasks; the others join as
     they are. For a table the hot ones are found by a sketch unless given; of a stream that
-    is given none, every merchant counts as hot.
+    is given none, every merchant counts as hot. The dimension is never broadcast here, however
+    small its files are: a stream's plan has only their size to go by, which repetition does not show in.
     ``auto`` measures the dimension once and takes ``broadcast`` within ``limit_bytes``,
     else ``salted`` for a stream and ``shuffle`` for a table.
     """
@@ -62,13 +63,14 @@ def enrich_merchant(
     if strategy == "salted":
         if hot is None and not transactions.isStreaming:
             hot = hot_merchants(transactions)
-        is_hot = F.lit(True) if hot is None else F.coalesce(F.col("merchant_id").isin(list(hot)), F.lit(False))
+        # Rows without a merchant join nothing wherever they are; many of them would be hot as well.
+        is_hot = F.lit(True) if hot is None else F.col("merchant_id").isNull() | F.col("merchant_id").isin(list(hot))
         every = F.sequence(F.lit(0), F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0)))
         copies = dimension.withColumn("_salt", F.explode(every))
         spread = F.pmod(F.xxhash64("transaction_id", "transaction_date"), F.lit(salts)).cast("int")
         return (
             transactions.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-            .join(copies, ["merchant_id", "_salt"], "left")
+            .join(copies.hint("merge"), ["merchant_id", "_salt"], "left")
             .drop("_salt")
         )
     raise ValueError(f"unknown join strategy {strategy!r}")

@@ -14,7 +14,7 @@ from txnflow.functions.messages import encode_messages, json_object, parse_trans
 from txnflow.functions.timetext import as_utc, iso_micros, iso_millis
 from txnflow.operators import graph as G
 from txnflow.operators import monitor, quality
-from txnflow.operators.enrich import enrich_merchant, measured_strategy
+from txnflow.operators.enrich import enrich_merchant, hot_merchants, measured_strategy
 from txnflow.operators.filters import filter_approved, parse_approved, project_transaction
 from txnflow.operators.stats import category_stats_of, stats_payload, top_categories
 from txnflow.operators.upsert import dedup
@@ -192,9 +192,11 @@ def _run_stats_stream(spark, sf_dir, name, *, state_store="rocksdb", late_text=N
     store = GraphStore(session, f"{work}/store")
     merchants = inputs.merchants(session, sf_dir)
     # The dimension does not change between the runs, so it is measured once for all of them.
+    strategy = measured_strategy(merchants, streaming=True)
     config = pipeline.PipelineConfig(
-        checkpoint_root=f"{work}/checkpoints", window="1 hour",
-        join_strategy=measured_strategy(merchants, streaming=True),
+        checkpoint_root=f"{work}/checkpoints", window="1 hour", join_strategy=strategy,
+        # Unnamed, every merchant would be copied per salt in each micro-batch.
+        hot_merchants=tuple(hot_merchants(_approved(spark, sf_dir))) if strategy == "salted" else None,
     )
     finished = inputs.run_arrivals(
         inputs.land_in_order(spark, sf_dir, f"{work}/topic", late_text),
