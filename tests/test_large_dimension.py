@@ -9,7 +9,7 @@ from txnflow.operators.enrich import enrich_merchant
 from txnflow.plans import inputs, oracles, queries
 
 SF = "/root/testdata/sf0.001"
-STREAMS = ("category_stats_pipeline",)
+STREAMS = ("category_stats_pipeline", "late_data_trace")
 
 
 @pytest.mark.parametrize("name", STREAMS)
