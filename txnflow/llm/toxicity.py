@@ -155,10 +155,11 @@ def _weights(terms: np.ndarray, counts: np.ndarray, factors: np.ndarray) -> np.n
 
 
 def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers from each start up to its end, and which span each belongs to."""
+    """The numbers from each start up to its end, and the size of each span."""
     sizes = ends - starts
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return np.arange(len(owner)) + (starts - np.cumsum(sizes) + sizes)[owner], owner
+    found = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    found += np.arange(len(found))
+    return found, sizes
 
 
 class Postings:
@@ -170,9 +171,9 @@ class Postings:
         self.first = np.searchsorted(terms[order], np.arange(n_terms + 1))
 
     def __getitem__(self, terms: np.ndarray) -> np.ndarray:
-        p, owner = _spans(self.first[terms], self.first[terms + 1])
+        p, sizes = _spans(self.first[terms], self.first[terms + 1])
         rows = np.zeros((len(terms), self.width), np.float32)
-        rows[owner, self.at[p]] = self.values[p]
+        rows[np.repeat(np.arange(len(terms)), sizes), self.at[p]] = self.values[p]
         return rows
 
 
@@ -189,22 +190,22 @@ class BlockMaxIndex:
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.toxic = np.array([e[1] for e in examples], np.int32)
         terms = np.concatenate([np.zeros(0, np.int64), *(e[2] for e in examples)]).astype(np.int64)
-        at = np.repeat(np.arange(self.n, dtype=np.int32), [len(e[2]) for e in examples])
+        at = np.repeat(np.arange(self.n, dtype=np.intp), [len(e[2]) for e in examples])
         values = np.concatenate([np.zeros(0, np.float32), *(e[3] for e in examples)])
         self.weights = Postings(terms, at, values, n_terms, self.n)
         # A word's postings lie in the order of the examples, so those of a block are next to each other.
         owner = np.repeat(np.arange(n_terms), np.diff(self.weights.first))
         key = owner * self.n_blocks + self.weights.at // block
         self.starts = np.flatnonzero(np.diff(key, prepend=-1))
-        self.blocks = (key[self.starts] % self.n_blocks).astype(np.int32)
+        self.blocks = (key[self.starts] % self.n_blocks).astype(np.intp)
         self.highest = np.maximum.reduceat(self.weights.values, self.starts) if len(key) else values
         self.first = np.searchsorted(key[self.starts], np.arange(n_terms + 1) * self.n_blocks)
         self.starts = np.append(self.starts, len(key))
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k examples with the highest positive cosine."""
-        j, owner = _spans(self.first[terms], self.first[terms + 1])
-        blocks, factors = self.blocks[j], values[owner]
+        j, sizes = _spans(self.first[terms], self.first[terms + 1])
+        blocks, factors = self.blocks[j], np.repeat(values, sizes)
         bounds = np.bincount(blocks, self.highest[j] * factors, self.n_blocks)
         order = np.argsort(-bounds, kind="stable")
         ahead = -(-k // self.block) + 1
@@ -217,10 +218,14 @@ class BlockMaxIndex:
             read[step] = (bounds[step] > 0) & (bounds[step] >= least - 1e-6)
             if not read.any():
                 break
-            held = read[blocks]
-            p, of = _spans(self.starts[j[held]], self.starts[j[held] + 1])
-            near = np.bincount(self.weights.at[p], self.weights.values[p] * factors[held][of], self.n)
-            positive = np.flatnonzero(near > 0)
+            held = np.flatnonzero(read[blocks])
+            lists = j[held]
+            p, sizes = _spans(self.starts[lists], self.starts[lists + 1])
+            near = np.bincount(self.weights.at[p], self.weights.values[p] * np.repeat(factors[held], sizes), self.n)
+            positive = np.flatnonzero(near >= least if least > 0 else near > 0)
+            if len(positive) > k:
+                # What is further than the k-th of these is not sorted.
+                positive = positive[near[positive] >= np.partition(near[positive], -k)[-k]]
             found, cosines = np.append(found, positive), np.append(cosines, near[positive])
             best = np.lexsort((found, -cosines))[:k]
             found, cosines = found[best], cosines[best]
