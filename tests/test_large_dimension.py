@@ -9,7 +9,11 @@ from txnflow.operators.enrich import enrich_merchant
 from txnflow.plans import inputs, oracles, queries
 
 SF = "/root/testdata/sf0.001"
-STREAMS = ("category_stats_pipeline", "late_data_trace")
+STREAMS = (
+    "category_stats_pipeline",
+    "late_data_trace",
+    "stream_category_stats",
+)
 
 
 @pytest.mark.parametrize("name", STREAMS)
