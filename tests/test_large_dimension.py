@@ -13,6 +13,7 @@ STREAMS = (
     "category_stats_pipeline",
     "late_data_trace",
     "stream_category_stats",
+    "stream_progress",
 )
 
 
