@@ -14,6 +14,7 @@ STREAMS = (
     "late_data_trace",
     "stream_category_stats",
     "stream_progress",
+    "category_stats_compacted",
 )
 
 
