@@ -15,6 +15,7 @@ STREAMS = (
     "stream_category_stats",
     "stream_progress",
     "category_stats_compacted",
+    "open_windows",
 )
 
 
