@@ -1,0 +1,75 @@
+"""The statistics streams over customers whose compressed file is small."""
+
+import pytest
+
+from txnflow.plans import inputs, queries
+
+STREAMS = ("late_data_trace",)
+
+
+class Landed(Exception):
+    """Every message is written; no stream has run."""
+
+
+@pytest.fixture(scope="module")
+def sf_dir(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("customers")
+    rows = {
+        "region": spark.range(2).selectExpr("CAST(id AS INT) r_regionkey", "concat('r', id) r_name"),
+        "nation": spark.range(4).selectExpr(
+            "CAST(id AS INT) n_nationkey", "concat('n', id) n_name", "CAST(id % 2 AS INT) n_regionkey"
+        ),
+        "customer": spark.range(5000).selectExpr(
+            "id c_custkey", "'c' c_name", "CAST(id % 4 AS INT) c_nationkey", "0D c_acctbal", "'s' c_mktsegment"
+        ),
+        "part": spark.range(50).selectExpr(
+            "id p_partkey", "'p' p_name", "'Brand#1' p_brand", "concat('t', id % 3) p_type",
+            "CAST(id AS INT) p_size", "1D p_retailprice",
+        ),
+        "events": spark.range(400).selectExpr(
+            "id event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, CAST(id AS INT)) ts",
+            "id * 13 user_id", "IF(id % 3 = 0, 'purchase', 'error') event_type", "CAST(id AS DOUBLE) value",
+            "concat('{\"k\": ', id % 60, '}') props",
+        ),
+    }
+    for name, frame in rows.items():
+        target = folder / f"{name}.parquet"
+        frame.coalesce(1).write.parquet(str(target))
+    return str(folder)
+
+
+def joins(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Join [c_nationkey" in line]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_its_messages_are_made_without_a_broadcast_of_the_customers(spark, sf_dir, monkeypatch, name):
+    read = []
+
+    def recorded(make):
+        def made(*args):
+            read.append(make(*args))
+            return read[-1]
+
+        return made
+
+    def land(steps, start):
+        assert len(list(steps)) == inputs.ARRIVALS
+        raise Landed
+
+    monkeypatch.setattr(inputs, "envelope", recorded(inputs.envelope))
+    monkeypatch.setattr(queries, "_approved", recorded(queries._approved))
+    monkeypatch.setattr(queries, "measured_strategy", lambda merchants, streaming: "salted")
+    monkeypatch.setattr(inputs, "run_arrivals", land)
+    with pytest.raises(Landed):
+        queries.registered()[name](spark, sf_dir)
+    assert len(read) > inputs.ARRIVALS
+    for frame in read:
+        (join,) = joins(frame)
+        assert "BroadcastHashJoin" in join and "BuildRight" in join
+
+
+def test_customers_have_the_names_of_their_nation_and_region(spark, sf_dir):
+    found = inputs.customers(spark, sf_dir).select("customer_id", "customer_country", "customer_city").collect()
+    assert sorted(map(tuple, found)) == [(i, f"r{i % 2}", f"n{i % 4}") for i in range(5000)]

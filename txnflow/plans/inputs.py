@@ -39,13 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with nation and region names. The two lookups hold a fixed number of rows."""
+    """Customers with nation and region names. The two lookups hold a fixed number of rows.
+
+    Left to choose, the plan may broadcast the customers to the nations: compressed, their file is small.
+    """
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     return (
         table(spark, sf_dir, "customer")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("customer_name"),
