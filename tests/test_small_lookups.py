@@ -4,7 +4,7 @@ import pytest
 
 from txnflow.plans import inputs, queries
 
-STREAMS = ("late_data_trace", "stream_category_stats")
+STREAMS = ("late_data_trace", "stream_category_stats", "stream_progress")
 
 
 class Landed(Exception):
