@@ -4,7 +4,7 @@ import pytest
 
 from txnflow.plans import inputs, queries
 
-STREAMS = ("late_data_trace", "stream_category_stats", "stream_progress")
+STREAMS = ("late_data_trace", "stream_category_stats", "stream_progress", "category_stats_compacted")
 
 
 class Landed(Exception):
