@@ -4,7 +4,13 @@ import pytest
 
 from txnflow.plans import inputs, queries
 
-STREAMS = ("late_data_trace", "stream_category_stats", "stream_progress", "category_stats_compacted")
+STREAMS = (
+    "late_data_trace",
+    "stream_category_stats",
+    "stream_progress",
+    "category_stats_compacted",
+    "open_windows",
+)
 
 
 class Landed(Exception):
